@@ -1,0 +1,219 @@
+"""The landed tables, derived from the driver tables.
+
+The driver tables hold no defects, so they are derived here by fixed rules. The same
+rules are written as SQL in ``oracle.py``.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reliq.operators import marts, staging
+from reliq.schemas import INSTITUTION
+from reliq.session import configure
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def raw_customers(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
+    """Customers; those without a positive balance lack a name, unless ``clean``."""
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    key = F.col("c_custkey")
+    return (
+        table(spark, sf_dir, "customer")
+        .join(nation, "c_nationkey")
+        .select(
+            key.cast("string").alias("customer_id"),
+            F.when(F.lit(clean) | (F.col("c_acctbal") > 0), F.col("c_name")).alias("full_name"),
+            F.concat(F.lit("c"), key.cast("string"), F.lit("@example.com")).alias("email"),
+            F.col("n_name").alias("country"),
+            F.date_sub(F.lit("2024-01-01").cast("date"), (key % 730).cast("int")).cast("string").alias("signup_date"),
+            F.lit("2024-01-01").cast("timestamp").alias("ingested_at"),
+        )
+    )
+
+
+def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.col("o_orderstatus")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("account_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("o_orderpriority").alias("account_type"),
+        F.when(status == "O", "EUR").when(status == "F", "USD").otherwise("GBP").alias("currency"),
+        F.col("o_orderdate").cast("date").cast("string").alias("opened_date"),
+        F.col("o_orderdate").cast("timestamp").alias("ingested_at"),
+    )
+
+
+def raw_transactions(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
+    """Transactions with derived defects, or with almost none when ``clean``."""
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    order, quantity = F.col("l_orderkey").cast("string"), F.col("l_quantity")
+    transaction_id = F.concat_ws("-", order, F.col("l_linenumber").cast("string"))
+    hours = F.expr("make_dt_interval(0, cast(l_partkey % 24 as int))")
+    account, amount = order, price
+    if clean:
+        transaction_id = F.concat_ws("-", transaction_id, F.col("l_partkey").cast("string"))
+    else:
+        account = F.when(F.col("l_suppkey") % 97 == 0, "A999999").otherwise(order)
+        refunded = (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.095)
+        amount = F.when(refunded, -price).otherwise(price)
+    return (
+        table(spark, sf_dir, "lineitem")
+        .join(part, "l_partkey")
+        .select(
+            transaction_id.alias("transaction_id"),
+            account.alias("account_id"),
+            F.date_format(F.col("l_shipdate").cast("timestamp") + hours, "yyyy-MM-dd HH:mm:ss").alias(
+                "transaction_date"
+            ),
+            amount.cast("string").alias("amount"),
+            F.when(F.col("l_linestatus") == "O", "EUR").otherwise("USD").alias("currency"),
+            F.when(quantity >= 48, "failed").when(quantity <= 1, "pending").otherwise("success").alias("status"),
+            F.col("p_brand").alias("merchant"),
+            F.col("l_shipdate").cast("timestamp").alias("ingested_at"),
+        )
+    )
+
+
+def institutions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    given = {
+        "CERT": F.col("c_custkey"),
+        "NAME": F.col("c_name"),
+        "STALP": F.col("n_name"),
+        "ASSET": F.col("c_acctbal"),
+        "ACTIVE": F.lit(1),
+        "BKCLASS": F.col("c_mktsegment"),
+    }
+    rows = table(spark, sf_dir, "customer").join(nation, "c_nationkey")
+    return rows.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in INSTITUTION])
+
+
+def institution_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page documents of at most 1,000 records: ids are unique, a page is a range of them."""
+    record = F.struct(F.struct(*INSTITUTION.names).alias("data"))
+    pages = institutions(spark, sf_dir).groupBy(F.floor(F.col("CERT") / 1000).alias("page"))
+    return pages.agg(F.collect_list(record["data"]).alias("records"), F.count("*").alias("total")).select(
+        F.transform("records", lambda r: F.struct(r.alias("data"))).alias("data"),
+        F.struct("total").alias("meta"),
+    )
+
+
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order as a run: it starts with the order and finishes once it has line items.
+
+    Every tenth run is finished twice, the second time with success.
+    """
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.count("*").alias("extracted"),
+        F.count_if(F.col("l_returnflag") == "R").alias("quarantined"),
+    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    runs = orders.join(lines, "o_orderkey", "left")
+    key, start = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
+    failed = F.col("o_orderstatus") == "F"
+
+    def at(milliseconds):
+        return F.timestamp_millis(F.unix_millis(start) + milliseconds)
+
+    def event(name, when, status, counted, error):
+        def count(column):
+            return (column if counted else F.lit(0)).cast("bigint")
+
+        return F.struct(
+            F.lit(name).alias("event"),
+            when.alias("event_ts"),
+            status.alias("status"),
+            count(F.col("extracted")).alias("records_extracted"),
+            count(F.col("extracted") - F.col("quarantined")).alias("records_loaded"),
+            count(F.col("quarantined")).alias("records_quarantined"),
+            error.cast("string").alias("error_message"),
+        )
+
+    done = F.col("extracted").isNotNull()
+    elapsed = F.col("extracted") * 1370 + key % 1000
+    no_error = F.lit(None)
+    outcome = F.when(failed, "failed").otherwise("success")
+    events = F.array_compact(
+        F.array(
+            event("started", start, F.lit("running"), False, no_error),
+            F.when(done, event("finished", at(elapsed), outcome, True, F.when(failed, F.lit("order closed")))),
+            F.when(
+                done & (key % 10 == 0), event("finished", at(elapsed + 5000), F.lit("success"), True, no_error)
+            ),
+        )
+    )
+    return runs.select(
+        key.cast("string").alias("dag_run_id"),
+        F.when(key % 2 == 0, "transactions_daily").otherwise("institutions_daily").alias("dag_id"),
+        F.explode(events).alias("e"),
+    ).select("dag_run_id", "dag_id", "e.*")
+
+
+def schema_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer as a table and each order as a run that captures its columns.
+
+    Every fifth run is retried a minute later, with one more column.
+    """
+    key = F.col("o_orderkey")
+    names = F.array_compact(
+        F.array(
+            F.lit("order_id"),
+            F.when(F.col("o_orderstatus") == "F", "closed_at"),
+            F.when(F.col("o_orderpriority") == "1-URGENT", "urgent"),
+            F.lit("total"),
+        )
+    )
+    tries = F.when(key % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    captured = table(spark, sf_dir, "orders").select("*", F.explode(tries).alias("attempt"))
+    start = F.col("o_orderdate").cast("timestamp")
+    return captured.select(
+        key.cast("string").alias("dag_run_id"),
+        F.concat(F.lit("table_"), F.col("o_custkey").cast("string")).alias("table_name"),
+        F.when(F.col("attempt") == 1, F.array_append(names, F.lit("retried"))).otherwise(names).alias("column_names"),
+        F.timestamp_seconds(F.unix_seconds(start) + F.col("attempt") * 60).alias("captured_at"),
+    )
+
+
+@dataclass
+class Warehouse:
+    """Lazy frames of every layer over one set of driver tables."""
+
+    spark: SparkSession
+    sf_dir: str
+    clean: bool = False
+
+    def __post_init__(self):
+        configure(self.spark)
+
+    def raw(self, name: str) -> DataFrame:
+        if name == "transactions":
+            return raw_transactions(self.spark, self.sf_dir, self.clean)
+        if name == "customers":
+            return raw_customers(self.spark, self.sf_dir, self.clean)
+        return raw_accounts(self.spark, self.sf_dir)
+
+    def customers(self) -> DataFrame:
+        return staging.stage_customers(self.raw("customers"))
+
+    def accounts(self) -> DataFrame:
+        return staging.stage_accounts(self.raw("accounts"), self.customers())
+
+    def transactions(self) -> DataFrame:
+        return staging.stage_transactions(self.raw("transactions"), self.accounts())
+
+    def dim_customer(self) -> DataFrame:
+        return marts.dim_customer(staging.stg_customers(self.customers()))
+
+    def dim_account(self) -> DataFrame:
+        return marts.dim_account(staging.stg_accounts(self.accounts()), staging.stg_customers(self.customers()))
+
+    def fact(self) -> DataFrame:
+        return marts.fact_transactions(staging.stg_transactions(self.transactions()), self.dim_account())

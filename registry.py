@@ -1,0 +1,337 @@
+"""The registered queries, by name."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import fixtures
+from fixtures import Warehouse
+from reliq.operators import (
+    constraints,
+    dedupe,
+    drift,
+    gates,
+    institutions,
+    marts,
+    metrics,
+    quarantine,
+    reconcile,
+    reports,
+    runlog,
+    staging,
+)
+from reliq.plans.institutions import run_institutions
+from reliq.plans.transactions import Inputs, Layers, run_transactions
+from reliq.schemas import RAW, RAW_CUSTOMERS
+from reliq.session import configure, fresh_dir
+from reliq.sinks.snapshots import publish_transactions, write_csv
+from reliq.sinks.tables import reload_table
+from reliq.sinks.upsert import stored_days, upsert_daily_metrics
+from reliq.sources.files import land_csv, load_csv
+from reliq.sources.layers import read_layer
+from reliq.sources.pages import fetch_institutions
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+FIXED_TIME = datetime(2024, 1, 1, tzinfo=timezone.utc)
+QUERIES: dict[str, Query] = {}
+
+
+def plain_times(df: DataFrame) -> DataFrame:
+    """Timestamps without a zone, as the parquet tables hold them."""
+    moments = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in moments})
+
+
+def register(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return plain_times(query(spark, sf_dir))
+
+    run.__name__, run.__doc__ = query.__name__, query.__doc__
+    QUERIES[query.__name__] = run
+    return query
+
+
+def over_warehouse(name: str, build: Callable[[Warehouse], DataFrame]) -> None:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(Warehouse(spark, sf_dir))
+
+    query.__name__ = name
+    register(query)
+
+
+def over_institutions(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return build(institutions.with_reason(fixtures.institutions(spark, sf_dir)))
+
+    query.__name__ = name
+    register(query)
+
+
+GIVEN = ["CERT", "NAME", "STALP", "ASSET", "BKCLASS"]
+
+over_warehouse("staging_customers", lambda w: w.customers())
+over_warehouse("staging_accounts", lambda w: w.accounts())
+over_warehouse("staging_transactions", lambda w: w.transactions())
+over_warehouse("stg_customers_view", lambda w: staging.stg_customers(w.customers()))
+over_warehouse("stg_accounts_view", lambda w: staging.stg_accounts(w.accounts()))
+over_warehouse("stg_transactions_view", lambda w: staging.stg_transactions(w.transactions()))
+
+over_warehouse(
+    "quarantine_transactions",
+    lambda w: quarantine.quarantine_transactions(w.raw("transactions"), w.accounts()),
+)
+over_warehouse("quarantine_negative", lambda w: quarantine.negative_amounts(w.raw("transactions")))
+over_warehouse(
+    "quarantine_orphans", lambda w: quarantine.orphan_transactions(w.raw("transactions"), w.accounts())
+)
+over_warehouse("quarantine_duplicates", lambda w: quarantine.duplicate_transactions(w.raw("transactions")))
+over_warehouse(
+    "quarantine_breakdown",
+    lambda w: reports.reject_breakdown(
+        quarantine.quarantine_transactions(w.raw("transactions"), w.accounts())
+    ),
+)
+over_warehouse(
+    "quarantine_counts", lambda w: quarantine.count_by_reason(w.raw("transactions"), w.accounts())
+)
+
+over_warehouse("dim_customer", lambda w: w.dim_customer())
+over_warehouse("dim_account", lambda w: w.dim_account())
+over_warehouse("dim_date", lambda w: marts.dim_date_covering(w.fact()))
+over_warehouse("fact_transactions", lambda w: w.fact())
+
+over_warehouse("daily_transaction_metrics", lambda w: metrics.daily_metrics(w.fact()))
+over_warehouse("latest_daily_metrics", lambda w: reports.latest_metrics(metrics.daily_metrics(w.fact()), 10))
+over_warehouse("daily_value_trend", lambda w: reports.value_trend(metrics.daily_metrics(w.fact())))
+
+over_warehouse("test_unique", lambda w: constraints.unique(w.raw("transactions"), "transaction_id"))
+over_warehouse(
+    "test_not_null",
+    lambda w: constraints.scan_results(w.raw("customers"), "raw_customers", ["full_name", "customer_id"]),
+)
+over_warehouse(
+    "test_accepted_values",
+    lambda w: constraints.accepted_values(w.raw("accounts"), "currency", ["EUR", "USD"]),
+)
+over_warehouse(
+    "test_relationships",
+    lambda w: constraints.relationships(w.raw("transactions"), w.accounts(), "account_id"),
+)
+over_warehouse(
+    "reconciliation", lambda w: reconcile.reconcile_totals(w.raw("transactions"), w.fact())
+)
+over_warehouse("status_counts", lambda w: reports.status_counts(w.fact()))
+over_warehouse("country_rollup", lambda w: reports.country_rollup(w.fact(), w.dim_customer()))
+over_warehouse("latest_facts", lambda w: reports.latest_facts(w.fact()))
+
+over_institutions("institutions_valid", lambda r: institutions.valid_records(r).select(*GIVEN))
+over_institutions("institutions_rejected", lambda r: institutions.rejected_records(r).select(*GIVEN, "_reason"))
+over_institutions("institutions_reject_counts", institutions.reason_counts)
+over_institutions("institutions_summary", lambda r: institutions.summarise(r.drop("_reason")))
+over_institutions(
+    "institution_quality_checks", lambda r: gates.institution_gates(institutions.outcome_counts(r))
+)
+over_institutions("institution_kpis", lambda r: institutions.kpis(institutions.valid_records(r)))
+over_institutions("institutions_top20", lambda r: institutions.top_by_assets(institutions.valid_records(r)))
+over_institutions("institutions_by_state", lambda r: institutions.by_state(institutions.valid_records(r)))
+
+
+@register
+def insert_ignore_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts a target that already holds those in EUR would take in."""
+    w = Warehouse(spark, sf_dir)
+    target = w.accounts().filter("currency = 'EUR'")
+    incoming = w.accounts()
+    order = staging.copy_order("customer_id", "account_type", "currency", "opened_date")[1:]
+    return dedupe.insert_ignore(target, incoming, "account_id", order)
+
+
+@register
+def quarantine_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine of a lenient load, where some amounts and dates are damaged."""
+    w = Warehouse(spark, sf_dir)
+    amount = F.col("amount")
+    damaged = w.raw("transactions").withColumns(
+        {
+            "amount": F.when(amount.like("%.13"), "n/a").when(~amount.like("%.17"), amount),
+            "transaction_date": F.when(
+                (F.col("merchant") == "Brand#7") & amount.like("%.5_"), "soon"
+            ).otherwise(F.col("transaction_date")),
+        }
+    )
+    return quarantine.quarantine_transactions(damaged, w.accounts(), strict=False, tag_missing=True)
+
+
+@register
+def daily_metrics_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored metrics table after a second run: late days are rewritten, early ones stay."""
+    path = fresh_dir(spark, "metrics")
+    daily = metrics.daily_metrics(Warehouse(spark, sf_dir).fact())
+    reload_table(daily, path, "work", "daily")
+    daily = read_layer(spark, path, "work", "daily")
+    late = F.col("metric_date") >= F.lit("1998-01-15").cast("date")
+    before = daily.withColumn("active_accounts", F.when(late, 0).otherwise(F.col("active_accounts")))
+    upsert_daily_metrics(spark, before, f"{path}/daily_transaction_metrics", FIXED_TIME)
+    upsert_daily_metrics(spark, daily.filter(late), f"{path}/daily_transaction_metrics", FIXED_TIME)
+    return stored_days(spark, f"{path}/daily_transaction_metrics").drop("updated_at")
+
+
+def saved_marts(spark: SparkSession, sf_dir: str) -> Layers:
+    """The star schema of the driver tables, written to a fresh folder."""
+    w, root = Warehouse(spark, sf_dir), fresh_dir(spark, "marts")
+    layers = Layers(spark, root)
+    reload_table(w.dim_customer(), root, "analytics", "dim_customer")
+    reload_table(w.dim_account(), root, "analytics", "dim_account")
+    transactions = staging.stg_transactions(w.transactions())
+    reload_table(
+        marts.fact_transactions(transactions, layers.mart("dim_account")), root, "analytics", "fact_transactions"
+    )
+    return layers
+
+
+@register
+def test_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine constraint tests of the stored star schema."""
+    layers = saved_marts(spark, sf_dir)
+    return constraints.mart_results(
+        layers.mart("dim_customer"), layers.mart("dim_account"), layers.mart("fact_transactions")
+    )
+
+
+def _counted(w: Warehouse) -> DataFrame:
+    raw = w.raw("transactions")
+    rejects = quarantine.count_by_reason(raw, w.accounts())
+    return reports.layer_row_counts(raw, staging.stg_transactions(w.transactions()), w.fact(), rejects)
+
+
+over_warehouse("layer_row_counts", _counted)
+over_warehouse("quality_checks", lambda w: gates.transaction_gates(_counted(w)))
+over_warehouse(
+    "fact_kpis",
+    lambda w: reports.fact_kpis(w.fact(), quarantine.count_by_reason(w.raw("transactions"), w.accounts())),
+)
+
+
+@register
+def reconciliation_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The variance rule on every day: landed positive value against modelled value."""
+    w = Warehouse(spark, sf_dir)
+    amount = F.col("amount").cast("decimal(18,2)")
+    value = F.coalesce(F.sum(F.when(amount > 0, amount)), F.lit(0)).cast(reconcile.VALUE)
+    source = w.raw("transactions").groupBy(F.substring("transaction_date", 1, 10).alias("metric_name"))
+    target = w.fact().groupBy(F.col("transaction_date").cast("string").alias("metric_name"))
+    pairs = source.agg(value.alias("source_value")).join(
+        target.agg(F.sum("amount").cast(reconcile.VALUE).alias("target_value")), "metric_name", "left"
+    )
+    return reconcile.with_variance(pairs.fillna({"target_value": 0}))
+
+
+@register
+def schema_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of each landed table, dated by its newest row."""
+    w = Warehouse(spark, sf_dir)
+    taken = [drift.snapshot_at_newest_row(w.raw(name), "raw", name) for name in RAW]
+    snapshots = taken[0].unionByName(taken[1]).unionByName(taken[2])
+    return snapshots.withColumn("column_names", F.array_join("column_names", ","))
+
+
+@register
+def second_newest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    older = drift.second_newest(fixtures.schema_history(spark, sf_dir))
+    return older.withColumn("column_names", F.array_join("column_names", ","))
+
+
+@register
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drift.detect_drift(fixtures.schema_history(spark, sf_dir))
+    return found.withColumns({name: F.array_join(name, ",") for name in ("added", "removed")})
+
+
+@register
+def run_log_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runlog.run_state(fixtures.run_events(spark, sf_dir))
+
+
+@register
+def recent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runlog.recent_runs(runlog.run_state(fixtures.run_events(spark, sf_dir)))
+
+
+def landed_pages(spark: SparkSession, sf_dir: str) -> str:
+    """Page documents in the shared folder, one per line."""
+    path = f"{fresh_dir(spark, 'pages')}/pages"
+    fixtures.institution_pages(spark, sf_dir).write.json(path)
+    return path
+
+
+@register
+def institutions_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = landed_pages(spark, sf_dir)
+    return fetch_institutions(spark, path, multi_line=False).select(*GIVEN)
+
+
+def landed_inputs(spark: SparkSession, sf_dir: str, clean: bool = False) -> Inputs:
+    """The three incoming CSVs in the shared folder."""
+    w, root = Warehouse(spark, sf_dir, clean), fresh_dir(spark, "incoming")
+    for name in RAW:
+        write_csv(w.raw(name).drop("ingested_at"), f"{root}/{name}.csv")
+    return Inputs(*[f"{root}/{name}.csv" for name in RAW])
+
+
+@register
+def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions written as CSV and landed again."""
+    path = f"{fresh_dir(spark, 'incoming')}/transactions.csv"
+    write_csv(Warehouse(spark, sf_dir).raw("transactions").drop("ingested_at"), path)
+    return land_csv(spark, path, "transactions", FIXED_TIME).drop("ingested_at")
+
+
+@register
+def tolerant_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published CSV, together with one that does not exist."""
+    root = fresh_dir(spark, "reports")
+    write_csv(Warehouse(spark, sf_dir).raw("customers").drop("ingested_at"), f"{root}/customers.csv")
+    found = load_csv(spark, f"{root}/customers.csv", RAW_CUSTOMERS)
+    return found.unionByName(load_csv(spark, f"{root}/absent.csv", RAW_CUSTOMERS))
+
+
+@register
+def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published facts, read back from their CSV."""
+    layers = saved_marts(spark, sf_dir)
+    w, fact = Warehouse(spark, sf_dir), layers.mart("fact_transactions")
+    paths = publish_transactions(
+        fact,
+        metrics.daily_metrics(fact).withColumn("updated_at", F.lit(FIXED_TIME)),
+        quarantine.quarantine_transactions(w.raw("transactions"), w.accounts()),
+        runlog.run_state(fixtures.run_events(spark, sf_dir)),
+        f"{layers.root}/snapshots",
+    )
+    return spark.read.csv(paths["fact_transactions.csv"], header=True, escape='"')
+
+
+def _last_run(layers: Layers) -> DataFrame:
+    return layers.runs().select("status", "records_extracted", "records_loaded", "records_quarantined")
+
+
+@register
+def transactions_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logged outcome of the whole transaction run over clean inputs."""
+    root = fresh_dir(spark, "run")
+    run_transactions(spark, landed_inputs(spark, sf_dir, clean=True), root, "first", FIXED_TIME)
+    return _last_run(Layers(spark, root))
+
+
+@register
+def institutions_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logged outcome of the whole institution run."""
+    root = fresh_dir(spark, "run")
+    run_institutions(spark, landed_pages(spark, sf_dir), root, "first", FIXED_TIME, multi_line=False)
+    return _last_run(Layers(spark, root))
