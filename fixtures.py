@@ -7,12 +7,14 @@ rules are written as SQL in ``oracle.py``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliq.operators import marts, staging
-from reliq.schemas import INSTITUTION
+from reliq.operators import marts, quarantine, staging
+from reliq.operators.skew import NONE, Hot, HotKeys, hot_keys
+from reliq.schemas import INSTITUTION, RAW_TRANSACTIONS
 from reliq.session import configure
 
 
@@ -52,7 +54,13 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_transactions(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     """Transactions with derived defects, or with almost none when ``clean``."""
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_part"), F.col("p_brand").alias("merchant"))
+    lines = transaction_lines(spark, sf_dir, clean)
+    return lines.join(part, "_part").select(*RAW_TRANSACTIONS.names, "ingested_at")
+
+
+def transaction_lines(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
+    """Transactions that still lack their merchant."""
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     order, quantity = F.col("l_orderkey").cast("string"), F.col("l_quantity")
     transaction_id = F.concat_ws("-", order, F.col("l_linenumber").cast("string"))
@@ -65,9 +73,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str, clean: bool = False) -> D
         refunded = (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.095)
         amount = F.when(refunded, -price).otherwise(price)
     return (
-        table(spark, sf_dir, "lineitem")
-        .join(part, "l_partkey")
-        .select(
+        table(spark, sf_dir, "lineitem").select(
+            F.col("l_partkey").alias("_part"),
             transaction_id.alias("transaction_id"),
             account.alias("account_id"),
             F.date_format(F.col("l_shipdate").cast("timestamp") + hours, "yyyy-MM-dd HH:mm:ss").alias(
@@ -76,7 +83,6 @@ def raw_transactions(spark: SparkSession, sf_dir: str, clean: bool = False) -> D
             amount.cast("string").alias("amount"),
             F.when(F.col("l_linestatus") == "O", "EUR").otherwise("USD").alias("currency"),
             F.when(quantity >= 48, "failed").when(quantity <= 1, "pending").otherwise("success").alias("status"),
-            F.col("p_brand").alias("merchant"),
             F.col("l_shipdate").cast("timestamp").alias("ingested_at"),
         )
     )
@@ -200,20 +206,43 @@ class Warehouse:
             return raw_customers(self.spark, self.sf_dir, self.clean)
         return raw_accounts(self.spark, self.sf_dir)
 
+    @cached_property
+    def hot(self) -> HotKeys:
+        """Hot keys of the landed tables, from samples of their key columns."""
+        lines = transaction_lines(self.spark, self.sf_dir, self.clean)
+        return {
+            **hot_keys(lines, "transaction_id", "account_id"),
+            **hot_keys(self.raw("accounts"), "customer_id"),
+        }
+
+    def hot_values(self, column: str) -> Hot:
+        return self.hot.get(column, NONE)
+
     def customers(self) -> DataFrame:
         return staging.stage_customers(self.raw("customers"))
 
     def accounts(self) -> DataFrame:
-        return staging.stage_accounts(self.raw("accounts"), self.customers())
+        return staging.stage_accounts(self.raw("accounts"), self.customers(), hot=self.hot_values("customer_id"))
 
     def transactions(self) -> DataFrame:
-        return staging.stage_transactions(self.raw("transactions"), self.accounts())
+        return staging.stage_transactions(
+            self.raw("transactions"), self.accounts(), hot=self.hot_values("account_id")
+        )
 
     def dim_customer(self) -> DataFrame:
         return marts.dim_customer(staging.stg_customers(self.customers()))
 
     def dim_account(self) -> DataFrame:
-        return marts.dim_account(staging.stg_accounts(self.accounts()), staging.stg_customers(self.customers()))
+        return marts.dim_account(
+            staging.stg_accounts(self.accounts()),
+            staging.stg_customers(self.customers()),
+            self.hot_values("customer_id"),
+        )
 
     def fact(self) -> DataFrame:
-        return marts.fact_transactions(staging.stg_transactions(self.transactions()), self.dim_account())
+        return marts.fact_transactions(
+            staging.stg_transactions(self.transactions()), self.dim_account(), self.hot_values("account_id")
+        )
+
+    def quarantine(self) -> DataFrame:
+        return quarantine.quarantine_transactions(self.raw("transactions"), self.accounts(), hot=self.hot)

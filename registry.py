@@ -83,21 +83,17 @@ over_warehouse("stg_customers_view", lambda w: staging.stg_customers(w.customers
 over_warehouse("stg_accounts_view", lambda w: staging.stg_accounts(w.accounts()))
 over_warehouse("stg_transactions_view", lambda w: staging.stg_transactions(w.transactions()))
 
-over_warehouse(
-    "quarantine_transactions",
-    lambda w: quarantine.quarantine_transactions(w.raw("transactions"), w.accounts()),
-)
+over_warehouse("quarantine_transactions", lambda w: w.quarantine())
 over_warehouse("quarantine_negative", lambda w: quarantine.negative_amounts(w.raw("transactions")))
 over_warehouse(
-    "quarantine_orphans", lambda w: quarantine.orphan_transactions(w.raw("transactions"), w.accounts())
+    "quarantine_orphans",
+    lambda w: quarantine.orphan_transactions(w.raw("transactions"), w.accounts(), w.hot_values("account_id")),
 )
-over_warehouse("quarantine_duplicates", lambda w: quarantine.duplicate_transactions(w.raw("transactions")))
 over_warehouse(
-    "quarantine_breakdown",
-    lambda w: reports.reject_breakdown(
-        quarantine.quarantine_transactions(w.raw("transactions"), w.accounts())
-    ),
+    "quarantine_duplicates",
+    lambda w: quarantine.duplicate_transactions(w.raw("transactions"), hot=w.hot_values("transaction_id")),
 )
+over_warehouse("quarantine_breakdown", lambda w: reports.reject_breakdown(w.quarantine()))
 over_warehouse(
     "quarantine_counts", lambda w: quarantine.count_by_reason(w.raw("transactions"), w.accounts())
 )
@@ -166,7 +162,7 @@ def quarantine_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).otherwise(F.col("transaction_date")),
         }
     )
-    return quarantine.quarantine_transactions(damaged, w.accounts(), strict=False, tag_missing=True)
+    return quarantine.quarantine_transactions(damaged, w.accounts(), strict=False, tag_missing=True, hot=w.hot)
 
 
 @register
@@ -190,9 +186,8 @@ def saved_marts(spark: SparkSession, sf_dir: str) -> Layers:
     reload_table(w.dim_customer(), root, "analytics", "dim_customer")
     reload_table(w.dim_account(), root, "analytics", "dim_account")
     transactions = staging.stg_transactions(w.transactions())
-    reload_table(
-        marts.fact_transactions(transactions, layers.mart("dim_account")), root, "analytics", "fact_transactions"
-    )
+    fact = marts.fact_transactions(transactions, layers.mart("dim_account"), w.hot_values("account_id"))
+    reload_table(fact, root, "analytics", "fact_transactions")
     return layers
 
 
@@ -310,7 +305,7 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = publish_transactions(
         fact,
         metrics.daily_metrics(fact).withColumn("updated_at", F.lit(FIXED_TIME)),
-        quarantine.quarantine_transactions(w.raw("transactions"), w.accounts()),
+        w.quarantine(),
         runlog.run_state(fixtures.run_events(spark, sf_dir)),
         f"{layers.root}/snapshots",
     )

@@ -10,9 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-
+from reliq.operators.skew import NONE, Hot, is_one_of
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     """The first row of each key.
@@ -30,36 +28,8 @@ def insert_ignore(target: DataFrame, incoming: DataFrame, key: str, order: Seque
     return first_per_key(new, key, order)
 
 
-def hot_keys(
-    df: DataFrame, key: str, min_rows: int = HOT_ROWS, fraction: float = 0.001
-) -> list:
-    """Keys that likely hold at least ``min_rows`` rows, at most 1,000 of them.
-
-    Reads a sample of one column. The list only steers how rows are spread over
-    tasks; a key that is missing or listed needlessly changes no result.
-    """
-    hits = max(1, int(min_rows * fraction / 2))
-    counts = df.select(key).sample(fraction=fraction, seed=11).groupBy(key).count()
-    top = counts.filter(F.col("count") >= hits).orderBy(F.desc("count"), key).limit(HOT_KEYS)
-    return [row[0] for row in top.collect()]
-
-
-def is_one_of(column: Column, values: Sequence) -> Column:
-    """Membership that also finds null, and is never null itself."""
-    known = [value for value in values if value is not None]
-    found = column.isNull() if len(known) < len(values) else F.lit(False)
-    if known:
-        found = found | F.coalesce(column.isin(known), F.lit(False))
-    return found
-
-
 def mark_firsts(
-    df: DataFrame,
-    key: str,
-    order: Sequence[Column],
-    valid: str,
-    hot: Sequence = (),
-    lane: str | None = None,
+    df: DataFrame, key: str, order: Sequence[Column], valid: str, hot: Hot = NONE, lane: str = "_lane"
 ) -> DataFrame:
     """Add ``is_first`` and ``is_first_valid``.
 
@@ -70,28 +40,25 @@ def mark_firsts(
     input split a row was read from), and then among the lane winners only, at most
     two per lane. All other keys are settled by the first step.
     """
-    flagged = [F.col("_rank") == 1, F.col(valid) & (F.col("_valid_rank") == 1)]
-
-    def ranked(rows: DataFrame, *by: str) -> DataFrame:
-        window = Window.partitionBy(*by).orderBy(*order)
-        running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return (
-            rows.withColumns(
-                {
-                    "_rank": F.row_number().over(window),
-                    "_valid_rank": F.sum(F.col(valid).cast("int")).over(running),
-                }
-            )
-            .withColumns({"is_first": flagged[0], "is_first_valid": flagged[1]})
-            .drop("_rank", "_valid_rank")
-        )
-
     if not hot:
-        return ranked(df, key)
-
-    salted = df.withColumn("_lane", F.when(is_one_of(F.col(key), hot), F.col(lane)).otherwise(-1))
-    local = ranked(salted, key, "_lane")
-    winner = (F.col("_lane") >= 0) & (F.col("is_first") | F.col("is_first_valid"))
-    settled = local.filter(~winner).drop("_lane")
-    final = ranked(local.filter(winner).drop("_lane", "is_first", "is_first_valid"), key)
-    return settled.unionByName(final)
+        return _ranked(df, [key], order, valid)
+    own_lane = F.when(is_one_of(F.col(key), hot.values), F.col(lane)).otherwise(-1)
+    local = _ranked(df.withColumn(lane, own_lane), [key, lane], order, valid)
+    winner = (F.col(lane) >= 0) & (F.col("is_first") | F.col("is_first_valid"))
+    settled = local.filter(~winner)
+    contested = local.filter(winner).drop("is_first", "is_first_valid")
+    return settled.unionByName(_ranked(contested, [key], order, valid))
+
+
+def _ranked(df: DataFrame, by: list[str], order: Sequence[Column], valid: str) -> DataFrame:
+    window = Window.partitionBy(*by).orderBy(*order)
+    running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = {
+        "_rank": F.row_number().over(window),
+        "_valid_rank": F.sum(F.col(valid).cast("int")).over(running),
+    }
+    firsts = {
+        "is_first": F.col("_rank") == 1,
+        "is_first_valid": F.col(valid) & (F.col("_valid_rank") == 1),
+    }
+    return df.withColumns(ranks).withColumns(firsts).drop("_rank", "_valid_rank")

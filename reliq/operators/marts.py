@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reliq.functions.dates import padded_day_name, padded_month_name, weekday_from_sunday
+from reliq.operators.skew import NONE, Hot, salted_join
 
 # The calendar the date dimension covers by default.
 FIRST_DAY = "2024-01-01"
@@ -38,14 +39,14 @@ def dim_customer(customers: DataFrame) -> DataFrame:
     )
 
 
-def dim_account(accounts: DataFrame, customers: DataFrame) -> DataFrame:
-    """Accounts with the name and country of their customer."""
+def dim_account(accounts: DataFrame, customers: DataFrame, hot: Hot = NONE) -> DataFrame:
+    """Accounts with the name and country of their customer; ``hot`` lists customers."""
     owner = customers.select(
         "customer_id",
         F.col("full_name").alias("customer_name"),
         F.col("country").alias("customer_country"),
     )
-    return accounts.join(owner, "customer_id", "left").select(
+    return salted_join(accounts, owner, "customer_id", "left", hot).select(
         "account_id",
         "customer_id",
         "customer_name",
@@ -94,8 +95,11 @@ def dim_date_covering(facts: DataFrame) -> DataFrame:
     return calendar(spread_days(bounds))
 
 
-def fact_transactions(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
-    """One row per staged transaction, with its account and customer context."""
+def fact_transactions(transactions: DataFrame, accounts: DataFrame, hot: Hot = NONE) -> DataFrame:
+    """One row per staged transaction, with its account and customer context.
+
+    ``hot`` lists accounts.
+    """
     context = accounts.select("account_id", "customer_id", "customer_country", "account_type")
     moment = F.col("transaction_date")
     dated = transactions.withColumns(
@@ -105,4 +109,4 @@ def fact_transactions(transactions: DataFrame, accounts: DataFrame) -> DataFrame
             "transaction_date": F.to_date(moment),
         }
     )
-    return dated.join(context, "account_id", "left").select(*FACT_COLUMNS)
+    return salted_join(dated, context, "account_id", "left", hot).select(*FACT_COLUMNS)

@@ -6,15 +6,14 @@ landed rows, loaded rows among the valid ones, so a row can be loaded and quaran
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reliq.functions.casts import as_timestamp
-from reliq.operators.dedupe import hot_keys, mark_firsts
+from reliq.operators.dedupe import mark_firsts
+from reliq.operators.skew import NONE, Hot, HotKeys, salted_join
 from reliq.operators.staging import (
     TRANSACTION_COLUMNS,
+    has_readable_date,
     transaction_order,
     typed_transactions,
     with_exact_amount,
@@ -32,36 +31,36 @@ MALFORMED = ["malformed_amount", "malformed_date"]
 MISSING = ["missing_transaction_id", "missing_amount"]
 
 
+def with_lane(rows: DataFrame, hot: Hot) -> DataFrame:
+    """Note the input split of each row where hot keys are spread by it."""
+    return rows.withColumn("_lane", F.spark_partition_id()) if hot else rows
+
+
 def classify_transactions(
     raw: DataFrame,
     accounts: DataFrame,
     strict: bool = True,
     tag_missing: bool = False,
-    hot: Sequence | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Every landed row once per ``outcome``: loaded, or a reject reason.
 
     One scan, one join and one exchange on the transaction id serve the staging
     table and the quarantine. ``accounts`` holds one row per account id.
     """
-    if hot is None:
-        hot = hot_keys(raw, "transaction_id")
-    parsed = with_exact_amount(raw, strict)
-    if hot:
-        parsed = parsed.withColumn("_split", F.spark_partition_id())
+    hot = hot or {}
+    hot_ids = hot.get("transaction_id", NONE)
+    parsed = with_lane(with_exact_amount(raw, strict), hot_ids)
     known = accounts.select("account_id", F.lit(True).alias("_known"))
-    checked = parsed.join(known, "account_id", "left").withColumns(
+    checked = salted_join(parsed, known, "account_id", "left", hot.get("account_id", NONE)).withColumns(
         {"_orphan": F.col("_known").isNull(), "_negative": F.coalesce(F.expr("_amount <= 0"), F.lit(False))}
     )
     positive = F.coalesce(F.col("_amount") > 0, F.lit(False))
-    date_ok = F.lit(True)
-    if not strict:
-        date = as_timestamp(F.col("transaction_date"), strict=False)
-        date_ok = F.col("transaction_date").isNull() | date.isNotNull()
+    date_ok = F.lit(True) if strict else has_readable_date()
     checked = checked.withColumn(
         "_valid", F.col("transaction_id").isNotNull() & positive & ~F.col("_orphan") & date_ok
     )
-    marked = mark_firsts(checked, "transaction_id", transaction_order(), "_valid", hot, "_split")
+    marked = mark_firsts(checked, "transaction_id", transaction_order(), "_valid", hot_ids)
 
     outcomes = {
         LOADED: F.col("is_first_valid"),
@@ -90,9 +89,13 @@ def rejected_rows(classified: DataFrame) -> DataFrame:
 
 
 def quarantine_transactions(
-    raw: DataFrame, accounts: DataFrame, strict: bool = True, tag_missing: bool = False
+    raw: DataFrame,
+    accounts: DataFrame,
+    strict: bool = True,
+    tag_missing: bool = False,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    return rejected_rows(classify_transactions(raw, accounts, strict, tag_missing))
+    return rejected_rows(classify_transactions(raw, accounts, strict, tag_missing, hot))
 
 
 def negative_amounts(raw: DataFrame, strict: bool = True) -> DataFrame:
@@ -102,21 +105,16 @@ def negative_amounts(raw: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def orphan_transactions(raw: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Rows whose account was not staged, also those without an account id."""
-    return raw.join(accounts.select("account_id"), "account_id", "left_anti").select(
-        *TRANSACTION_COLUMNS, F.lit(ORPHAN).alias("reject_reason")
-    )
+def orphan_transactions(raw: DataFrame, accounts: DataFrame, hot: Hot = NONE) -> DataFrame:
+    """Rows whose account was not staged, also those without one; ``hot`` lists accounts."""
+    orphans = salted_join(raw, accounts.select("account_id"), "account_id", "left_anti", hot)
+    return orphans.select(*TRANSACTION_COLUMNS, F.lit(ORPHAN).alias("reject_reason"))
 
 
-def duplicate_transactions(raw: DataFrame, strict: bool = True, hot: Sequence | None = None) -> DataFrame:
-    """Every row of a transaction id but the first."""
-    if hot is None:
-        hot = hot_keys(raw, "transaction_id")
-    parsed = with_exact_amount(raw, strict).withColumn("_valid", F.lit(True))
-    if hot:
-        parsed = parsed.withColumn("_split", F.spark_partition_id())
-    marked = mark_firsts(parsed, "transaction_id", transaction_order(), "_valid", hot, "_split")
+def duplicate_transactions(raw: DataFrame, strict: bool = True, hot: Hot = NONE) -> DataFrame:
+    """Every row of a transaction id but the first; ``hot`` lists transaction ids."""
+    parsed = with_lane(with_exact_amount(raw, strict), hot).withColumn("_valid", F.lit(True))
+    marked = mark_firsts(parsed, "transaction_id", transaction_order(), "_valid", hot)
     return marked.filter(~F.col("is_first")).select(
         *TRANSACTION_COLUMNS, F.lit(DUPLICATE).alias("reject_reason")
     )

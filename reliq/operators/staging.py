@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reliq.functions.casts import as_date, as_timestamp, exact_amount, money, required
 from reliq.operators.dedupe import first_per_key
+from reliq.operators.skew import NONE, Hot, salted_join
 
 TRANSACTION_COLUMNS = [
     "transaction_id",
@@ -47,11 +48,12 @@ def stage_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def stage_accounts(raw: DataFrame, customers: DataFrame, strict: bool = True) -> DataFrame:
-    """Accounts with an id and a staged customer, one row per id."""
-    owned = raw.filter("account_id is not null").join(
-        customers.select("customer_id"), "customer_id", "left_semi"
-    )
+def stage_accounts(
+    raw: DataFrame, customers: DataFrame, strict: bool = True, hot: Hot = NONE
+) -> DataFrame:
+    """Accounts with an id and a staged customer, one row per id; ``hot`` lists customers."""
+    named = raw.filter("account_id is not null")
+    owned = salted_join(named, customers.select("customer_id"), "customer_id", "left_semi", hot)
     order = copy_order("customer_id", "account_type", "currency", "opened_date")
     return first_per_key(owned, "account_id", order).select(
         "account_id",
@@ -66,6 +68,12 @@ def with_exact_amount(raw: DataFrame, strict: bool = True) -> DataFrame:
     return raw.withColumn("_amount", exact_amount(F.col("amount"), strict))
 
 
+def has_readable_date() -> Column:
+    """The date is missing or can be read."""
+    text = F.col("transaction_date")
+    return text.isNull() | as_timestamp(text, strict=False).isNotNull()
+
+
 def typed_transactions(rows: DataFrame, strict: bool = True) -> DataFrame:
     """Cents and timestamps; a strict load refuses a row without date, currency or status."""
     columns = {
@@ -83,13 +91,17 @@ def typed_transactions(rows: DataFrame, strict: bool = True) -> DataFrame:
     return rows.select(*[column.alias(name) for name, column in columns.items()])
 
 
-def stage_transactions(raw: DataFrame, accounts: DataFrame, strict: bool = True) -> DataFrame:
-    """Transactions with an id, a positive amount and a staged account, one row per id."""
-    valid = (
-        with_exact_amount(raw, strict)
-        .filter("transaction_id is not null and _amount > 0")
-        .join(accounts.select("account_id"), "account_id", "left_semi")
-    )
+def stage_transactions(
+    raw: DataFrame, accounts: DataFrame, strict: bool = True, hot: Hot = NONE
+) -> DataFrame:
+    """Transactions with an id, a positive amount and a staged account, one row per id.
+
+    ``hot`` lists accounts. A lenient load also leaves out malformed dates.
+    """
+    positive = with_exact_amount(raw, strict).filter("transaction_id is not null and _amount > 0")
+    if not strict:
+        positive = positive.filter(has_readable_date())
+    valid = salted_join(positive, accounts.select("account_id"), "account_id", "left_semi", hot)
     return typed_transactions(first_per_key(valid, "transaction_id", transaction_order()), strict)
 
 

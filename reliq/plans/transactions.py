@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from reliq import schemas
 from reliq.operators import constraints, drift, gates, marts, metrics, quarantine, reconcile, runlog, staging
+from reliq.operators.skew import NONE, HotKeys, hot_keys
 from reliq.sinks.snapshots import publish_transactions
 from reliq.sinks.tables import append_audit, reload_table
 from reliq.sinks.upsert import stored_days, upsert_daily_metrics
@@ -18,6 +19,7 @@ from reliq.sources.files import arrival, header_columns, land_csv, utc
 from reliq.sources.layers import layer_path, read_audit, read_layer
 
 DAG_ID = "transactions_daily"
+NO_KEYS: HotKeys = {}
 
 
 @dataclass(frozen=True)
@@ -86,7 +88,15 @@ def land(spark: SparkSession, inputs: Inputs, layers: Layers, at: datetime | Non
         reload_table(land_csv(spark, getattr(inputs, table), table, at), layers.root, "raw", table)
 
 
-def stage(layers: Layers, strict: bool = True) -> None:
+def find_hot_keys(layers: Layers) -> HotKeys:
+    """Hot keys of the landed tables: transaction ids, accounts and customers."""
+    return {
+        **hot_keys(layers.raw("transactions"), "transaction_id", "account_id"),
+        **hot_keys(layers.raw("accounts"), "customer_id"),
+    }
+
+
+def stage(layers: Layers, strict: bool = True, hot: HotKeys = NO_KEYS) -> None:
     """Reload staging and quarantine, parents before children.
 
     The transactions are classified once and written partitioned by outcome: the accepted
@@ -94,23 +104,25 @@ def stage(layers: Layers, strict: bool = True) -> None:
     """
     customers = staging.stage_customers(layers.raw("customers"), strict)
     reload_table(customers, layers.root, "staging", "customers")
-    accounts = staging.stage_accounts(layers.raw("accounts"), layers.staged("customers"), strict)
+    owners = hot.get("customer_id", NONE)
+    accounts = staging.stage_accounts(layers.raw("accounts"), layers.staged("customers"), strict, owners)
     reload_table(accounts, layers.root, "staging", "accounts")
     classified = quarantine.classify_transactions(
-        layers.raw("transactions"), layers.staged("accounts"), strict
+        layers.raw("transactions"), layers.staged("accounts"), strict, hot=hot
     )
     reload_table(classified, layers.root, "classified", "transactions", partition_by="outcome")
 
 
-def model(layers: Layers, strict: bool = True) -> None:
+def model(layers: Layers, strict: bool = True, hot: HotKeys = NO_KEYS) -> None:
     """Reload the star schema."""
     customers = staging.stg_customers(layers.staged("customers"))
     accounts = staging.stg_accounts(layers.staged("accounts"))
     reload_table(marts.dim_customer(customers), layers.root, "analytics", "dim_customer")
-    reload_table(marts.dim_account(accounts, customers), layers.root, "analytics", "dim_account")
+    owned = marts.dim_account(accounts, customers, hot.get("customer_id", NONE))
+    reload_table(owned, layers.root, "analytics", "dim_account")
     reload_table(marts.dim_date(layers.spark), layers.root, "analytics", "dim_date")
     transactions = staging.stg_transactions(layers.staged_transactions(strict))
-    fact = marts.fact_transactions(transactions, layers.mart("dim_account"))
+    fact = marts.fact_transactions(transactions, layers.mart("dim_account"), hot.get("account_id", NONE))
     reload_table(fact, layers.root, "analytics", "fact_transactions")
 
 
@@ -215,8 +227,9 @@ def run_transactions(
         headers = {f"incoming_{name}": header_columns(spark, getattr(inputs, name)) for name in schemas.RAW}
         guarded(check_drift, layers, headers, run_id, started)
         land(spark, inputs, layers, started)
-        stage(layers, strict)
-        model(layers, strict)
+        hot = find_hot_keys(layers)
+        stage(layers, strict, hot)
+        model(layers, strict, hot)
         check_marts(layers)
         counts = row_counts(layers)
         sizes.update(counts.head().asDict())

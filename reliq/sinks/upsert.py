@@ -5,18 +5,14 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reliq.schemas import DAILY_METRICS
 from reliq.sources.files import arrival
 
-MONTH = "metric_month"
-
-
-def _month(day: str) -> Column:
-    return F.year(day) * 100 + F.month(day)
+YEAR = "metric_year"
 
 
 def merge_days(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -26,7 +22,7 @@ def merge_days(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def read_daily_metrics(spark: SparkSession, path: str) -> DataFrame:
     """The stored metrics; empty before the first run."""
-    layout = T.StructType([*DAILY_METRICS.fields, T.StructField(MONTH, T.IntegerType())])
+    layout = T.StructType([*DAILY_METRICS.fields, T.StructField(YEAR, T.IntegerType())])
     try:
         return spark.read.schema(layout).parquet(path)
     except AnalysisException as error:
@@ -36,7 +32,7 @@ def read_daily_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stored_days(spark: SparkSession, path: str) -> DataFrame:
-    return read_daily_metrics(spark, path).drop(MONTH)
+    return read_daily_metrics(spark, path).drop(YEAR)
 
 
 def upsert_daily_metrics(
@@ -44,19 +40,19 @@ def upsert_daily_metrics(
 ) -> int:
     """Write the metrics of a run and return the number of days written.
 
-    The table is partitioned by month, and only the months of the new days are replaced.
-    One row per calendar day keeps all of this small. The merged months are written
+    The table is partitioned by year, and only the years of the new days are replaced.
+    One row per calendar day keeps all of this small. The merged years are written
     beside the table first, so they outlive a failure while the table is replaced.
     """
     timed = metrics.withColumn("updated_at", arrival(at))
     new = timed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DAILY_METRICS.fields])
-    new.coalesce(1).write.mode("overwrite").parquet(f"{path}.incoming")
+    new.repartition(1).write.mode("overwrite").parquet(f"{path}.incoming")
     incoming = spark.read.schema(DAILY_METRICS).parquet(f"{path}.incoming")
-    incoming = incoming.withColumn(MONTH, _month("metric_date"))
-    months = {row[0]: row[1] for row in incoming.groupBy(MONTH).count().collect()}
-    if months:
-        touched = read_daily_metrics(spark, path).filter(F.col(MONTH).isin(list(months)))
-        merge_days(touched, incoming).coalesce(1).write.mode("overwrite").parquet(f"{path}.merged")
+    incoming = incoming.withColumn(YEAR, F.year("metric_date"))
+    years = {row[0]: row[1] for row in incoming.groupBy(YEAR).count().collect()}
+    if years:
+        touched = read_daily_metrics(spark, path).filter(F.col(YEAR).isin(list(years)))
+        merge_days(touched, incoming).repartition(1).write.mode("overwrite").parquet(f"{path}.merged")
         replacing = spark.read.schema(incoming.schema).parquet(f"{path}.merged").write.mode("overwrite")
-        replacing.option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
-    return sum(months.values())
+        replacing.option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path)
+    return sum(years.values())
