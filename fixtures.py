@@ -233,15 +233,13 @@ class Warehouse:
         return marts.dim_customer(staging.stg_customers(self.customers()))
 
     def dim_account(self) -> DataFrame:
-        return marts.dim_account(
-            staging.stg_accounts(self.accounts()),
-            staging.stg_customers(self.customers()),
-            self.hot_values("customer_id"),
+        return marts.dim_account_of_landed(
+            self.raw("accounts"), staging.stg_customers(self.customers()), hot=self.hot_values("customer_id")
         )
 
     def fact(self) -> DataFrame:
-        return marts.fact_transactions(
-            staging.stg_transactions(self.transactions()), self.dim_account(), self.hot_values("account_id")
+        return marts.fact_of_landed(
+            self.raw("transactions"), self.dim_account(), hot=self.hot_values("account_id")
         )
 
     def quarantine(self) -> DataFrame:

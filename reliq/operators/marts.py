@@ -7,11 +7,23 @@ from pyspark.sql import functions as F
 
 from reliq.functions.dates import padded_day_name, padded_month_name, weekday_from_sunday
 from reliq.operators.skew import NONE, Hot, salted_join
+from reliq.operators.staging import stage_accounts, stage_transactions, stg_transactions
 
 # The calendar the date dimension covers by default.
 FIRST_DAY = "2024-01-01"
 LAST_DAY = "2027-12-31"
 
+CUSTOMER_CONTEXT = ["customer_name", "customer_country"]
+ACCOUNT_CONTEXT = ["customer_id", "customer_country", "account_type"]
+ACCOUNT_COLUMNS = [
+    "account_id",
+    "customer_id",
+    "customer_name",
+    "customer_country",
+    "account_type",
+    "currency",
+    "opened_date",
+]
 FACT_COLUMNS = [
     "transaction_id",
     "account_id",
@@ -39,24 +51,32 @@ def dim_customer(customers: DataFrame) -> DataFrame:
     )
 
 
-def dim_account(accounts: DataFrame, customers: DataFrame, hot: Hot = NONE) -> DataFrame:
-    """Accounts with the name and country of their customer; ``hot`` lists customers."""
-    owner = customers.select(
+def customer_context(customers: DataFrame) -> DataFrame:
+    return customers.select(
         "customer_id",
         F.col("full_name").alias("customer_name"),
         F.col("country").alias("customer_country"),
     )
-    return salted_join(accounts, owner, "customer_id", "left", hot).select(
-        "account_id",
-        "customer_id",
-        "customer_name",
-        "customer_country",
-        "account_type",
-        "currency",
-        "opened_date",
+
+
+def dim_account(accounts: DataFrame, customers: DataFrame, hot: Hot = NONE) -> DataFrame:
+    """Accounts with the name and country of their customer; ``hot`` lists customers."""
+    return salted_join(accounts, customer_context(customers), "customer_id", "left", hot).select(
+        *ACCOUNT_COLUMNS
     )
 
 
+def dim_account_of_landed(
+    raw: DataFrame, customers: DataFrame, strict: bool = True, hot: Hot = NONE
+) -> DataFrame:
+    """``dim_account`` straight from landed accounts.
+
+    One join with the customers both checks the owner and brings its name and country.
+    """
+    staged = stage_accounts(raw, customer_context(customers), strict, hot, CUSTOMER_CONTEXT)
+    return staged.select(*ACCOUNT_COLUMNS)
+
+
 def spread_days(bounds: DataFrame) -> DataFrame:
     """One row per day from ``first_day`` to ``last_day`` of a one-row frame."""
     return bounds.select(
@@ -100,7 +120,22 @@ def fact_transactions(transactions: DataFrame, accounts: DataFrame, hot: Hot = N
 
     ``hot`` lists accounts.
     """
-    context = accounts.select("account_id", "customer_id", "customer_country", "account_type")
+    context = accounts.select("account_id", *ACCOUNT_CONTEXT)
+    return dated_facts(salted_join(transactions, context, "account_id", "left", hot))
+
+
+def fact_of_landed(raw: DataFrame, accounts: DataFrame, strict: bool = True, hot: Hot = NONE) -> DataFrame:
+    """``fact_transactions`` straight from landed transactions and ``dim_account``.
+
+    One join with the accounts both checks the account and brings its context, so the
+    transactions are shuffled once less than by way of staging.
+    """
+    staged = stage_transactions(raw, accounts, strict, hot, ACCOUNT_CONTEXT)
+    return dated_facts(stg_transactions(staged, ACCOUNT_CONTEXT))
+
+
+def dated_facts(transactions: DataFrame) -> DataFrame:
+    """Facts from transactions that carry their account context."""
     moment = F.col("transaction_date")
     dated = transactions.withColumns(
         {
@@ -109,4 +144,4 @@ def fact_transactions(transactions: DataFrame, accounts: DataFrame, hot: Hot = N
             "transaction_date": F.to_date(moment),
         }
     )
-    return salted_join(dated, context, "account_id", "left", hot).select(*FACT_COLUMNS)
+    return dated.select(*FACT_COLUMNS)

@@ -6,6 +6,8 @@ landed rows, loaded rows among the valid ones, so a row can be loaded and quaran
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,16 +44,18 @@ def classify_transactions(
     strict: bool = True,
     tag_missing: bool = False,
     hot: HotKeys | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Every landed row once per ``outcome``: loaded, or a reject reason.
 
     One scan, one join and one exchange on the transaction id serve the staging
-    table and the quarantine. ``accounts`` holds one row per account id.
+    table and the quarantine. ``accounts`` holds one row per account id; account columns
+    to ``carry`` spare a later join.
     """
     hot = hot or {}
     hot_ids = hot.get("transaction_id", NONE)
     parsed = with_lane(with_exact_amount(raw, strict), hot_ids)
-    known = accounts.select("account_id", F.lit(True).alias("_known"))
+    known = accounts.select("account_id", *carry, F.lit(True).alias("_known"))
     checked = salted_join(parsed, known, "account_id", "left", hot.get("account_id", NONE)).withColumns(
         {"_orphan": F.col("_known").isNull(), "_negative": F.coalesce(F.expr("_amount <= 0"), F.lit(False))}
     )
@@ -75,17 +79,18 @@ def classify_transactions(
         outcomes[MISSING[0]] = F.col("transaction_id").isNull()
         outcomes[MISSING[1]] = F.col("amount").isNull()
     matched = F.array_compact(F.array(*[F.when(test, F.lit(tag)) for tag, test in outcomes.items()]))
-    return marked.select(*TRANSACTION_COLUMNS, F.explode(matched).alias("outcome"))
+    return marked.select(*TRANSACTION_COLUMNS, *carry, F.explode(matched).alias("outcome"))
 
 
-def loaded_rows(classified: DataFrame, strict: bool = True) -> DataFrame:
+def loaded_rows(classified: DataFrame, strict: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """The staging rows of a classified frame."""
-    return typed_transactions(classified.filter(F.col("outcome") == LOADED), strict)
+    return typed_transactions(classified.filter(F.col("outcome") == LOADED), strict, carry)
 
 
-def rejected_rows(classified: DataFrame) -> DataFrame:
+def rejected_rows(classified: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """The quarantine rows of a classified frame, as they were landed."""
-    return classified.filter(F.col("outcome") != LOADED).withColumnRenamed("outcome", "reject_reason")
+    rejected = classified.filter(F.col("outcome") != LOADED)
+    return rejected.select(*TRANSACTION_COLUMNS, F.col("outcome").alias("reject_reason"), *carry)
 
 
 def quarantine_transactions(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,12 +50,27 @@ def stage_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
+def with_parent(
+    rows: DataFrame, parents: DataFrame, key: str, hot: Hot = NONE, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Rows whose parent exists, with the columns to ``carry`` from it; parents are unique."""
+    how = "inner" if carry else "left_semi"
+    return salted_join(rows, parents.select(key, *carry), key, how, hot)
+
+
 def stage_accounts(
-    raw: DataFrame, customers: DataFrame, strict: bool = True, hot: Hot = NONE
+    raw: DataFrame,
+    customers: DataFrame,
+    strict: bool = True,
+    hot: Hot = NONE,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Accounts with an id and a staged customer, one row per id; ``hot`` lists customers."""
+    """Accounts with an id and a staged customer, one row per id.
+
+    ``hot`` lists customers. Customer columns to ``carry`` spare a later join.
+    """
     named = raw.filter("account_id is not null")
-    owned = salted_join(named, customers.select("customer_id"), "customer_id", "left_semi", hot)
+    owned = with_parent(named, customers, "customer_id", hot, carry)
     order = copy_order("customer_id", "account_type", "currency", "opened_date")
     return first_per_key(owned, "account_id", order).select(
         "account_id",
@@ -61,6 +78,7 @@ def stage_accounts(
         "account_type",
         "currency",
         as_date(F.col("opened_date"), strict).alias("opened_date"),
+        *carry,
     )
 
 
@@ -74,7 +92,7 @@ def has_readable_date() -> Column:
     return text.isNull() | as_timestamp(text, strict=False).isNotNull()
 
 
-def typed_transactions(rows: DataFrame, strict: bool = True) -> DataFrame:
+def typed_transactions(rows: DataFrame, strict: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """Cents and timestamps; a strict load refuses a row without date, currency or status."""
     columns = {
         "transaction_id": F.col("transaction_id"),
@@ -88,21 +106,26 @@ def typed_transactions(rows: DataFrame, strict: bool = True) -> DataFrame:
     if strict:
         for name in ("transaction_date", "currency", "status"):
             columns[name] = required(columns[name], name)
-    return rows.select(*[column.alias(name) for name, column in columns.items()])
+    return rows.select(*[column.alias(name) for name, column in columns.items()], *carry)
 
 
 def stage_transactions(
-    raw: DataFrame, accounts: DataFrame, strict: bool = True, hot: Hot = NONE
+    raw: DataFrame,
+    accounts: DataFrame,
+    strict: bool = True,
+    hot: Hot = NONE,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Transactions with an id, a positive amount and a staged account, one row per id.
 
-    ``hot`` lists accounts. A lenient load also leaves out malformed dates.
+    ``hot`` lists accounts. Account columns to ``carry`` spare a later join. A lenient
+    load also leaves out malformed dates.
     """
     positive = with_exact_amount(raw, strict).filter("transaction_id is not null and _amount > 0")
     if not strict:
         positive = positive.filter(has_readable_date())
-    valid = salted_join(positive, accounts.select("account_id"), "account_id", "left_semi", hot)
-    return typed_transactions(first_per_key(valid, "transaction_id", transaction_order()), strict)
+    valid = with_parent(positive, accounts, "account_id", hot, carry)
+    return typed_transactions(first_per_key(valid, "transaction_id", transaction_order()), strict, carry)
 
 
 def stg_customers(staged: DataFrame) -> DataFrame:
@@ -121,7 +144,7 @@ def stg_accounts(staged: DataFrame) -> DataFrame:
     )
 
 
-def stg_transactions(staged: DataFrame) -> DataFrame:
+def stg_transactions(staged: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Staged transactions that are still positive in cents."""
     return staged.filter("transaction_id is not null and amount > 0").select(
         "transaction_id",
@@ -131,4 +154,5 @@ def stg_transactions(staged: DataFrame) -> DataFrame:
         "currency",
         "status",
         "merchant",
+        *carry,
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -47,12 +48,15 @@ class Layers:
         """Landed transactions once per outcome, partitioned by it."""
         return read_layer(self.spark, self.root, "classified", "transactions")
 
-    def staged_transactions(self, strict: bool = True) -> DataFrame:
+    def staged_transactions(self, strict: bool = True, carry: Sequence[str] = ()) -> DataFrame:
         """The typed view over the accepted rows; reads one partition."""
-        return quarantine.loaded_rows(self.classified(), strict)
+        stored = self.classified().withColumnRenamed("recorded_at", "ingested_at")
+        return quarantine.loaded_rows(stored, strict, [*carry, "ingested_at"])
 
     def quarantined(self) -> DataFrame:
-        return quarantine.rejected_rows(self.classified())
+        """The rejected rows with their reason; reads the other partitions."""
+        stored = self.classified().withColumnRenamed("recorded_at", "rejected_at")
+        return quarantine.rejected_rows(stored, ["rejected_at"])
 
     def mart(self, table: str) -> DataFrame:
         return read_layer(self.spark, self.root, "analytics", table)
@@ -96,33 +100,37 @@ def find_hot_keys(layers: Layers) -> HotKeys:
     }
 
 
-def stage(layers: Layers, strict: bool = True, hot: HotKeys = NO_KEYS) -> None:
-    """Reload staging and quarantine, parents before children.
+def stage(
+    layers: Layers, at: datetime | None = None, strict: bool = True, hot: HotKeys = NO_KEYS
+) -> None:
+    """Reload staging, quarantine and account dimension, parents before children.
 
     The transactions are classified once and written partitioned by outcome: the accepted
-    partition is the staging table, the others are the quarantine.
+    partition is the staging table, the others are the quarantine. The join that finds
+    orphans also brings the account context of the fact table.
     """
     customers = staging.stage_customers(layers.raw("customers"), strict)
-    reload_table(customers, layers.root, "staging", "customers")
+    reload_table(customers.withColumn("ingested_at", arrival(at)), layers.root, "staging", "customers")
     owners = hot.get("customer_id", NONE)
     accounts = staging.stage_accounts(layers.raw("accounts"), layers.staged("customers"), strict, owners)
-    reload_table(accounts, layers.root, "staging", "accounts")
-    classified = quarantine.classify_transactions(
-        layers.raw("transactions"), layers.staged("accounts"), strict, hot=hot
+    reload_table(accounts.withColumn("ingested_at", arrival(at)), layers.root, "staging", "accounts")
+    known = marts.dim_account(
+        staging.stg_accounts(layers.staged("accounts")), staging.stg_customers(layers.staged("customers")), owners
     )
+    reload_table(known, layers.root, "analytics", "dim_account")
+    classified = quarantine.classify_transactions(
+        layers.raw("transactions"), layers.mart("dim_account"), strict, hot=hot, carry=marts.ACCOUNT_CONTEXT
+    ).withColumn("recorded_at", arrival(at))
     reload_table(classified, layers.root, "classified", "transactions", partition_by="outcome")
 
 
-def model(layers: Layers, strict: bool = True, hot: HotKeys = NO_KEYS) -> None:
-    """Reload the star schema."""
+def model(layers: Layers, strict: bool = True) -> None:
+    """Reload the rest of the star schema; the facts need no join any more."""
     customers = staging.stg_customers(layers.staged("customers"))
-    accounts = staging.stg_accounts(layers.staged("accounts"))
     reload_table(marts.dim_customer(customers), layers.root, "analytics", "dim_customer")
-    owned = marts.dim_account(accounts, customers, hot.get("customer_id", NONE))
-    reload_table(owned, layers.root, "analytics", "dim_account")
     reload_table(marts.dim_date(layers.spark), layers.root, "analytics", "dim_date")
-    transactions = staging.stg_transactions(layers.staged_transactions(strict))
-    fact = marts.fact_transactions(transactions, layers.mart("dim_account"), hot.get("account_id", NONE))
+    staged = layers.staged_transactions(strict, marts.ACCOUNT_CONTEXT)
+    fact = marts.dated_facts(staging.stg_transactions(staged, marts.ACCOUNT_CONTEXT))
     reload_table(fact, layers.root, "analytics", "fact_transactions")
 
 
@@ -228,8 +236,8 @@ def run_transactions(
         guarded(check_drift, layers, headers, run_id, started)
         land(spark, inputs, layers, started)
         hot = find_hot_keys(layers)
-        stage(layers, strict, hot)
-        model(layers, strict, hot)
+        stage(layers, started, strict, hot)
+        model(layers, strict)
         check_marts(layers)
         counts = row_counts(layers)
         sizes.update(counts.head().asDict())
