@@ -11,6 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reliq.operators import marts, quarantine, staging
 from reliq.operators.skew import NONE, Hot, HotKeys, hot_keys
@@ -18,8 +19,21 @@ from reliq.schemas import INSTITUTION, RAW_TRANSACTIONS
 from reliq.session import configure
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its file schema is looked up once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer input splits than cores; a large table is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def raw_customers(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
@@ -55,11 +69,11 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_transactions(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     """Transactions with derived defects, or with almost none when ``clean``."""
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_part"), F.col("p_brand").alias("merchant"))
-    lines = transaction_lines(spark, sf_dir, clean)
+    lines = transaction_lines(spread(table(spark, sf_dir, "lineitem")), clean)
     return lines.join(part, "_part").select(*RAW_TRANSACTIONS.names, "ingested_at")
 
 
-def transaction_lines(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
+def transaction_lines(lineitem: DataFrame, clean: bool = False) -> DataFrame:
     """Transactions that still lack their merchant."""
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     order, quantity = F.col("l_orderkey").cast("string"), F.col("l_quantity")
@@ -73,7 +87,7 @@ def transaction_lines(spark: SparkSession, sf_dir: str, clean: bool = False) ->
         refunded = (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.095)
         amount = F.when(refunded, -price).otherwise(price)
     return (
-        table(spark, sf_dir, "lineitem").select(
+        lineitem.select(
             F.col("l_partkey").alias("_part"),
             transaction_id.alias("transaction_id"),
             account.alias("account_id"),
@@ -209,7 +223,7 @@ class Warehouse:
     @cached_property
     def hot(self) -> HotKeys:
         """Hot keys of the landed tables, from samples of their key columns."""
-        lines = transaction_lines(self.spark, self.sf_dir, self.clean)
+        lines = transaction_lines(table(self.spark, self.sf_dir, "lineitem"), self.clean)
         return {
             **hot_keys(lines, "transaction_id", "account_id"),
             **hot_keys(self.raw("accounts"), "customer_id"),

@@ -33,7 +33,6 @@ from reliq.sinks.snapshots import publish_transactions, write_csv
 from reliq.sinks.tables import reload_table
 from reliq.sinks.upsert import stored_days, upsert_daily_metrics
 from reliq.sources.files import land_csv, load_csv
-from reliq.sources.layers import read_layer
 from reliq.sources.pages import fetch_institutions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,8 +169,7 @@ def daily_metrics_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored metrics table after a second run: late days are rewritten, early ones stay."""
     path = fresh_dir(spark, "metrics")
     daily = metrics.daily_metrics(Warehouse(spark, sf_dir).fact())
-    reload_table(daily, path, "work", "daily")
-    daily = read_layer(spark, path, "work", "daily")
+    daily = spark.read.schema(daily.schema).parquet(reload_table(daily, path, "work", "daily"))
     late = F.col("metric_date") >= F.lit("1998-01-15").cast("date")
     before = daily.withColumn("active_accounts", F.when(late, 0).otherwise(F.col("active_accounts")))
     upsert_daily_metrics(spark, before, f"{path}/daily_transaction_metrics", FIXED_TIME)

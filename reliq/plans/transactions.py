@@ -17,7 +17,7 @@ from reliq.sinks.snapshots import publish_transactions
 from reliq.sinks.tables import append_audit, reload_table
 from reliq.sinks.upsert import stored_days, upsert_daily_metrics
 from reliq.sources.files import arrival, header_columns, land_csv, utc
-from reliq.sources.layers import layer_path, read_audit, read_layer
+from reliq.sources.layers import layer_path, read_layer
 
 DAG_ID = "transactions_daily"
 NO_KEYS: HotKeys = {}
@@ -69,21 +69,13 @@ class Layers:
         return stored_days(self.spark, self.metrics_path)
 
     def ops(self, table: str) -> DataFrame:
-        return read_audit(self.spark, self.root, "ops", table, OPS[table])
+        return read_layer(self.spark, self.root, "ops", table)
 
     def runs(self) -> DataFrame:
         return runlog.run_state(self.ops("run_events"))
 
     def audit(self, df: DataFrame, table: str) -> None:
-        append_audit(df, self.root, "ops", table, OPS[table])
-
-
-OPS = {
-    "run_events": schemas.RUN_EVENTS,
-    "quality_checks": schemas.QUALITY_CHECKS,
-    "reconciliation": schemas.RECONCILIATION,
-    "schema_snapshots": schemas.SCHEMA_SNAPSHOTS,
-}
+        append_audit(df, self.root, "ops", table)
 
 
 def land(spark: SparkSession, inputs: Inputs, layers: Layers, at: datetime | None = None) -> None:

@@ -29,6 +29,58 @@ RAW_TRANSACTIONS = _text(
 )
 RAW = {"customers": RAW_CUSTOMERS, "accounts": RAW_ACCOUNTS, "transactions": RAW_TRANSACTIONS}
 
+
+def _with(layout: T.StructType, **columns: T.DataType) -> T.StructType:
+    return T.StructType([*layout.fields, *_struct(**columns).fields])
+
+
+STG_CUSTOMERS = _struct(customer_id=TEXT, full_name=TEXT, email=TEXT, country=TEXT, signup_date=DATE)
+STG_ACCOUNTS = _struct(account_id=TEXT, customer_id=TEXT, account_type=TEXT, currency=TEXT, opened_date=DATE)
+
+DIM_CUSTOMER = _with(STG_CUSTOMERS, signup_year=T.IntegerType())
+DIM_ACCOUNT = _struct(
+    account_id=TEXT,
+    customer_id=TEXT,
+    customer_name=TEXT,
+    customer_country=TEXT,
+    account_type=TEXT,
+    currency=TEXT,
+    opened_date=DATE,
+)
+DIM_DATE = _struct(
+    date_day=DATE,
+    year=T.IntegerType(),
+    month=T.IntegerType(),
+    day=T.IntegerType(),
+    day_of_week=T.IntegerType(),
+    day_name=TEXT,
+    month_name=TEXT,
+    quarter=T.IntegerType(),
+)
+FACT_TRANSACTIONS = _struct(
+    transaction_id=TEXT,
+    account_id=TEXT,
+    customer_id=TEXT,
+    customer_country=TEXT,
+    account_type=TEXT,
+    transaction_date=DATE,
+    transaction_day=DATE,
+    transaction_hour=T.IntegerType(),
+    amount=MONEY,
+    currency=TEXT,
+    status=TEXT,
+    merchant=TEXT,
+)
+# Landed transactions once per outcome, with the account context of the facts.
+CLASSIFIED = _with(
+    RAW_TRANSACTIONS,
+    customer_id=TEXT,
+    customer_country=TEXT,
+    account_type=TEXT,
+    outcome=TEXT,
+    recorded_at=TIMESTAMP,
+)
+
 DAILY_METRICS = _struct(
     metric_date=DATE,
     total_transactions=COUNT,
@@ -107,3 +159,31 @@ INSTITUTION_PAGE = T.StructType(
 )
 
 INSTITUTION_META = _struct(generated_at=TEXT, institution_count=COUNT, rejected_count=COUNT)
+
+JUDGED_INSTITUTION = _with(INSTITUTION, _reason=TEXT)
+
+# Layer tables, by layer and name.
+LAYERS = {
+    "raw": {
+        **{name: _with(layout, ingested_at=TIMESTAMP) for name, layout in RAW.items()},
+        "institutions": INSTITUTION,
+    },
+    "staging": {
+        "customers": _with(STG_CUSTOMERS, ingested_at=TIMESTAMP),
+        "accounts": _with(STG_ACCOUNTS, ingested_at=TIMESTAMP),
+        "institutions": JUDGED_INSTITUTION,
+    },
+    "classified": {"transactions": CLASSIFIED},
+    "analytics": {
+        "dim_customer": DIM_CUSTOMER,
+        "dim_account": DIM_ACCOUNT,
+        "dim_date": DIM_DATE,
+        "fact_transactions": FACT_TRANSACTIONS,
+    },
+    "ops": {
+        "run_events": RUN_EVENTS,
+        "quality_checks": QUALITY_CHECKS,
+        "reconciliation": RECONCILIATION,
+        "schema_snapshots": SCHEMA_SNAPSHOTS,
+    },
+}

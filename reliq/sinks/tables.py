@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from reliq.schemas import LAYERS
 from reliq.sources.layers import layer_path
 
 
@@ -19,12 +19,11 @@ def reload_table(df: DataFrame, root: str, layer: str, table: str, partition_by:
     return path
 
 
-def append_audit(df: DataFrame, root: str, layer: str, table: str, schema: T.StructType) -> str:
-    """Append audit rows in the declared layout."""
+def append_audit(df: DataFrame, root: str, layer: str, table: str) -> str:
+    """Append a few audit rows in the declared layout."""
     path = layer_path(root, layer, table)
-    df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).coalesce(1).write.mode(
-        "append"
-    ).parquet(path)
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in LAYERS[layer][table].fields]
+    df.select(*columns).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
@@ -38,10 +37,8 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def insert_new(spark: SparkSession, df: DataFrame, path: str) -> int:
+def insert_new(df: DataFrame, path: str) -> int:
     """Append rows that were found missing, and return how many."""
-    from pyspark.sql import Observation
-
     seen = Observation("inserted")
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
     return seen.get["rows"]

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+
+from reliq.schemas import LAYERS
 
 
 def layer_path(root: str, layer: str, table: str) -> str:
@@ -11,12 +12,8 @@ def layer_path(root: str, layer: str, table: str) -> str:
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    return spark.read.parquet(layer_path(root, layer, table))
-
-
-def read_audit(spark: SparkSession, root: str, layer: str, table: str, schema: T.StructType) -> DataFrame:
-    """An append-only table with its declared columns."""
-    return spark.read.schema(schema).parquet(layer_path(root, layer, table))
+    """A stored table in its declared layout."""
+    return spark.read.schema(LAYERS[layer][table]).parquet(layer_path(root, layer, table))
 
 
 def table_columns(df: DataFrame) -> list[str]:
