@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from reliq.operators import (
     staging,
 )
 from reliq.plans.institutions import run_institutions
+from reliq.functions.together import together
 from reliq.plans.transactions import Inputs, Layers, run_transactions
 from reliq.schemas import RAW, RAW_CUSTOMERS
 from reliq.session import configure, fresh_dir
@@ -273,8 +275,8 @@ def institutions_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_inputs(spark: SparkSession, sf_dir: str, clean: bool = False) -> Inputs:
     """The three incoming CSVs in the shared folder."""
     w, root = Warehouse(spark, sf_dir, clean), fresh_dir(spark, "incoming")
-    for name in RAW:
-        write_csv(w.raw(name).drop("ingested_at"), f"{root}/{name}.csv")
+    frames = {name: w.raw(name).drop("ingested_at") for name in RAW}
+    together(*[partial(write_csv, df, f"{root}/{name}.csv") for name, df in frames.items()])
     return Inputs(*[f"{root}/{name}.csv" for name in RAW])
 
 

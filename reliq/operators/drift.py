@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from datetime import datetime
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reliq.operators.gates import GateFailure
+from reliq.sources.files import utc
+from reliq.sources.layers import table_columns
 
 
-def schema_snapshot(df: DataFrame, run_id: str, table: str, captured_at: Column) -> DataFrame:
-    """One row with the column names of a frame, in order."""
-    names = F.array(*[F.lit(name) for name in df.columns])
-    one = df.sparkSession.range(1)
-    return one.select(
-        F.lit(run_id).alias("dag_run_id"),
-        F.lit(table).alias("table_name"),
-        names.alias("column_names"),
-        captured_at.cast("timestamp").alias("captured_at"),
-    )
+def schema_snapshot(df: DataFrame, run_id: str, table: str, at: datetime | None = None) -> tuple:
+    """A snapshot row with the column names of a frame, in order."""
+    return (run_id, table, table_columns(df), utc(at))
 
 
 def snapshot_at_newest_row(df: DataFrame, run_id: str, table: str) -> DataFrame:

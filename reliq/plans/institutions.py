@@ -5,13 +5,12 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from reliq.operators import gates, institutions, runlog
-from reliq.plans.transactions import Layers
+from reliq.plans.transactions import Layers, check, one_row
 from reliq.sinks.snapshots import publish_institutions
 from reliq.sinks.tables import reload_table
-from reliq.sources.files import arrival, utc
+from reliq.sources.files import utc
 from reliq.sources.layers import layer_path, read_layer
 from reliq.sources.pages import fetch_institutions
 
@@ -57,11 +56,8 @@ def run_institutions(
         records = institutions.with_reason(layers.raw("institutions"))
         reload_table(records, root, "staging", "institutions")
         sizes.update(institutions.outcome_counts(judged(spark, root)).head().asDict())
-        one = spark.range(1)
-        counts = one.select(*[F.lit(n).cast("bigint").alias(name) for name, n in sizes.items()])
-        checks = gates.institution_gates(counts)
-        layers.audit(gates.audit_rows(checks, run_id, arrival(started)), "quality_checks")
-        gates.require_passed(checks)
+        counts = one_row(spark, sizes)
+        check(layers, gates.institution_gates(counts), run_id, started)
     except Exception as error:
         finish("failed", str(error)[:2000])
         raise

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from reliq import schemas
 from reliq.operators import constraints, drift, gates, marts, metrics, quarantine, reconcile, runlog, staging
 from reliq.operators.skew import NONE, HotKeys, hot_keys
+from reliq.functions.together import together
 from reliq.sinks.snapshots import publish_transactions
 from reliq.sinks.tables import append_audit, reload_table
 from reliq.sinks.upsert import stored_days, upsert_daily_metrics
@@ -80,16 +81,21 @@ class Layers:
 
 def land(spark: SparkSession, inputs: Inputs, layers: Layers, at: datetime | None = None) -> None:
     """Reload the raw layer."""
-    for table in schemas.RAW:
-        reload_table(land_csv(spark, getattr(inputs, table), table, at), layers.root, "raw", table)
+
+    def reload(table: str):
+        rows = land_csv(spark, getattr(inputs, table), table, at)
+        return lambda: reload_table(rows, layers.root, "raw", table)
+
+    together(*[reload(table) for table in schemas.RAW])
 
 
 def find_hot_keys(layers: Layers) -> HotKeys:
     """Hot keys of the landed tables: transaction ids, accounts and customers."""
-    return {
-        **hot_keys(layers.raw("transactions"), "transaction_id", "account_id"),
-        **hot_keys(layers.raw("accounts"), "customer_id"),
-    }
+    rows, accounts = together(
+        lambda: hot_keys(layers.raw("transactions"), "transaction_id", "account_id"),
+        lambda: hot_keys(layers.raw("accounts"), "customer_id"),
+    )
+    return {**rows, **accounts}
 
 
 def stage(
@@ -119,11 +125,13 @@ def stage(
 def model(layers: Layers, strict: bool = True) -> None:
     """Reload the rest of the star schema; the facts need no join any more."""
     customers = staging.stg_customers(layers.staged("customers"))
-    reload_table(marts.dim_customer(customers), layers.root, "analytics", "dim_customer")
-    reload_table(marts.dim_date(layers.spark), layers.root, "analytics", "dim_date")
     staged = layers.staged_transactions(strict, marts.ACCOUNT_CONTEXT)
-    fact = marts.dated_facts(staging.stg_transactions(staged, marts.ACCOUNT_CONTEXT))
-    reload_table(fact, layers.root, "analytics", "fact_transactions")
+    models = {
+        "fact_transactions": marts.dated_facts(staging.stg_transactions(staged, marts.ACCOUNT_CONTEXT)),
+        "dim_customer": marts.dim_customer(customers),
+        "dim_date": marts.dim_date(layers.spark),
+    }
+    together(*[partial(reload_table, df, layers.root, "analytics", name) for name, df in models.items()])
 
 
 def check_marts(layers: Layers) -> None:
@@ -136,20 +144,23 @@ def check_marts(layers: Layers) -> None:
         raise gates.GateFailure(f"Constraint tests failed: {failed}")
 
 
-def row_counts(layers: Layers) -> DataFrame:
-    """One row with the sizes the gates look at, counted once."""
-    counts = {
-        "raw_rows": layers.raw("transactions").count(),
-        "fact_rows": layers.mart("fact_transactions").count(),
-        "quarantined_rows": layers.quarantined().count(),
+def row_counts(layers: Layers) -> dict[str, int]:
+    """The sizes the gates look at, counted once."""
+    tables = {
+        "raw_rows": layers.raw("transactions"),
+        "fact_rows": layers.mart("fact_transactions"),
+        "quarantined_rows": layers.quarantined(),
     }
-    one = layers.spark.range(1)
-    return one.select(*[F.lit(value).cast("bigint").alias(name) for name, value in counts.items()])
+    return dict(zip(tables, together(*[df.count for df in tables.values()])))
+
+
+def one_row(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Counts of a run as a one-row frame."""
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()])
 
 
-def check(layers: Layers, counts: DataFrame, run_id: str, at: datetime | None = None) -> None:
+def check(layers: Layers, checks: DataFrame, run_id: str, at: datetime | None = None) -> None:
     """Audit every gate, then fail with all failed names."""
-    checks = gates.transaction_gates(counts)
     layers.audit(gates.audit_rows(checks, run_id, arrival(at)), "quality_checks")
     gates.require_passed(checks)
 
@@ -165,8 +176,8 @@ def reconcile_layers(
 
 def check_drift(layers: Layers, tables: dict[str, DataFrame], run_id: str, at: datetime | None = None) -> None:
     """Snapshot the columns of some tables and compare them with the run before."""
-    taken = [drift.schema_snapshot(df, run_id, name, arrival(at)) for name, df in tables.items()]
-    layers.audit(reduce(DataFrame.unionByName, taken), "schema_snapshots")
+    taken = [drift.schema_snapshot(df, run_id, name, at) for name, df in tables.items()]
+    layers.audit(layers.spark.createDataFrame(taken, schemas.SCHEMA_SNAPSHOTS), "schema_snapshots")
     snapshots = layers.ops("schema_snapshots").filter(F.col("table_name").isin(list(tables)))
     drift.require_no_drift(drift.detect_drift(snapshots))
 
@@ -231,9 +242,8 @@ def run_transactions(
         stage(layers, started, strict, hot)
         model(layers, strict)
         check_marts(layers)
-        counts = row_counts(layers)
-        sizes.update(counts.head().asDict())
-        guarded(check, layers, counts, run_id, started)
+        sizes.update(row_counts(layers))
+        guarded(check, layers, gates.transaction_gates(one_row(spark, sizes)), run_id, started)
         guarded(reconcile_layers, layers, run_id, started, strict)
         guarded(check_drift, layers, {name: layers.raw(name) for name in schemas.RAW}, run_id, started)
         sizes["metric_days"] = measure(layers, started)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reliq.operators.reports import latest_facts, latest_metrics, reject_breakdown
 from reliq.operators.runlog import recent_runs
+from reliq.functions.together import together
 from reliq.schemas import INSTITUTION, INSTITUTION_META
 
 RUN_COLUMNS = [
@@ -48,8 +51,7 @@ def publish_transactions(
         "pipeline_runs.csv": recent_runs(runs).select(*RUN_COLUMNS),
     }
     paths = {name: f"{folder}/{name}" for name in reports}
-    for name, report in reports.items():
-        write_csv(report.coalesce(1), paths[name])
+    together(*[partial(write_csv, report.coalesce(1), paths[name]) for name, report in reports.items()])
     return paths
 
 

@@ -5,34 +5,26 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reliq.schemas import DAILY_METRICS
 from reliq.sources.files import arrival
 
-YEAR = "metric_year"
-
 
 def merge_days(old: DataFrame, new: DataFrame) -> DataFrame:
     """New days replace old ones of the same date; all other old days stay."""
     return old.join(new.select("metric_date"), "metric_date", "left_anti").unionByName(new)
 
 
-def read_daily_metrics(spark: SparkSession, path: str) -> DataFrame:
+def stored_days(spark: SparkSession, path: str) -> DataFrame:
     """The stored metrics; empty before the first run."""
-    layout = T.StructType([*DAILY_METRICS.fields, T.StructField(YEAR, T.IntegerType())])
     try:
-        return spark.read.schema(layout).parquet(path)
+        return spark.read.schema(DAILY_METRICS).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], layout)
-
-
-def stored_days(spark: SparkSession, path: str) -> DataFrame:
-    return read_daily_metrics(spark, path).drop(YEAR)
+        return spark.createDataFrame([], DAILY_METRICS)
 
 
 def upsert_daily_metrics(
@@ -40,19 +32,17 @@ def upsert_daily_metrics(
 ) -> int:
     """Write the metrics of a run and return the number of days written.
 
-    The table is partitioned by year, and only the years of the new days are replaced.
-    One row per calendar day keeps all of this small. The merged years are written
-    beside the table first, so they outlive a failure while the table is replaced.
+    The table holds one row per calendar day, so it stays small however many
+    transactions there are, and is replaced whole. The merged days are written beside it
+    first: they never read what they replace, and outlive a failure in between.
     """
-    timed = metrics.withColumn("updated_at", arrival(at))
-    new = timed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DAILY_METRICS.fields])
-    new.repartition(1).write.mode("overwrite").parquet(f"{path}.incoming")
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in DAILY_METRICS.fields]
+    new = metrics.withColumn("updated_at", arrival(at)).select(*columns)
+    seen = Observation("metric_days")
+    counted = new.repartition(1).observe(seen, F.count(F.lit(1)).alias("days"))
+    counted.write.mode("overwrite").parquet(f"{path}.incoming")
     incoming = spark.read.schema(DAILY_METRICS).parquet(f"{path}.incoming")
-    incoming = incoming.withColumn(YEAR, F.year("metric_date"))
-    years = {row[0]: row[1] for row in incoming.groupBy(YEAR).count().collect()}
-    if years:
-        touched = read_daily_metrics(spark, path).filter(F.col(YEAR).isin(list(years)))
-        merge_days(touched, incoming).repartition(1).write.mode("overwrite").parquet(f"{path}.merged")
-        replacing = spark.read.schema(incoming.schema).parquet(f"{path}.merged").write.mode("overwrite")
-        replacing.option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path)
-    return sum(years.values())
+    merge_days(stored_days(spark, path), incoming).repartition(1).write.mode("overwrite").parquet(f"{path}.merged")
+    merged = spark.read.schema(DAILY_METRICS).parquet(f"{path}.merged")
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return seen.get["days"]
