@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reliq.operators.skew import NONE, Hot, salted_join
+
 # The statuses a transaction may have.
 STATUSES = ["success", "failed", "pending"]
 
@@ -32,14 +34,13 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFr
     return outside.groupBy(F.col(column).alias("value_field")).agg(F.count("*").alias("n_records"))
 
 
-def relationships(child: DataFrame, parent: DataFrame, column: str, field: str | None = None) -> DataFrame:
+def relationships(
+    child: DataFrame, parent: DataFrame, column: str, field: str | None = None, hot: Hot = NONE
+) -> DataFrame:
     """Child values without a parent, one entry per child row; null is ignored."""
     keys = parent.select(F.col(field or column).alias("from_field"))
-    return (
-        child.filter(F.col(column).isNotNull())
-        .select(F.col(column).alias("from_field"))
-        .join(keys, "from_field", "left_anti")
-    )
+    values = child.filter(F.col(column).isNotNull()).select(F.col(column).alias("from_field"))
+    return salted_join(values, keys, "from_field", "left_anti", hot)
 
 
 def verdict(name: str | Column, failures: Column) -> list[Column]:

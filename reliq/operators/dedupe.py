@@ -23,9 +23,12 @@ def first_per_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame
 
 
 def insert_ignore(target: DataFrame, incoming: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """The incoming rows whose key the target does not hold, one row per key."""
-    new = incoming.join(target.select(key), key, "left_anti")
-    return first_per_key(new, key, order)
+    """The incoming rows whose key the target does not hold, one row per key.
+
+    The incoming rows are cut to one per key first, which also leaves them partitioned
+    for the join.
+    """
+    return first_per_key(incoming, key, order).join(target.select(key), key, "left_anti")
 
 
 def mark_firsts(
@@ -42,12 +45,15 @@ def mark_firsts(
     """
     if not hot:
         return _ranked(df, [key], order, valid)
-    own_lane = F.when(is_one_of(F.col(key), hot.values), F.col(lane)).otherwise(-1)
-    local = _ranked(df.withColumn(lane, own_lane), [key, lane], order, valid)
-    winner = (F.col(lane) >= 0) & (F.col("is_first") | F.col("is_first_valid"))
+    laned = df.withColumn("_spread", is_one_of(F.col(key), hot.values))
+    laned = laned.withColumn(lane, F.when(F.col("_spread"), F.col(lane)).otherwise(-1))
+    local = _ranked(laned, [key, lane], order, valid)
+    # Told by a column the window does not partition by, so that both branches read the
+    # same exchange instead of repeating what lies below it.
+    winner = F.col("_spread") & (F.col("is_first") | F.col("is_first_valid"))
     settled = local.filter(~winner)
     contested = local.filter(winner).drop("is_first", "is_first_valid")
-    return settled.unionByName(_ranked(contested, [key], order, valid))
+    return settled.unionByName(_ranked(contested, [key], order, valid)).drop("_spread")
 
 
 def _ranked(df: DataFrame, by: list[str], order: Sequence[Column], valid: str) -> DataFrame:

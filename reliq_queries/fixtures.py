@@ -1,7 +1,7 @@
 """The landed tables, derived from the driver tables.
 
 The driver tables hold no defects, so they are derived here by fixed rules. The same
-rules are written as SQL in ``oracle.py``.
+rules are written as SQL in the module ``oracle``.
 """
 
 from __future__ import annotations

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import fixtures
-from fixtures import Warehouse
+from reliq_queries import fixtures
+from reliq_queries.fixtures import Warehouse
 from reliq.operators import (
     constraints,
     dedupe,
@@ -119,7 +119,9 @@ over_warehouse(
 )
 over_warehouse(
     "test_relationships",
-    lambda w: constraints.relationships(w.raw("transactions"), w.accounts(), "account_id"),
+    lambda w: constraints.relationships(
+        w.raw("transactions"), w.accounts(), "account_id", hot=w.hot_values("account_id")
+    ),
 )
 over_warehouse(
     "reconciliation", lambda w: reconcile.reconcile_totals(w.raw("transactions"), w.fact())

@@ -3,10 +3,10 @@
 import re
 
 import pytest
-from fixtures import Warehouse
+from reliq_queries.fixtures import Warehouse
 from helpers import accounts_frame, landed, transaction
 
-import registry
+from reliq_queries import registry
 from reliq.operators import dedupe, metrics, quarantine, reports, staging
 from reliq.operators.skew import Hot
 
@@ -42,7 +42,12 @@ def test_the_classifier_ranks_with_one_exchange(small, no_broadcast):
 
 def test_hot_keys_add_an_exchange_of_winners_only(small, no_broadcast):
     hot = {"transaction_id": Hot(("t1",), 2), "account_id": Hot(("a1",), 2)}
-    text = plan(quarantine.classify_transactions(*small, hot=hot))
+    classified = quarantine.classify_transactions(*small, hot=hot)
+    classified.collect()
+    text = plan(classified)
+    final = text[: text.index("Initial Plan")]
+    assert len(re.findall(r"[^d]Exchange hashpartitioning\(transaction_id#\d+, _lane", final)) == 1
+    assert "ReusedExchange" in final
     assert "_lane" in text and "_piece" in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
