@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,12 @@ SNAPSHOT_COLUMNS = [
 ]
 
 
+def side_by_side(*totals: DataFrame) -> DataFrame:
+    """One row with the columns of several one-row frames, without a join."""
+    stacked = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), totals)
+    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+
+
 def reject_breakdown(quarantine: DataFrame) -> DataFrame:
     """Quarantined rows per reason, most frequent first."""
     return quarantine.groupBy("reject_reason").count().orderBy(F.desc("count"), "reject_reason")
@@ -49,7 +57,7 @@ def fact_kpis(fact: DataFrame, breakdown: DataFrame) -> DataFrame:
         F.countDistinct("merchant").alias("merchants"),
     )
     rejected = breakdown.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("quarantined"))
-    return totals.crossJoin(rejected)
+    return side_by_side(totals, rejected)
 
 
 def country_rollup(fact: DataFrame, customers: DataFrame) -> DataFrame:
@@ -74,17 +82,13 @@ def country_rollup(fact: DataFrame, customers: DataFrame) -> DataFrame:
 def layer_row_counts(
     raw: DataFrame, staging: DataFrame, fact: DataFrame, breakdown: DataFrame
 ) -> DataFrame:
-    """One row with the size of every layer; each side of the cross joins is one row."""
-    counted = [
+    """One row with the size of every layer."""
+    return side_by_side(
         raw.agg(F.count("*").alias("raw_rows")),
         staging.agg(F.count("*").alias("staging_rows")),
         fact.agg(F.count("*").alias("fact_rows")),
         breakdown.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("quarantined_rows")),
-    ]
-    first, *others = counted
-    for other in others:
-        first = first.crossJoin(other)
-    return first
+    )
 
 
 def latest_facts(fact: DataFrame, n: int = FACT_SNAPSHOT_ROWS) -> DataFrame:

@@ -23,9 +23,8 @@ def source_page(records: DataFrame, limit: int, offset: int = 0) -> DataFrame:
     """Active institutions by assets, largest first, as the source pages them."""
     active = records.filter("ACTIVE = 1")
     order = [F.desc_nulls_last("ASSET"), F.asc("CERT")]
-    if offset == 0:
-        return first_rows(active, order, limit)
-    return active.orderBy(*order).offset(offset).limit(limit)
+    top = first_rows(active, order, offset + limit)
+    return top.offset(offset) if offset else top
 
 
 def fetch_institutions(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:

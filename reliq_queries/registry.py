@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reliq_queries import fixtures
-from reliq_queries.fixtures import Warehouse
+from reliq.functions.together import together
 from reliq.operators import (
     constraints,
     dedupe,
@@ -27,7 +26,6 @@ from reliq.operators import (
     staging,
 )
 from reliq.plans.institutions import run_institutions
-from reliq.functions.together import together
 from reliq.plans.transactions import Inputs, Layers, run_transactions
 from reliq.schemas import RAW, RAW_CUSTOMERS
 from reliq.session import configure, fresh_dir
@@ -35,7 +33,9 @@ from reliq.sinks.snapshots import publish_transactions, write_csv
 from reliq.sinks.tables import reload_table
 from reliq.sinks.upsert import stored_days, upsert_daily_metrics
 from reliq.sources.files import land_csv, load_csv
-from reliq.sources.pages import fetch_institutions
+from reliq.sources.pages import PAGE_SIZE, fetch_institutions, source_page
+from reliq_queries import fixtures
+from reliq_queries.fixtures import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,6 +139,10 @@ over_institutions(
 )
 over_institutions("institution_kpis", lambda r: institutions.kpis(institutions.valid_records(r)))
 over_institutions("institutions_top20", lambda r: institutions.top_by_assets(institutions.valid_records(r)))
+over_institutions(
+    "institutions_display",
+    lambda r: institutions.display(institutions.valid_records(r).select("ASSET", "STALP", "NAME", "BKCLASS", "CERT")),
+)
 over_institutions("institutions_by_state", lambda r: institutions.by_state(institutions.valid_records(r)))
 
 
@@ -268,6 +272,12 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+@register
+def institutions_second_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page of the source."""
+    return source_page(fixtures.institutions(spark, sf_dir), PAGE_SIZE, offset=PAGE_SIZE).select(*GIVEN)
+
+
 @register
 def institutions_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = landed_pages(spark, sf_dir)
