@@ -81,21 +81,17 @@ class Layers:
 
 def land(spark: SparkSession, inputs: Inputs, layers: Layers, at: datetime | None = None) -> None:
     """Reload the raw layer."""
-
-    def reload(table: str):
-        rows = land_csv(spark, getattr(inputs, table), table, at)
-        return lambda: reload_table(rows, layers.root, "raw", table)
-
-    together(*[reload(table) for table in schemas.RAW])
+    incoming = {name: land_csv(spark, getattr(inputs, name), name, at) for name in schemas.RAW}
+    together(*[partial(reload_table, df, layers.root, "raw", name) for name, df in incoming.items()])
 
 
 def find_hot_keys(layers: Layers) -> HotKeys:
     """Hot keys of the landed tables: transaction ids, accounts and customers."""
-    rows, accounts = together(
-        lambda: hot_keys(layers.raw("transactions"), "transaction_id", "account_id"),
-        lambda: hot_keys(layers.raw("accounts"), "customer_id"),
+    transactions, accounts = together(
+        partial(hot_keys, layers.raw("transactions"), "transaction_id", "account_id"),
+        partial(hot_keys, layers.raw("accounts"), "customer_id"),
     )
-    return {**rows, **accounts}
+    return {**transactions, **accounts}
 
 
 def stage(

@@ -7,12 +7,13 @@ rules are written as SQL in the module ``oracle``.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reliq.functions.together import together
 from reliq.operators import marts, quarantine, staging
 from reliq.operators.skew import NONE, Hot, HotKeys, hot_keys
 from reliq.schemas import INSTITUTION, RAW_TRANSACTIONS
@@ -30,10 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan with fewer input splits than cores; a large table is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def raw_customers(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
@@ -69,7 +70,9 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_transactions(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     """Transactions with derived defects, or with almost none when ``clean``."""
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_part"), F.col("p_brand").alias("merchant"))
-    lines = transaction_lines(spread(table(spark, sf_dir, "lineitem")), clean)
+    lines = transaction_lines(
+        spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey"), clean
+    )
     return lines.join(part, "_part").select(*RAW_TRANSACTIONS.names, "ingested_at")
 
 
@@ -224,10 +227,11 @@ class Warehouse:
     def hot(self) -> HotKeys:
         """Hot keys of the landed tables, from samples of their key columns."""
         lines = transaction_lines(table(self.spark, self.sf_dir, "lineitem"), self.clean)
-        return {
-            **hot_keys(lines, "transaction_id", "account_id"),
-            **hot_keys(self.raw("accounts"), "customer_id"),
-        }
+        transactions, accounts = together(
+            partial(hot_keys, lines, "transaction_id", "account_id"),
+            partial(hot_keys, self.raw("accounts"), "customer_id"),
+        )
+        return {**transactions, **accounts}
 
     def hot_values(self, column: str) -> Hot:
         return self.hot.get(column, NONE)

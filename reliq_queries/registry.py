@@ -189,8 +189,8 @@ def saved_marts(spark: SparkSession, sf_dir: str) -> Layers:
     """The star schema of the driver tables, written to a fresh folder."""
     w, root = Warehouse(spark, sf_dir), fresh_dir(spark, "marts")
     layers = Layers(spark, root)
-    reload_table(w.dim_customer(), root, "analytics", "dim_customer")
-    reload_table(w.dim_account(), root, "analytics", "dim_account")
+    dimensions = {"dim_customer": w.dim_customer(), "dim_account": w.dim_account()}
+    together(*[partial(reload_table, df, root, "analytics", name) for name, df in dimensions.items()])
     transactions = staging.stg_transactions(w.transactions())
     fact = marts.fact_transactions(transactions, layers.mart("dim_account"), w.hot_values("account_id"))
     reload_table(fact, root, "analytics", "fact_transactions")

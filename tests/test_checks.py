@@ -19,6 +19,13 @@ def test_unique_ignores_null_and_counts_values(spark):
     assert rows(constraints.result("u", constraints.unique(df, "k"))) == [("u", 1, True, True)]
 
 
+def test_key_results_join_both_tests_of_a_key(spark):
+    df = frame(spark, [("a",), ("a",), ("b",), (None,), (None,)], "k string")
+    assert rows(constraints.key_results(df, "t", "k")) == [("not_null_t_k", 2, True, True), ("unique_t_k", 1, True, True)]
+    empty = frame(spark, [], "k string")
+    assert rows(constraints.key_results(empty, "t", "k")) == [("not_null_t_k", 0, False, False), ("unique_t_k", 0, False, False)]
+
+
 def test_not_null(spark):
     df = frame(spark, [("a",), (None,)], "k string")
     assert rows(constraints.result("n", constraints.not_null(df, "k"))) == [("n", 1, True, True)]

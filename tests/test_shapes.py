@@ -46,8 +46,9 @@ def test_hot_keys_add_an_exchange_of_winners_only(small, no_broadcast):
     classified.collect()
     text = plan(classified)
     final = text[: text.index("Initial Plan")]
-    assert len(re.findall(r"[^d]Exchange hashpartitioning\(transaction_id#\d+, _lane", final)) == 1
-    assert "ReusedExchange" in final
+    own = r"- Exchange hashpartitioning\(transaction_id#\d+, _lane"
+    reused = r"ReusedExchange \[[^\]]*\], Exchange hashpartitioning\(transaction_id#\d+, _lane"
+    assert (len(re.findall(own, final)), len(re.findall(reused, final))) == (1, 1)
     assert "_lane" in text and "_piece" in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
