@@ -55,6 +55,36 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from ruled
 """
 
+OP3 = r"""
+with dw as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), bw as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+), tests as (
+  select distinct item_id, least(len(w), 10) as m, array_to_string(w[i:i + 9], ' ') as g
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from bw where len(w) > 0)
+), widths as (select distinct m from tests),
+places as (
+  select doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') as g
+  from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) as i from dw, widths where len(w) >= m)
+), found as (
+  select p.doc_id, p.i, p.m, t.item_id from places p join tests t on p.m = t.m and p.g = t.g
+), hit as (
+  select doc_id, count(distinct i + o) as n_hit
+  from (select distinct doc_id, i, unnest(range(0, m)) as o from found) group by doc_id
+), items as (
+  select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+  from (select distinct doc_id, item_id::varchar as id from found) group by doc_id
+)
+select d.doc_id, len(d.w) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(h.n_hit, 0) > 0 as contaminated
+from dw d left join hit h using (doc_id) left join items using (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2, "op10_quality_rules": OP10}
+    return {"op2_line_dedup": OP2, "op3_benchmark_decontamination": OP3, "op10_quality_rules": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliq.llm import lines, quality
+from reliq.llm import contamination, lines, quality
 from reliq.llm.text import documents
 from reliq.session import configure
 
@@ -44,3 +44,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~quality.failed()).alias("kept"),
         "bits",
     )
+
+
+@register
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = contamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return judged.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
