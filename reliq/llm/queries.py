@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliq.llm import contamination, lines, quality
+from reliq.llm import bpe, contamination, lines, quality
 from reliq.llm.text import documents
 from reliq.session import configure
 
@@ -15,6 +15,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    from public_tokenizers import path
+
+    return path(name)
+
+
 def register(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(configure(spark), sf_dir)
@@ -57,3 +64,19 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+def id_digest(ids: str):
+    """The hash of decimal ids joined by commas."""
+    return F.sha2(F.array_join(F.col(ids).cast("array<string>"), ","), 256)
+
+
+@register
+def op5_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), vocabulary_path())
+    return coded.select(
+        "row.doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        id_digest("ids").alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
