@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliq.llm import bpe, contamination, lines, quality
+from reliq.llm import bpe, contamination, jaccard, lines, quality
 from reliq.llm.text import documents
 from reliq.session import configure
 
@@ -80,3 +80,8 @@ def op5_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
         id_digest("ids").alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(documents(spark, sf_dir))
