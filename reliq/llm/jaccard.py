@@ -10,6 +10,10 @@ of a set alike: those of heavy buckets (many sets) last. Two sets that overlap i
 The boundary between them is where a subset enumeration costs as much as scanning the lists. Sets
 near the boundary do both. A list or subset links each member to its smallest member only (its
 cell), never all pairs; within a cell the whole sets are compared, block by block.
+
+Prefixes are longer than one shared shingle needs: linked large sets share k list keys at least.
+Each set may then leave cells that hold fewer than half of k of its keys in all: two linked sets
+together leave fewer than the k keys they share, so one cell still has both.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reliq.llm.arrow import pieces, texts_of
@@ -147,6 +151,18 @@ def prefix(shingles: np.ndarray, weights: np.ndarray, shared: int) -> np.ndarray
     return shingles[order[:length]]
 
 
+def keys_shared(n: int) -> int:
+    """List keys that a set of ``n`` shares at least with any linked set of its size or more."""
+    return 1 + (n - overlap_needed(n) + 1) // 2
+
+
+def keys_spared(n: Column, small: int) -> Column:
+    """List keys whose cells a set may leave: less than half of what it shares with its smallest partner."""
+    partner = F.ceil(n * PERCENT / 100)
+    shared = 1 + F.floor((partner - F.ceil(partner * PERCENT / 100) + 1) / 2)
+    return F.when(n > small, F.floor((shared - 1) / 2)).otherwise(0)
+
+
 def boundary(list_length: float) -> int:
     """The largest small set: enumerating its subsets costs no more than scanning its lists."""
     small = 2
@@ -167,12 +183,15 @@ def signatures(shingles: np.ndarray, weights: np.ndarray, small: int) -> np.ndar
         low, high = np.minimum(first[i], first[j]), np.maximum(first[i], first[j])
         found.append(mixed(low * FACTORS[1] + high * FACTORS[2] + np.uint64(1)))
     if 100 * n > PERCENT * small and n >= 2:
-        found.append(prefix(shingles, weights, 1))
+        found.append(prefix(shingles, weights, keys_shared(n)))
     return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
-def cells(docs: DataFrame, heavy: DataFrame, list_length: float) -> DataFrame:
-    """``cell`` and ``member``: the classes of each list or subset, under its smallest class."""
+def cells(docs: DataFrame, sized: DataFrame, heavy: DataFrame, list_length: float) -> DataFrame:
+    """``cell`` and ``member``: the classes of each list or subset, under its smallest class.
+
+    Every pair of linked classes is in a cell; ``sized`` holds the ``class`` and ``n`` of all sets.
+    """
     spark = ship_package(docs.sparkSession)
     # At most BUCKETS rows of 16 bytes.
     table = heavy.toPandas()
@@ -199,26 +218,38 @@ def cells(docs: DataFrame, heavy: DataFrame, list_length: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(arrays, ["key", "class"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_key = last_cell = None
+        last_key = last_owner = last_cell = None
         for batch in batches:
             keys, owners = batch.column("key").to_numpy(), batch.column("class").to_numpy()
             if not len(keys):
                 continue
-            starts = np.concatenate(([True], keys[1:] != keys[:-1]))
-            firsts = np.flatnonzero(starts)
-            heads = owners[firsts].copy()
-            if keys[0] == last_key:
-                heads[0] = last_cell
-            own = heads[np.cumsum(starts) - 1]
-            last_key, last_cell = keys[-1], own[-1]
-            found = np.unique(np.stack([own, owners])[:, own != owners], axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["cell", "member"])
+            starts = np.concatenate(([keys[0] != last_key], keys[1:] != keys[:-1]))
+            fresh = starts | np.concatenate(([owners[0] != last_owner], owners[1:] != owners[:-1]))
+            places = np.maximum.accumulate(np.where(starts, np.arange(len(keys)), -1))
+            own = np.where(places < 0, last_cell, owners[places])
+            last_key, last_owner, last_cell = keys[-1], owners[-1], own[-1]
+            own, member = own[fresh], owners[fresh]
+            order = np.lexsort((member, own))
+            own, member = own[order], member[order]
+            first = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (member[1:] != member[:-1]))))[: len(own)]
+            counts = np.diff(np.append(first, len(own)))
+            arrays = [pa.array(own[first]), pa.array(member[first]), pa.array(counts)]
+            yield pa.RecordBatch.from_arrays(arrays, ["cell", "member", "keys"])
 
     given = docs.select(whole_text(docs).alias("text"))
     postings = given.mapInArrow(post, "key long, class long")
     ordered = postings.repartition("key").sortWithinPartitions("key", "class")
-    stars = stored(ordered.mapInArrow(scan, "cell long, member long").distinct(), "cells")
-    return stars.unionByName(stars.select("cell", F.col("cell").alias("member")).distinct())
+    stars = ordered.mapInArrow(scan, "cell long, member long, keys long")
+    counted = stars.groupBy("cell", "member").agg(F.sum("keys").alias("keys"))
+    # A class alone in its own cell meets nobody there.
+    shared = counted.filter("cell <> member").select("cell").distinct()
+    met = stored(counted.join(shared, "cell", "left_semi"), "cells")
+    sizes = sized.filter("class is not null").groupBy(F.col("class").alias("member")).agg(F.first("n").alias("n"))
+    left = F.sum("keys").over(Window.partitionBy("member").orderBy("keys", "cell"))
+    chosen = met.join(sizes, "member").withColumn("left", left).filter(F.col("left") > keys_spared(F.col("n"), small))
+    kept = chosen.select("cell", "member")
+    several = kept.groupBy("cell").agg(F.count("*").alias("members")).filter("members > 1")
+    return kept.join(several, "cell")
 
 
 def packed_sets(docs: DataFrame) -> DataFrame:
@@ -298,14 +329,9 @@ def block_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def links(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Links between classes, enough to join all that are linked: ``a``, ``b``."""
+    """Links between the members of cells, enough to join all that are linked: ``a``, ``b``."""
     ship_package(docs.sparkSession)
-    sizes = found.groupBy("cell").agg(F.count("*").alias("members"))
-    split = found.join(sizes, "cell").select(
-        "cell",
-        "member",
-        F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"),
-    )
+    split = found.select("cell", "member", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
     chunk = F.pmod(F.xxhash64("member", "cell"), F.col("blocks")).cast("int")
     placed = split.select("cell", "member", chunk.alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = placed.select("cell", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), F.col("member").alias("class"))
@@ -349,7 +375,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     seen, squares = heavy.agg(F.sum("n"), F.sum(F.col("n").cast("double") * F.col("n"))).head()
     # How many sets a list holds on average, if lists were as long as the heavy buckets say.
     list_length = 1 + min(15.0, (squares / shingles) if shingles and seen else 0.0)
-    found = stored(cells(docs, heavy, list_length), "members")
+    found = stored(cells(docs, sized, heavy, list_length), "members")
     groups = components(stored(links(docs, found), "class-links"))
     classes = sized.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"))
     joined = classes.join(groups, classes["class"] == groups["node"], "left")
