@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliq.llm import bpe, contamination, jaccard, language, lines, quality
+from reliq.llm import bpe, contamination, jaccard, language, lines, ppm, quality
 from reliq.llm.text import documents
 from reliq.session import configure
 
@@ -93,3 +93,8 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     network = language.train(docs.select("doc_id", "lang", "text"))
     judged = language.identify(docs.select("doc_id", "text"), network)
     return judged.select("row.doc_id", language.held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(documents(spark, sf_dir))
