@@ -33,7 +33,7 @@ from reliq.llm.text import stored, whole_text
 
 ORDER = 4
 #: Contexts of one length in the trie: fewer than this.
-CONTEXTS = 8192
+CONTEXTS = 16384
 #: Words whose counts are sent to the tasks: fewer than this.
 HEAD_WORDS = 1 << 19
 #: Bytes that no UTF-8 text has: what stands before a text, and the symbol of its end.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliq.llm import bpe, contamination, jaccard, language, lines, ppm, quality
+from reliq.llm import bpe, contamination, jaccard, language, lines, ppm, quality, secrets
 from reliq.llm.text import documents
 from reliq.session import configure
 
@@ -98,3 +98,22 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(documents(spark, sf_dir))
+
+
+@register
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    spans = F.col("spans")
+
+    def count(kind: str):
+        here = F.filter(spans, lambda s: s["kind"] == secrets.KINDS.index(kind))
+        return F.size(here).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in secrets.KINDS[: secrets.MARKOV]]
+    base = F.filter(spans, lambda s: s["kind"] < secrets.MARKOV)
+    return found.select(
+        "row.doc_id",
+        *counts,
+        F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(spans).alias("spans"),
+    )
