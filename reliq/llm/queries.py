@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliq.llm import bpe, contamination, jaccard, language, lines, ppm, quality, secrets
+from reliq.llm import bpe, contamination, jaccard, language, lines, passages, ppm, quality, secrets
 from reliq.llm.text import documents
 from reliq.session import configure
 
@@ -117,3 +117,8 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.written(base), 256).alias("base_sha256"),
         secrets.written(spans).alias("spans"),
     )
+
+
+@register
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(documents(spark, sf_dir))
