@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliq.llm import bpe, contamination, jaccard, language, lines, passages, ppm, quality, secrets
-from reliq.llm.text import documents
+from reliq.llm import bpe, contamination, edits, jaccard, language, lines, passages, ppm, quality, secrets
+from reliq.llm.text import documents, whole_text
 from reliq.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,17 @@ def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.shared_passages(documents(spark, sf_dir))
+
+
+@register
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    counted = edits.edited_counts(docs.withColumn("edits", edits.standard_edits(whole_text(docs))), vocabulary_path())
+    return counted.select(
+        "row.doc_id",
+        "n_tokens",
+        "n_pretokens",
+        "n_tokens_edited",
+        "n_reencoded",
+        F.sha2("edited", 256).alias("edited_sha256"),
+    )
