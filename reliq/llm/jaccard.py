@@ -18,12 +18,12 @@ together leave fewer than the k keys they share, so one cell still has both.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,7 +58,7 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= 300_000:
             self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
 
@@ -89,7 +89,7 @@ def shingle_set(text: str) -> np.ndarray:
 
 def class_of(shingles: np.ndarray) -> int:
     """The id of all sets with these shingles: 63 bits of a hash of the whole set."""
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little") >> 1
+    return xxhash.xxh3_64_intdigest(shingles) >> 1
 
 
 def bucket_of(shingles: np.ndarray) -> np.ndarray:
@@ -101,47 +101,41 @@ def overlap_needed(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-def sized_sets(docs: DataFrame) -> DataFrame:
-    """Per row: ``doc_id``, ``n`` (shingles), ``class``; a set without shingles has no class."""
-    ship_package(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
-            sets = [shingle_set(text) for text in texts_of(piece)]
-            classes = pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())
-            sizes = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), sizes, classes], ["doc_id", "n", "class"])
-
-    given = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), whole_text(docs).alias("text"))
-    return given.mapInArrow(run, "doc_id long, n long, class long")
+def sized_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per row ``doc_id``, ``n`` (shingles) and ``class``; and the heavy buckets, ``bucket`` and ``hits``.
 
-
-def heavy_buckets(docs: DataFrame) -> DataFrame:
-    """Buckets that stand out in some task, with the counts those tasks saw: ``bucket``, ``n``.
-
-    They only steer the order of shingles; any such table gives the same links.
+    A set without shingles has no class. A bucket is heavy if it stands out in some task, and
+    has the counts of those tasks: they only steer the order of shingles, any such table gives the
+    same links. Both come from one pass over the texts, which is stored.
     """
     ship_package(docs.sparkSession)
+    names = ["doc_id", "n", "class", "bucket", "hits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
-        seen: set[int] = set()
+        counts, seen = np.zeros(BUCKETS, np.int64), set()
         for piece in pieces(batches):
+            sets = [shingle_set(text) for text in texts_of(piece)]
+            classes = [class_of(s) if len(s) else None for s in sets]
             fresh = []
-            for text in texts_of(piece):
-                shingles = shingle_set(text)
-                if len(shingles) and (key := class_of(shingles)) not in seen:
+            for key, shingles in zip(classes, sets):
+                if key is not None and key not in seen:
                     fresh.append(shingles)
                     if len(seen) < 300_000:
                         seen.add(key)
             if fresh:
-                counts += np.bincount(bucket_of(np.concatenate(fresh)), minlength=BUCKETS)
+                np.add.at(counts, bucket_of(np.concatenate(fresh)), 1)
+            none, sizes = pa.nulls(len(sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64())
+            arrays = [piece.column("doc_id"), sizes, pa.array(classes, pa.int64()), none, none]
+            yield pa.RecordBatch.from_arrays(arrays, names)
         mean = counts.mean()
         heavy = np.flatnonzero(counts > mean + 6 * mean**0.5 + 8)
-        yield pa.RecordBatch.from_arrays([pa.array(heavy), pa.array(counts[heavy])], ["bucket", "n"])
+        none = pa.nulls(len(heavy), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(heavy), pa.array(counts[heavy])], names)
 
-    rows = docs.select(whole_text(docs).alias("text")).mapInArrow(run, "bucket long, n long")
-    return rows.groupBy("bucket").agg(F.sum("n").alias("n"))
+    given = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), whole_text(docs).alias("text"))
+    rows = stored(given.mapInArrow(run, "doc_id long, n long, class long, bucket long, hits long"), "sets")
+    heavy = rows.filter("bucket is not null").groupBy("bucket").agg(F.sum("hits").alias("hits"))
+    return rows.filter("bucket is null").drop("bucket", "hits"), stored(heavy, "heavy")
 
 
 def prefix(shingles: np.ndarray, weights: np.ndarray, shared: int) -> np.ndarray:
@@ -195,7 +189,7 @@ def cells(docs: DataFrame, sized: DataFrame, heavy: DataFrame, list_length: floa
     spark = ship_package(docs.sparkSession)
     # At most BUCKETS rows of 16 bytes.
     table = heavy.toPandas()
-    steering = spark.sparkContext.broadcast((table["bucket"].to_numpy(np.int64), table["n"].to_numpy(np.int64)))
+    steering = spark.sparkContext.broadcast((table["bucket"].to_numpy(np.int64), table["hits"].to_numpy(np.int64)))
     small = boundary(list_length)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,10 +363,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Null text counts as empty: no shingles, linked with nothing. Rows with equal sets are linked.
     A null doc_id takes part, but names a component only where no member has an id.
     """
-    sized = stored(sized_sets(docs), "sets")
-    heavy = stored(heavy_buckets(docs), "heavy")
+    sized, heavy = sized_sets(docs)
     shingles = sized.agg(F.sum("n")).head()[0] or 0
-    seen, squares = heavy.agg(F.sum("n"), F.sum(F.col("n").cast("double") * F.col("n"))).head()
+    seen, squares = heavy.agg(F.sum("hits"), F.sum(F.col("hits").cast("double") * F.col("hits"))).head()
     # How many sets a list holds on average, if lists were as long as the heavy buckets say.
     list_length = 1 + min(15.0, (squares / shingles) if shingles and seen else 0.0)
     found = stored(cells(docs, sized, heavy, list_length), "members")
