@@ -78,4 +78,4 @@ def require_no_drift(drift: DataFrame) -> None:
     found = drift.filter("drift").orderBy("table_name").collect()
     if found:
         parts = [f"{r['table_name']}: added={r['added']} removed={r['removed']}" for r in found]
-        raise GateFailure("Schema drift detected on " + "; ".join(parts))
+        raise GateFailure("Columns are not those of the last run: " + "; ".join(parts))

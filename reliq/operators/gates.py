@@ -81,4 +81,4 @@ def require_passed(checks: DataFrame) -> None:
     """Raise with the names of all failed checks."""
     failed = [row[0] for row in checks.filter("check_status = 'failed'").select("check_name").collect()]
     if failed:
-        raise GateFailure(f"Quality checks failed: {failed}")
+        raise GateFailure(f"Gates not passed: {failed}")

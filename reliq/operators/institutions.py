@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reliq.functions.casts import coerced_number
 from reliq.functions.numbers import millionth
 from reliq.operators.quantiles import exact_median
+from reliq.operators.reports import side_by_side
 from reliq.operators.topk import first_rows
+from reliq.sources.files import utc
 
 # The reasons of a rejected institution, and the reported columns.
 MISSING = "missing_cert_or_name"
@@ -52,15 +56,15 @@ def _assets() -> Column:
     return coerced_number(F.col("ASSET")).cast("decimal(18,2)")
 
 
-def summarise(records: DataFrame) -> DataFrame:
-    """Records, states, and total assets in billions; halves round to even."""
+def summarise(records: DataFrame, fetched_at: datetime | None = None) -> DataFrame:
+    """Records, states, and total assets in billions; halves round to even. ``fetched_at`` is ISO text."""
     state = F.when(F.col("STALP") != "", F.col("STALP"))
     total = F.coalesce(F.sum(_assets()), F.lit(0))
     return records.agg(
         F.count("*").alias("count"),
         F.countDistinct(state).alias("states"),
         F.bround(millionth(total), 2).cast("decimal(18,2)").alias("total_assets_usd_billions"),
-    )
+    ).withColumn("fetched_at", F.lit(utc(fetched_at).isoformat()))
 
 
 def kpis(records: DataFrame) -> DataFrame:
@@ -69,14 +73,13 @@ def kpis(records: DataFrame) -> DataFrame:
     Assets are in thousands, so a millionth of them is in billions.
     """
     median = exact_median(records.select(coerced_number(F.col("ASSET")).alias("asset")), "asset")
-    return records.agg(
+    totals = records.agg(
         F.count("*").alias("institutions"),
         F.countDistinct("STALP").alias("states"),
         millionth(F.coalesce(F.sum(_assets()), F.lit(0))).alias("total_assets_b"),
-    ).withColumn(
-        "median_assets_b",
-        (F.lit(median).cast("decimal(18,3)") * F.expr("0.000001BD")).cast("decimal(28,9)"),
     )
+    in_billions = (F.col("median").cast("decimal(18,3)") * F.expr("0.000001BD")).cast("decimal(28,9)")
+    return side_by_side(totals, median.select(in_billions.alias("median_assets_b")))
 
 
 def top_by_assets(records: DataFrame, n: int = 20) -> DataFrame:

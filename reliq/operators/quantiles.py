@@ -5,53 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this many values are ordered in one task.
-DIRECT_VALUES = 1_000_000
-ACCURACY = 10_000
 
+def exact_median(df: DataFrame, column: str) -> DataFrame:
+    """One row with the interpolated ``median``; null is ignored, and is the median of nothing.
 
-def exact_median(
-    df: DataFrame, column: str, direct: int = DIRECT_VALUES, accuracy: int = ACCURACY
-) -> float | None:
-    """The interpolated median; null is ignored."""
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
-    size = values.count()
-    if size == 0:
-        return None
-    low = value_at(values, (size - 1) // 2, size, direct, accuracy)
-    high = low if size % 2 else value_at(values, size // 2, size, direct, accuracy)
-    return (low + high) / 2
-
-
-def value_at(values: DataFrame, rank: int, size: int, direct: int, accuracy: int) -> float:
-    """The value at a rank, counted from zero, among ``size`` values.
-
-    The built-in exact percentile holds every distinct value in one task. Here an
-    approximate percentile brackets the rank, exact counts confirm the bracket, and only
-    the values strictly inside it are kept, so each pass shrinks the input about a
-    thousandfold however the values are distributed or repeated.
+    Distinct values are counted and dealt into ranges. The totals of the ranges tell where each
+    begins, and values are ranked inside those ranges only that hold a middle place: one plan, in
+    which no task sees more than a range.
     """
-    v, slack = F.col("v"), 2 / accuracy
-    while size > direct:
-        share = (rank + 0.5) / size
-        ask = [max(0.0, share - slack), min(1.0, share + slack)]
-        low, high = values.agg(F.percentile_approx("v", ask, accuracy)).head()[0]
-        less, at_low, inside, at_high = values.agg(
-            F.count_if(v < low),
-            F.count_if(v == low),
-            F.count_if((v > low) & (v < high)),
-            F.count_if((v == high) & (v > low)),
-        ).head()
-        position = rank - less
-        if not 0 <= position < at_low + inside + at_high:
-            slack *= 10
-        elif position < at_low:
-            return low
-        elif position >= at_low + inside:
-            return high
-        else:
-            values = values.filter((v > low) & (v < high))
-            rank, size = position - at_low, inside
-    reached = F.sum("count").over(Window.orderBy("v"))
-    counted = values.groupBy("v").count().withColumn("reached", reached)
-    return counted.filter(F.col("reached") > rank).agg(F.min("v")).head()[0]
+    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
+    counted = values.groupBy("v").agg(F.count("*").alias("n")).repartitionByRange("v")
+    ranged = counted.withColumn("range", F.spark_partition_id())
+    totals = ranged.groupBy("range").agg(F.sum("n").alias("size"), F.min("v").alias("low"), F.max("v").alias("high"))
+    # One row per range from here on.
+    placed = totals.withColumn("before", F.sum("size").over(Window.orderBy("low")) - F.col("size")).withColumn(
+        "all", F.sum("size").over(Window.partitionBy())
+    )
+    low, high = F.expr("(all - 1) div 2"), F.expr("all div 2")
+
+    def holds(place, before, size):
+        return (before <= place) & (place < before + size)
+
+    middle = placed.filter(
+        holds(low, F.col("before"), F.col("size")) | holds(high, F.col("before"), F.col("size"))
+    ).select("low", "high", "before", "all")
+    # Ranges are told by their ends, so a value meets its range also where it is counted anew.
+    near = counted.join(F.broadcast(middle), (F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high")))
+    inside = Window.partitionBy("before").orderBy("v")
+    ranked = near.withColumn("first", F.col("before") + F.sum("n").over(inside) - F.col("n"))
+    at_low = F.max(F.when(holds(low, F.col("first"), F.col("n")), F.col("v")))
+    at_high = F.max(F.when(holds(high, F.col("first"), F.col("n")), F.col("v")))
+    return ranked.agg(((at_low + at_high) / 2).alias("median"))

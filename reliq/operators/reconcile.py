@@ -89,4 +89,4 @@ def audit_rows(metrics: DataFrame, run_id: str, checked_at: Column) -> DataFrame
 def require_reconciled(metrics: DataFrame) -> None:
     failed = [row[0] for row in metrics.filter("status = 'failed'").select("metric_name").collect()]
     if failed:
-        raise GateFailure(f"Reconciliation failed for: {failed}")
+        raise GateFailure(f"Totals of source and target are too far apart: {failed}")

@@ -7,9 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reliq.operators.topk import first_rows
+from reliq.operators.topk import first_rows, newest_days
 from reliq.schemas import MONEY
 
+# The size of the published report and its columns.
 FACT_SNAPSHOT_ROWS = 20_000
 SNAPSHOT_COLUMNS = [
     "transaction_id",
@@ -93,9 +94,8 @@ def layer_row_counts(
 
 def latest_facts(fact: DataFrame, n: int = FACT_SNAPSHOT_ROWS) -> DataFrame:
     """The newest facts in the published columns; equal dates go by transaction id."""
-    return first_rows(
-        fact.select(*SNAPSHOT_COLUMNS), [F.desc("transaction_date"), F.asc("transaction_id")], n
-    )
+    recent = newest_days(fact.select(*SNAPSHOT_COLUMNS), "transaction_date", n)
+    return first_rows(recent, [F.desc("transaction_date"), F.asc("transaction_id")], n)
 
 
 def latest_metrics(metrics: DataFrame, n: int | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
@@ -38,13 +38,14 @@ def hot_keys(
 ) -> dict[str, Hot]:
     """Values likely held by at least ``min_rows`` rows, per string column.
 
-    One job over a sample of these columns; at most 1,000 counts reach the driver.
+    One job over a sample of these columns; at most ``MOST_KEYS`` counts of each reach the driver.
     """
     keys = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.col(name).alias("key")) for name in columns]))
     sampled = df.select(*columns).sample(fraction=fraction, seed=11).select(keys.alias("k"))
     counts = sampled.groupBy("k.name", "k.key").agg(F.count("*").alias("hits"))
     hits = max(1, int(min_rows * fraction / 2))
-    top = counts.filter(F.col("hits") >= hits).orderBy(F.desc("hits"), "name", "key").limit(MOST_KEYS).collect()
+    place = F.row_number().over(Window.partitionBy("name").orderBy(F.desc("hits"), "key"))
+    top = counts.filter(F.col("hits") >= hits).withColumn("place", place).filter(F.col("place") <= MOST_KEYS).collect()
     found = {}
     for name in columns:
         mine = [row for row in top if row["name"] == name]

@@ -7,23 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Above this size the winners of all tasks are too many for one last task.
-DIRECT_LIMIT = 1_000
-LANES = 512
-
 
 def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    """The first ``n`` rows of a total order.
+    """The first ``n`` rows of a total order: every task keeps its own, the last one merges them."""
+    return df.orderBy(*order).limit(n)
+
 
-    A small ``n`` is a plain sorted limit. A large one is cut per input split, then per
-    lane of splits, and only the lane winners meet in the last task.
+def newest_days(df: DataFrame, day: str, n: int) -> DataFrame:
+    """The rows of the newest days that together hold at least ``n`` rows, whatever ``n`` is.
+
+    Rows are counted per day; the cutoff day is found among the days, and only rows from it on
+    go further.
     """
-    if n > DIRECT_LIMIT:
-        window = Window.partitionBy("_lane").orderBy(*order)
-        df = (
-            df.withColumn("_lane", F.spark_partition_id() % LANES)
-            .withColumn("_rank", F.row_number().over(window))
-            .filter(F.col("_rank") <= n)
-            .drop("_lane", "_rank")
-        )
-    return df.orderBy(*order).limit(n)
+    counts = df.groupBy(day).agg(F.count("*").alias("_rows"))
+    # One row per calendar day.
+    reached = F.sum("_rows").over(Window.orderBy(F.desc_nulls_last(day)))
+    enough = counts.withColumn("_reached", reached).filter(F.col("_reached") - F.col("_rows") < n)
+    cutoff = enough.agg(F.min(day).alias("_cutoff"), F.bool_or(F.col(day).isNull()).alias("_undated"))
+    kept = df.join(F.broadcast(cutoff), (F.col(day) >= F.col("_cutoff")) | F.col("_undated"))
+    return kept.drop("_cutoff", "_undated")

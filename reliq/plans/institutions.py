@@ -59,13 +59,19 @@ def run_institutions(
         counts = one_row(spark, sizes)
         check(layers, gates.institution_gates(counts), run_id, started)
     except Exception as error:
-        finish("failed", str(error)[:2000])
+        finish("failed", str(error))
         raise
     finish("success")
-    publish_institutions(
-        institutions.valid_records(judged(spark, root)),
-        counts,
-        layer_path(root, "snapshots", "institutions"),
-        started.isoformat(),
-    )
+    try:
+        publish_institutions(
+            institutions.valid_records(judged(spark, root)),
+            counts,
+            layer_path(root, "snapshots", "institutions"),
+            started.isoformat(),
+            institutions.summarise(judged(spark, root).drop("_reason"), started),
+        )
+    except Exception as error:
+        # The last outcome of a run is the one that counts.
+        finish("failed", str(error))
+        raise
     return sizes

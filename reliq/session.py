@@ -16,8 +16,6 @@ RUNTIME_SETTINGS = {
     # Hot join keys are split at run time, also when that costs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # The 20,000-row snapshot is cut down before its exchange, like any smaller top-k.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "20000",
     # The few outcomes of a row are written side by side, without sorting all rows by them.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }

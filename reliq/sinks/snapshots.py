@@ -7,11 +7,12 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliq.operators.reports import latest_facts, latest_metrics, reject_breakdown
+from reliq.operators.reports import SNAPSHOT_COLUMNS, latest_facts, latest_metrics, reject_breakdown
 from reliq.operators.runlog import recent_runs
 from reliq.functions.together import together
 from reliq.schemas import INSTITUTION, INSTITUTION_META
 
+# The published columns of a run.
 RUN_COLUMNS = [
     "dag_run_id",
     "dag_id",
@@ -38,20 +39,22 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def publish_transactions(
-    fact: DataFrame, metrics: DataFrame, quarantine: DataFrame, runs: DataFrame, folder: str
+    fact: DataFrame, metrics: DataFrame, quarantine: DataFrame, runs: DataFrame, folder: str, facts: int | None = None
 ) -> dict[str, str]:
-    """Write the four report files and return their paths.
+    """Write the four reports and return their paths.
 
-    The newest 20,000 facts, one row per day, one per reason and the last 30 runs.
+    All facts in as many parts as they have, or the newest ``facts``; one row per day, one per
+    reason and the last 30 runs.
     """
-    reports = {
-        "fact_transactions.csv": latest_facts(fact),
+    bounded = {
         "daily_metrics.csv": latest_metrics(metrics),
         "quarantine.csv": reject_breakdown(quarantine),
         "pipeline_runs.csv": recent_runs(runs).select(*RUN_COLUMNS),
     }
+    reports = {name: report.coalesce(1) for name, report in bounded.items()}
+    reports["fact_transactions.csv"] = fact.select(*SNAPSHOT_COLUMNS) if facts is None else latest_facts(fact, facts)
     paths = {name: f"{folder}/{name}" for name in reports}
-    together(*[partial(write_csv, report.coalesce(1), paths[name]) for name, report in reports.items()])
+    together(*[partial(write_csv, report, paths[name]) for name, report in reports.items()])
     return paths
 
 
@@ -60,8 +63,10 @@ def snapshot_counts(spark: SparkSession, paths: dict[str, str]) -> dict[str, int
     return {name: spark.read.csv(path, header=True, escape='"').count() for name, path in paths.items()}
 
 
-def publish_institutions(valid: DataFrame, counts: DataFrame, folder: str, generated_at: str) -> dict[str, str]:
-    """Write the institutions, in as many parts as they have, and a one-row metadata file."""
+def publish_institutions(
+    valid: DataFrame, counts: DataFrame, folder: str, generated_at: str, summary: DataFrame | None = None
+) -> dict[str, str]:
+    """Write the institutions, in as many parts as they have, a one-row metadata file and a summary."""
     paths = {"institutions.csv": f"{folder}/institutions.csv", "meta.json": f"{folder}/meta.json"}
     write_csv(valid.select(*INSTITUTION.names), paths["institutions.csv"])
     meta = counts.select(
@@ -70,4 +75,7 @@ def publish_institutions(valid: DataFrame, counts: DataFrame, folder: str, gener
         F.col("rejected_rows").alias("rejected_count"),
     ).select(*INSTITUTION_META.names)
     meta.coalesce(1).write.mode("overwrite").json(paths["meta.json"])
+    if summary is not None:
+        paths["summary.json"] = f"{folder}/summary.json"
+        summary.coalesce(1).write.mode("overwrite").json(paths["summary.json"])
     return paths

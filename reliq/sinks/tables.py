@@ -6,17 +6,13 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reliq.schemas import LAYERS
+from reliq.sinks.versions import write_version
 from reliq.sources.layers import layer_path
 
 
 def reload_table(df: DataFrame, root: str, layer: str, table: str, partition_by: str | None = None) -> str:
-    """Replace a whole table; the frame must not read the path it replaces."""
-    path = layer_path(root, layer, table)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
-    return path
+    """Replace a whole table and return the folder of its new version."""
+    return write_version(df, layer_path(root, layer, table), partition_by)
 
 
 def append_audit(df: DataFrame, root: str, layer: str, table: str) -> str:

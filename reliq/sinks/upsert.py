@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reliq.schemas import DAILY_METRICS
+from reliq.sinks.versions import current_path, write_version
 from reliq.sources.files import arrival
 
 
@@ -19,12 +19,10 @@ def merge_days(old: DataFrame, new: DataFrame) -> DataFrame:
 
 def stored_days(spark: SparkSession, path: str) -> DataFrame:
     """The stored metrics; empty before the first run."""
-    try:
-        return spark.read.schema(DAILY_METRICS).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    current = current_path(spark, path)
+    if current is None:
         return spark.createDataFrame([], DAILY_METRICS)
+    return spark.read.schema(DAILY_METRICS).parquet(current)
 
 
 def upsert_daily_metrics(
@@ -32,17 +30,14 @@ def upsert_daily_metrics(
 ) -> int:
     """Write the metrics of a run and return the number of days written.
 
-    The table holds one row per calendar day, so it stays small however many
-    transactions there are, and is replaced whole. The merged days are written beside it
-    first: they never read what they replace, and outlive a failure in between.
+    The new days are written first, then, with the days that stay, as the next version of the
+    table. Until that version is complete the table is the one before, so a run that ends in
+    between loses nothing. The table holds one row per calendar day.
     """
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in DAILY_METRICS.fields]
     new = metrics.withColumn("updated_at", arrival(at)).select(*columns)
     seen = Observation("metric_days")
-    counted = new.repartition(1).observe(seen, F.count(F.lit(1)).alias("days"))
-    counted.write.mode("overwrite").parquet(f"{path}.incoming")
-    incoming = spark.read.schema(DAILY_METRICS).parquet(f"{path}.incoming")
-    merge_days(stored_days(spark, path), incoming).repartition(1).write.mode("overwrite").parquet(f"{path}.merged")
-    merged = spark.read.schema(DAILY_METRICS).parquet(f"{path}.merged")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    counted = new.observe(seen, F.count(F.lit(1)).alias("days"))
+    incoming = spark.read.schema(DAILY_METRICS).parquet(write_version(counted, f"{path}.incoming"))
+    write_version(merge_days(stored_days(spark, path), incoming), path)
     return seen.get["days"]

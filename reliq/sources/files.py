@@ -5,7 +5,8 @@ from __future__ import annotations
 import warnings
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,12 +51,35 @@ def header_columns(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, escape='"')
 
 
+#: What Spark says of a file that is absent, empty, or not what it should be.
+READ_ERRORS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE", "MALFORMED_RECORD_IN_PARSING", "MALFORMED_CSV_RECORD")
+
+
+def _condition(error: Exception) -> str:
+    return (error.getCondition() or "") if isinstance(error, PySparkException) else ""
+
+
+def _is_read_error(error: Exception) -> bool:
+    """Whether the file is at fault; a lost cluster, a cancelled job or a wrong call is not."""
+    if _condition(error).startswith(READ_ERRORS):
+        return True
+    text = str(error)
+    return "java.io.EOFException" in text or "java.util.zip.ZipException" in text or any(name in text for name in READ_ERRORS)
+
+
 def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A report CSV by its own header; empty where it is missing or cannot be read."""
+    """A report CSV by its own header; empty where it is missing or cannot be read.
+
+    The first row is read at once, so that a broken file is noticed here.
+    """
     try:
-        return spark.read.csv(path, header=True, escape='"', mode="PERMISSIVE")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        found = spark.read.csv(path, header=True, escape='"', mode="PERMISSIVE")
+        found.take(1)
+        return found
+    except (PySparkException, Py4JJavaError) as error:
+        if not _is_read_error(error):
+            raise
+        if _condition(error) != "PATH_NOT_FOUND":
             warnings.warn(f"Could not read {path}: {error}", stacklevel=2)
         return spark.createDataFrame([], schema)
 
@@ -64,6 +88,8 @@ def load_json(spark: SparkSession, path: str) -> dict:
     """A one-document JSON file as a dict; empty where it is missing or corrupt."""
     try:
         found = spark.read.json(path, multiLine=True, mode="FAILFAST").take(1)
-    except Exception:
+    except (PySparkException, Py4JJavaError) as error:
+        if not _is_read_error(error):
+            raise
         return {}
     return found[0].asDict(recursive=True) if found else {}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reliq.schemas import LAYERS
+from reliq.sinks.versions import current_path
 
 
 def layer_path(root: str, layer: str, table: str) -> str:
@@ -12,8 +13,15 @@ def layer_path(root: str, layer: str, table: str) -> str:
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    """A stored table in its declared layout."""
-    return spark.read.schema(LAYERS[layer][table]).parquet(layer_path(root, layer, table))
+    """A stored table in its declared layout: its current version, or the folder that is appended to."""
+    path = layer_path(root, layer, table)
+    return spark.read.schema(LAYERS[layer][table]).parquet(current_path(spark, path) or path)
+
+
+def stored_columns(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
+    """A stored table with the columns that its files hold, declared or not."""
+    path = layer_path(root, layer, table)
+    return spark.read.option("mergeSchema", "true").parquet(current_path(spark, path) or path)
 
 
 def table_columns(df: DataFrame) -> list[str]:

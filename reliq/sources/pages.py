@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from reliq.operators.topk import first_rows
 from reliq.schemas import INSTITUTION, INSTITUTION_PAGE
 
-# The paging of the source, which ends at ten full pages.
+# Fixed value: the paging of the source.
 PAGE_SIZE = 1_000
-MAX_PAGES = 10
 
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -28,8 +27,8 @@ def source_page(records: DataFrame, limit: int, offset: int = 0) -> DataFrame:
 
 
 def fetch_institutions(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """The records the source serves: active ones by assets, up to its page limit."""
-    return source_page(read_pages(spark, path, multi_line), PAGE_SIZE * MAX_PAGES)
+    """The active records of all landed pages."""
+    return read_pages(spark, path, multi_line).filter("ACTIVE = 1")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:

@@ -31,12 +31,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan with fewer input splits than cores; a large table is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def raw_customers(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     """Customers; those without a positive balance lack a name, unless ``clean``."""
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
@@ -70,9 +64,7 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_transactions(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     """Transactions with derived defects, or with almost none when ``clean``."""
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_part"), F.col("p_brand").alias("merchant"))
-    lines = transaction_lines(
-        spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey"), clean
-    )
+    lines = transaction_lines(table(spark, sf_dir, "lineitem"), clean)
     return lines.join(part, "_part").select(*RAW_TRANSACTIONS.names, "ingested_at")
 
 
@@ -120,9 +112,14 @@ def institutions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def institution_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Page documents of at most 1,000 records: ids are unique, a page is a range of them."""
+    """Page documents of at most 1,000 records: ids are unique, a page is a range of them.
+
+    Every tenth institution also has an inactive record, under its negative id.
+    """
     record = F.struct(F.struct(*INSTITUTION.names).alias("data"))
-    pages = institutions(spark, sf_dir).groupBy(F.floor(F.col("CERT") / 1000).alias("page"))
+    active = institutions(spark, sf_dir)
+    closed = active.filter("CERT % 10 = 0").withColumns({"CERT": -F.col("CERT"), "ACTIVE": F.lit(0).cast(INSTITUTION["ACTIVE"].dataType)})
+    pages = active.unionByName(closed).groupBy(F.floor(F.col("CERT") / 1000).alias("page"))
     return pages.agg(F.collect_list(record["data"]).alias("records"), F.count("*").alias("total")).select(
         F.transform("records", lambda r: F.struct(r.alias("data"))).alias("data"),
         F.struct("total").alias("meta"),

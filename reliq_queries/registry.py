@@ -133,7 +133,7 @@ over_warehouse("latest_facts", lambda w: reports.latest_facts(w.fact()))
 over_institutions("institutions_valid", lambda r: institutions.valid_records(r).select(*GIVEN))
 over_institutions("institutions_rejected", lambda r: institutions.rejected_records(r).select(*GIVEN, "_reason"))
 over_institutions("institutions_reject_counts", institutions.reason_counts)
-over_institutions("institutions_summary", lambda r: institutions.summarise(r.drop("_reason")))
+over_institutions("institutions_summary", lambda r: institutions.summarise(r.drop("_reason"), FIXED_TIME))
 over_institutions(
     "institution_quality_checks", lambda r: gates.institution_gates(institutions.outcome_counts(r))
 )
@@ -320,6 +320,7 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         w.quarantine(),
         runlog.run_state(fixtures.run_events(spark, sf_dir)),
         f"{layers.root}/snapshots",
+        reports.FACT_SNAPSHOT_ROWS,
     )
     return spark.read.csv(paths["fact_transactions.csv"], header=True, escape='"')
 

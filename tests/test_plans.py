@@ -8,8 +8,10 @@ from helpers import rows
 
 from reliq.operators import gates
 from reliq.plans.institutions import run_institutions
-from reliq.plans.transactions import Inputs, Layers, run_transactions
+from reliq.plans.transactions import Inputs, Layers, check_drift, run_transactions
 from reliq.schemas import INSTITUTION
+from reliq.sinks.tables import reload_table
+from reliq.sources.layers import stored_columns
 
 MORNING = dt.datetime(2024, 6, 1, 2, tzinfo=dt.timezone.utc)
 
@@ -82,6 +84,26 @@ def test_a_failed_gate_is_audited_and_recorded(spark, tmp_path):
     assert layers.runs().filter("status = 'success'").count() == 1
 
 
+def test_a_mended_run_passes_under_the_same_id(spark, tmp_path):
+    copies = [*GOOD[:10], *[line(i % 10, day=1 + i % 3) for i in range(30)]]
+    inputs, root = write_inputs(tmp_path / "in", copies), str(tmp_path / "out")
+    run_transactions(spark, inputs, root, "again", MORNING, enforce=False)
+    layers = Layers(spark, root)
+    assert "failed" in [r[0] for r in rows(layers.ops("reconciliation"), "status")]
+    run_transactions(spark, write_inputs(tmp_path / "in", GOOD), root, "again", MORNING + dt.timedelta(hours=1))
+    assert layers.ops("reconciliation").count() == 6
+    assert rows(layers.runs(), "dag_run_id", "status") == [("again", "success")]
+
+
+def test_a_new_stored_column_is_drift(spark, tmp_path):
+    inputs, root = write_inputs(tmp_path / "in", GOOD), str(tmp_path / "out")
+    run_transactions(spark, inputs, root, "r1", MORNING)
+    changed = stored_columns(spark, root, "raw", "accounts").selectExpr("*", "1 as unexpected")
+    reload_table(changed, root, "raw", "accounts")
+    with pytest.raises(gates.GateFailure, match=r"accounts: added=\['unexpected'\] removed=\[\]"):
+        check_drift(Layers(spark, root), {"accounts": stored_columns(spark, root, "raw", "accounts")}, "r2", MORNING + dt.timedelta(days=1))
+
+
 def test_a_malformed_amount_aborts_a_strict_run_only(spark, tmp_path):
     inputs, root = write_inputs(tmp_path / "in", [*GOOD, line("bad", amount="ten")]), str(tmp_path / "out")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):

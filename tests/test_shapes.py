@@ -58,7 +58,7 @@ def test_copies_are_cut_before_the_exchange(small, no_broadcast):
     assert re.search(r"WindowGroupLimit.*Partial", text)
     assert "LeftSemi" in text
     large = plan(reports.first_rows(small[0], staging.copy_order("transaction_id"), 20_000))
-    assert re.search(r"WindowGroupLimit.*Partial", large) and "TakeOrderedAndProject" in large
+    assert "TakeOrderedAndProject" in large
 
 
 def test_orphans_use_an_anti_join(small, no_broadcast):
