@@ -82,8 +82,11 @@ class Runs:
         return self._merged([self.spark.table(t) for t in self.tables()])
 
     def _merged(self, runs: list[DataFrame]) -> DataFrame:
+        # The planner may take a union of bucketed scans as dealt by their buckets and yet not read it
+        # by them; dealing the rows explicitly keeps the rows of a key together.
         return (
             reduce(DataFrame.unionByName, runs)
+            .repartition(self.buckets, *KEY)
             .groupBy(*KEY)
             .agg(F.sum("docs").alias("docs"), F.max("top").alias("top"), F.bool_or("fresh").alias("fresh"))
         )
