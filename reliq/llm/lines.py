@@ -72,21 +72,21 @@ class Runs:
     def compact(self) -> None:
         level = 0
         while len(self.levels[level]) >= FANOUT:
-            merged = self._merged([self.spark.table(t) for t in self.levels[level]])
+            merged = self._merged(self.levels[level])
             self.levels[level + 1].append(self.write(merged))
             self.levels[level] = []
             level += 1
 
     def totals(self) -> DataFrame:
         """Every key once, with its documents and the largest document id."""
-        return self._merged([self.spark.table(t) for t in self.tables()])
+        return self._merged(self.tables())
 
-    def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        # The planner may take a union of bucketed scans as dealt by their buckets and yet not read it
-        # by them; dealing the rows explicitly keeps the rows of a key together.
+    def _merged(self, tables: list[str]) -> DataFrame:
+        # Read as plain files: a union of bucketed scans counts as dealt by the key, but is not always read so.
+        schema = self.spark.table(tables[0]).schema
+        runs = [self.spark.read.schema(schema).parquet(f"{self.root}/{table}") for table in tables]
         return (
             reduce(DataFrame.unionByName, runs)
-            .repartition(self.buckets, *KEY)
             .groupBy(*KEY)
             .agg(F.sum("docs").alias("docs"), F.max("top").alias("top"), F.bool_or("fresh").alias("fresh"))
         )
