@@ -63,12 +63,17 @@ def _block(root: _State, outputs: list[list[int]]) -> bytes:
             state.place = len(order)
             order.append(state)
             waiting.extend(state.edges.values())
+    # Words below each state, those of its edges first; a word may be too long to recurse along it.
     accepted: dict[int, int] = {}
-
-    def count(state: _State) -> int:
-        if state.place not in accepted:
-            accepted[state.place] = state.final + sum(count(s) for s in state.edges.values())
-        return accepted[state.place]
+    waiting = [root]
+    while waiting:
+        state = waiting[-1]
+        below = [child for child in state.edges.values() if child.place not in accepted]
+        if below:
+            waiting.extend(below)
+        else:
+            accepted[state.place] = state.final + sum(accepted[child.place] for child in state.edges.values())
+            waiting.pop()
 
     first, finals, labels, targets, skips = array("i"), array("i"), array("i"), array("i"), array("i")
     for state in order:
@@ -79,7 +84,7 @@ def _block(root: _State, outputs: list[list[int]]) -> bytes:
             labels.append(label)
             targets.append(child.place)
             skips.append(passed)
-            passed += count(child)
+            passed += accepted[child.place]
     first.append(len(labels))
     ends, ids = array("i", [0]), array("i")
     for output in outputs:
