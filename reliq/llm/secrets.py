@@ -33,7 +33,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Texts (about) whose words train the model of identifiers, and the least length of such a word.
 SAMPLE_TEXTS = 2_000
 WORD = "[A-Za-z0-9+/_=-]{4,}"
-PRIOR = 0.5
+#: What is added to the count of a character, and how many pairs its frequency stands for.
+PRIOR, WEIGHT = 0.5, 4.0
 #: A run is a secret from this log-likelihood ratio on, in all and for each of its characters.
 LEAST_RATIO, LEAST_MEAN_RATIO = 8.0, 0.4
 BROADCAST_ROWS = 500_000
@@ -94,7 +95,10 @@ def character_pairs(strings: DataFrame) -> DataFrame:
 
 
 def _logs(pairs: DataFrame, name: str) -> DataFrame:
-    """Smoothed log probabilities of a character after another, for the whole alphabet."""
+    """Log probabilities of a character after another, for the whole alphabet.
+
+    Where a pair is rare, the character's own frequency counts.
+    """
     grid = (
         pairs.sparkSession.range(1)
         .select(F.explode(F.filter(F.split(F.lit("^" + ALPHABET), ""), lambda c: c != "")).alias("a"))
@@ -102,8 +106,11 @@ def _logs(pairs: DataFrame, name: str) -> DataFrame:
     )
     counts = pairs.filter(F.col("b").isin(list(ALPHABET))).groupBy("a", "b").agg(F.count("*").alias("n"))
     full = grid.join(counts, ["a", "b"], "left").fillna({"n": 0})
-    total = F.sum("n").over(Window.partitionBy("a"))
-    return full.select("a", "b", F.log((F.col("n") + PRIOR) / (total + PRIOR * len(ALPHABET))).alias(name))
+    # The grid has a few thousand rows, whatever the corpus.
+    total, alike = F.sum("n").over(Window.partitionBy("a")), F.sum("n").over(Window.partitionBy("b"))
+    every = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    alone = (alike + PRIOR) / (every + PRIOR * len(ALPHABET))
+    return full.select("a", "b", F.log((F.col("n") + WEIGHT * alone) / (total + WEIGHT)).alias(name))
 
 
 def ratio_table(docs: DataFrame, spans: DataFrame) -> DataFrame:
