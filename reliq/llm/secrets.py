@@ -30,9 +30,9 @@ PATTERNS = [ASSIGN, ACCESS, HEX, RUN]
 VALUE_LENGTH, ACCESS_LENGTH = 12, 18
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Texts (about) whose words train the model of identifiers, and the least length of such a word.
+#: Texts (about) whose words train the model of identifiers; words as long as runs are no samples.
 SAMPLE_TEXTS = 2_000
-WORD = "[A-Za-z0-9+/_=-]{4,}"
+WORD = "(?<![A-Za-z0-9+/_=-])([A-Za-z0-9+/_=-]{4,15})(?![A-Za-z0-9+/_=-])"
 #: What is added to the count of a character, and how many pairs its frequency stands for.
 PRIOR, WEIGHT = 0.5, 4.0
 #: A run is a secret from this log-likelihood ratio on, in all and for each of its characters.
@@ -125,7 +125,7 @@ def ratio_table(docs: DataFrame, spans: DataFrame) -> DataFrame:
     bare = text
     for pattern in PATTERNS[:MARKOV]:
         bare = F.regexp_replace(bare, pattern, " ")
-    words = docs.filter(draw).select(F.explode(F.regexp_extract_all(bare, F.lit(f"({WORD})"), F.lit(1))).alias("value"))
+    words = docs.filter(draw).select(F.explode(F.regexp_extract_all(bare, F.lit(WORD), F.lit(1))).alias("value"))
     random, plain = _logs(character_pairs(secrets), "r"), _logs(character_pairs(words), "w")
     return random.join(plain, ["a", "b"]).select("a", "b", (F.col("r") - F.col("w")).alias("ratio"))
 

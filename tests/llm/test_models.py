@@ -154,6 +154,7 @@ def test_random_strings_are_added_and_words_are_not(make, empty, clashing):
     rows = [(20 + i, f"{prose(i, 40)} the key is {key} and grandmothers-travellers-children") for i, key in enumerate(keys)]
     rows += [(200 + i, prose(i, 300)) for i in range(60)]
     rows += [(300 + i, "token = " + "".join(rng.choice(letters) for _ in range(40))) for i in range(40)]
+    rows += [(400 + i, f"src/main user_name file-path get_value/set-{i} the_name of/the-{i}") for i in range(40)]
     rows += [(50, "internationalization_of_configuration/settings/parameter-names"), *SECRETS]
     found = {r["row"]["doc_id"]: r["spans"] for r in secrets.scan(make(rows)).collect()}
     for i, key in enumerate(keys):
