@@ -43,6 +43,7 @@ def relationships(
     return salted_join(values, keys, "from_field", "left_anti", hot)
 
 
+# Fixed values below and above: the columns of test results.
 def verdict(name: str | Column, failures: Column) -> list[Column]:
     """The result columns of a test."""
     label = F.lit(name) if isinstance(name, str) else name

@@ -13,6 +13,7 @@ from reliq.operators.staging import stage_accounts, stage_transactions, stg_tran
 FIRST_DAY = "2024-01-01"
 LAST_DAY = "2027-12-31"
 
+# The columns of the star schema, in order.
 CUSTOMER_CONTEXT = ["customer_name", "customer_country"]
 ACCOUNT_CONTEXT = ["customer_id", "customer_country", "account_type"]
 ACCOUNT_COLUMNS = [

@@ -11,6 +11,7 @@ from reliq.functions.casts import as_date, as_timestamp, exact_amount, money, re
 from reliq.operators.dedupe import first_per_key
 from reliq.operators.skew import NONE, Hot, salted_join
 
+# The columns of a transaction, in order.
 TRANSACTION_COLUMNS = [
     "transaction_id",
     "account_id",

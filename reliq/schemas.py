@@ -22,6 +22,7 @@ def _text(*names: str) -> T.StructType:
     return _struct(**{name: TEXT for name in names})
 
 
+# The columns of the landed tables, in order.
 RAW_CUSTOMERS = _text("customer_id", "full_name", "email", "country", "signup_date")
 RAW_ACCOUNTS = _text("account_id", "customer_id", "account_type", "currency", "opened_date")
 RAW_TRANSACTIONS = _text(
@@ -34,6 +35,7 @@ def _with(layout: T.StructType, **columns: T.DataType) -> T.StructType:
     return T.StructType([*layout.fields, *_struct(**columns).fields])
 
 
+# The columns of the staged tables, the star schema and the audit tables, in order.
 STG_CUSTOMERS = _struct(customer_id=TEXT, full_name=TEXT, email=TEXT, country=TEXT, signup_date=DATE)
 STG_ACCOUNTS = _struct(account_id=TEXT, customer_id=TEXT, account_type=TEXT, currency=TEXT, opened_date=DATE)
 
