@@ -387,12 +387,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows without shingles are alone. Rows without a doc_id stay.
     """
     judged = stored(near_duplicates(docs), "near")
-    lost = judged.filter("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("lost"))
-    kept = docs.join(small_side(stored(lost.distinct(), "lost"), BROADCAST_ROWS), docs["doc_id"] == F.col("lost"), "left_anti")
+    lost = judged.filter("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("lost_doc_id"))
+    kept = docs.join(small_side(stored(lost.distinct(), "lost"), BROADCAST_ROWS), docs["doc_id"] == F.col("lost_doc_id"), "left_anti")
     repeated = judged.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
     if repeated.isEmpty():
         return kept
-    twice = F.broadcast(repeated.select(F.col("doc_id").alias("lost"))) if repeated.count() <= BROADCAST_ROWS else repeated.select(F.col("doc_id").alias("lost"))
-    same = kept["doc_id"] == F.col("lost")
+    twice = F.broadcast(repeated.select(F.col("doc_id").alias("lost_doc_id"))) if repeated.count() <= BROADCAST_ROWS else repeated.select(F.col("doc_id").alias("lost_doc_id"))
+    same = kept["doc_id"] == F.col("lost_doc_id")
     once = kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"])
     return kept.join(twice, same, "left_anti").unionByName(once)
