@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reliq.functions.casts import exact_amount
+from reliq.operators.quarantine import LOADED
 from reliq.operators.topk import first_rows, newest_days
 from reliq.schemas import MONEY
 
@@ -61,6 +63,31 @@ def fact_kpis(fact: DataFrame, breakdown: DataFrame) -> DataFrame:
     return side_by_side(totals, rejected)
 
 
+def classified_totals(classified: DataFrame) -> DataFrame:
+    """One row with ``fact_kpis``, from rows classified once with their account context.
+
+    A loaded row whose amount rounds to nothing is neither a fact nor a reject.
+    """
+    amount = exact_amount(F.col("amount"), strict=True).cast(MONEY)
+    kind = F.when(F.col("outcome") != LOADED, "reject").when(amount > 0, "fact")
+    own = {name: F.when(F.col("kind") == "fact", F.col(name)) for name in ("customer_country", "merchant", "value")}
+    marked = classified.withColumns({"kind": kind, "value": amount}).filter("kind is not null")
+    pairs = marked.groupBy("kind", own["customer_country"].alias("country"), own["merchant"].alias("shop")).agg(
+        F.count("*").alias("_rows"), F.sum(own["value"]).alias("_value")
+    )
+
+    def rows_of(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("_rows"))), F.lit(0))
+
+    return pairs.agg(
+        rows_of("fact").alias("transactions"),
+        F.coalesce(F.sum("_value"), F.lit(0)).cast(MONEY).alias("total_value"),
+        F.countDistinct("country").alias("countries"),
+        F.countDistinct("shop").alias("merchants"),
+        rows_of("reject").alias("quarantined"),
+    )
+
+
 def country_rollup(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """Transactions and value per customer country; unknown customers share a null group.
 

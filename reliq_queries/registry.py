@@ -206,17 +206,25 @@ def test_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _classified(w: Warehouse) -> DataFrame:
+    """The landed transactions, classified once, with the account context of the facts."""
+    return quarantine.classify_transactions(w.raw("transactions"), w.dim_account(), hot=w.hot, carry=marts.ACCOUNT_CONTEXT)
+
+
 def _counted(w: Warehouse) -> DataFrame:
-    raw = w.raw("transactions")
-    rejects = quarantine.count_by_reason(raw, w.accounts())
-    return reports.layer_row_counts(raw, staging.stg_transactions(w.transactions()), w.fact(), rejects)
+    """The size of every layer: one classification, and the landed rows."""
+    totals = reports.classified_totals(_classified(w))
+    sizes = totals.select(
+        F.col("transactions").alias("staging_rows"), F.col("transactions").alias("fact_rows"), F.col("quarantined").alias("quarantined_rows")
+    )
+    return reports.side_by_side(w.raw("transactions").agg(F.count("*").alias("raw_rows")), sizes)
 
 
 over_warehouse("layer_row_counts", _counted)
 over_warehouse("quality_checks", lambda w: gates.transaction_gates(_counted(w)))
 over_warehouse(
     "fact_kpis",
-    lambda w: reports.fact_kpis(w.fact(), quarantine.count_by_reason(w.raw("transactions"), w.accounts())),
+    lambda w: reports.classified_totals(_classified(w)),
 )
 
 
