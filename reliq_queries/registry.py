@@ -206,6 +206,32 @@ def test_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def test_summary_of_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine tests over marts with doubled and missing keys, odd statuses, lost accounts and amounts."""
+    w = Warehouse(spark, sf_dir)
+
+    def damaged_keys(df: DataFrame, key: str) -> DataFrame:
+        column = F.col(key)
+        doubled = df.select(key).unionByName(df.select(key).filter(column.like("%7")))
+        return doubled.select(F.when(~column.like("%3"), column).alias(key))
+
+    fact = w.fact()
+    doubled = fact.unionByName(fact.filter(F.col("transaction_id").like("%-2")))
+    merchant = F.col("merchant")
+    damaged = doubled.withColumns(
+        {
+            "transaction_id": F.when(~F.col("transaction_id").like("%-3"), F.col("transaction_id")),
+            "account_id": F.when(F.col("account_id").like("%1"), "none").otherwise(F.col("account_id")),
+            "amount": F.when(merchant != "Brand#5", F.col("amount")),
+            "status": F.when(merchant.like("%3"), merchant).otherwise(F.col("status")),
+        }
+    )
+    return constraints.mart_results(
+        damaged_keys(w.dim_customer(), "customer_id"), damaged_keys(w.dim_account(), "account_id"), damaged
+    )
+
+
 def _classified(w: Warehouse) -> DataFrame:
     """The landed transactions, classified once, with the account context of the facts."""
     return quarantine.classify_transactions(w.raw("transactions"), w.dim_account(), hot=w.hot, carry=marts.ACCOUNT_CONTEXT)
