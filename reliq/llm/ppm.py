@@ -5,11 +5,15 @@ follow them. A byte is predicted by the longest context of the trie; bytes that
 seen share its escape probability (its distinct followers over their number plus all it saw),
 are looked up one byte shorter, and there the bytes seen before are excluded.
 
-Counts are taken over all training texts by Spark. A context joins the trie when more than one
-in ``CONTEXTS`` places has it, so the trie has at most ``CONTEXTS`` contexts of each length
-however large the corpus is; what it counts grows with the corpus. As the trie no longer
-changes, code lengths are worked out once per context, and contexts become the states of an
-automaton that is walked through many pieces of text at a time.
+Counts are taken over all training texts by Spark, and every context seen there is in the trie,
+which grows with the corpus. As it no longer changes, the code length of a byte is fixed by the
+``ORDER`` bytes before it, and is worked out once however often these stand in the corpus:
+
+- Contexts before more than one in ``CONTEXTS`` places become the states of an automaton with
+  exact code lengths, walked through many pieces of text at a time.
+- For places whose longest context is rarer, Spark works out the code lengths of all bytes that
+  the texts have there from the stored counts. Those of more than one in ``HEAD_GRAMS`` places
+  travel to the tasks, all others are joined.
 
 Besides the model, a smoothed unigram score of words is returned. Frequent words (more than one
 in ``HEAD_WORDS``) travel to the tasks, all others are joined.
@@ -32,8 +36,12 @@ from reliq.llm.sharing import ship_package
 from reliq.llm.text import stored, whole_text
 
 ORDER = 4
-#: Contexts of one length in the trie: fewer than this.
+#: Contexts of one length in the automaton: fewer than this.
 CONTEXTS = 16384
+#: Bytes after rarer contexts whose code lengths are sent to the tasks: fewer than this.
+HEAD_GRAMS = 1 << 21
+#: Symbols a text may have after any context.
+SYMBOLS = 255
 #: Words whose counts are sent to the tasks: fewer than this.
 HEAD_WORDS = 1 << 19
 #: Bytes that no UTF-8 text has: what stands before a text, and the symbol of its end.
@@ -57,6 +65,15 @@ def stream_of(raws: list[bytes]) -> np.ndarray:
     return LOWERED[np.frombuffer(joined, np.uint8)]
 
 
+def grams_of(stream: np.ndarray) -> np.ndarray:
+    """Every byte from the ``ORDER``-th on with those before it, from near to far, as one number."""
+    wide = stream.astype(np.int64)
+    keys = wide[ORDER:].copy()
+    for back in range(1, ORDER + 1):
+        keys = (keys << 8) | wide[ORDER - back : len(wide) - back]
+    return keys
+
+
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys with the sums of their counts."""
     order = np.argsort(keys, kind="stable")
@@ -74,11 +91,7 @@ class Grams:
         self.size = 0
 
     def add(self, stream: np.ndarray) -> None:
-        wide = stream.astype(np.int64)
-        keys = wide[ORDER:].copy()
-        for back in range(1, ORDER + 1):
-            keys = (keys << 8) | wide[ORDER - back : len(wide) - back]
-        keys = np.sort(keys[stream[ORDER:] != START])
+        keys = np.sort(grams_of(stream)[stream[ORDER:] != START])
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         self.waiting.append((keys[first], np.diff(np.append(first, len(keys)))))
         self.size += len(first)
@@ -101,13 +114,14 @@ class Grams:
 
 
 def corpus_counts(docs: DataFrame) -> DataFrame:
-    """Counts over all texts, stored: words (``kind`` -1, ``word``; the end of a text is the empty
-    word) and bytes after contexts of each length (``kind`` 0 to ``ORDER``, ``gram``)."""
+    """Counts over the texts not ``held_out``, stored: words (``kind`` -1, ``word``; the end of a
+    text is the empty word) and bytes after contexts of each length (``kind`` 0 to ``ORDER``,
+    ``gram``). ``held`` counts the bytes after whole contexts in texts held out."""
     ship_package(docs.sparkSession)
-    names = ["kind", "word", "gram", "n"]
+    names = ["kind", "word", "gram", "n", "held"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, words = Grams(), Counter()
+        grams, others, words = Grams(), Grams(), Counter()
 
         def drained() -> pa.RecordBatch:
             size = len(words)
@@ -116,25 +130,54 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
                 pa.array(list(words.keys()), pa.binary()),
                 pa.nulls(size, pa.int64()),
                 pa.array(list(words.values()), pa.int64()),
+                pa.array(np.zeros(size, np.int64)),
             ]
             words.clear()
             return pa.RecordBatch.from_arrays(arrays, names)
 
         for piece in pieces(batches):
-            raws = [text.encode() for text in texts_of(piece)]
-            grams.add(stream_of(raws))
+            raws, apart = [], []
+            for text, held in zip(texts_of(piece), piece.column("held_out").to_pylist()):
+                (apart if held else raws).append(text.encode())
+            for part, kept in ((raws, grams), (apart, others)):
+                if part:
+                    kept.add(stream_of(part))
             for raw in raws:
                 words.update(raw.lower().split())
             words[b""] += len(raws)
             if len(words) > COUNTED_WORDS:
                 yield drained()
         yield drained()
-        for order, keys, counts in grams.by_order():
+
+        def counted(order: int, keys: np.ndarray, n: np.ndarray, held: np.ndarray) -> pa.RecordBatch:
             kinds = pa.array(np.full(len(keys), order, np.int32))
-            yield pa.RecordBatch.from_arrays([kinds, pa.nulls(len(keys), pa.binary()), pa.array(keys), pa.array(counts)], names)
+            return pa.RecordBatch.from_arrays([kinds, pa.nulls(len(keys), pa.binary()), *map(pa.array, (keys, n, held))], names)
+
+        for order, keys, counts in grams.by_order():
+            yield counted(order, keys, counts, np.zeros_like(counts))
+        others.settle()
+        yield counted(ORDER, others.keys, np.zeros_like(others.counts), others.counts)
+
+    rows = docs.select("held_out", whole_text(docs).alias("text")).mapInArrow(
+        count, "kind int, word binary, gram long, n long, held long"
+    )
+    return stored(rows.groupBy("kind", "word", "gram").agg(F.sum("n").alias("n"), F.sum("held").alias("held")), "counts")
+
+
+@dataclass
+class CodeLengths:
+    """Sorted grams and log10 of the probability of their bytes."""
 
-    rows = docs.select(whole_text(docs).alias("text")).mapInArrow(count, "kind int, word binary, gram long, n long")
-    return stored(rows.groupBy("kind", "word", "gram").agg(F.sum("n").alias("n")), "counts")
+    grams: np.ndarray
+    costs: np.ndarray
+
+    def of(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which grams are known, and the costs of these (0 for others)."""
+        if not len(self.grams):
+            return np.zeros(len(grams), bool), np.zeros(len(grams))
+        places = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        known = self.grams[places] == grams
+        return known, np.where(known, self.costs[places], 0.0)
 
 
 @dataclass
@@ -143,6 +186,8 @@ class Trie:
 
     costs: np.ndarray
     following: np.ndarray
+    #: Whether the context of a state has ``ORDER`` bytes, so that none is longer.
+    whole: np.ndarray
 
     @classmethod
     def build(cls, orders: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> Trie:
@@ -176,7 +221,7 @@ class Trie:
             linked = before >= 0
             following[before[linked], context[longer][linked] >> (8 * length)] = longer[linked]
         costs[:, START] = 0
-        return cls(costs, following)
+        return cls(costs, following, order == ORDER)
 
     @staticmethod
     def _code_lengths(table: np.ndarray, shorter: np.ndarray, states: np.ndarray, length: int) -> np.ndarray:
@@ -200,21 +245,28 @@ class Trie:
             return np.where(alive, escaped[:, None] - np.log10(np.maximum(rest, 1))[:, None], found)
 
     def scores(self, raws: list[bytes]) -> np.ndarray:
-        """log10 of the probability of each text, its end included."""
-        totals: list[np.ndarray] = []
+        """log10 of the probability of each text, its end included, by the contexts of the trie."""
+        return self.split_scores(raws, None)[0]
+
+    def split_scores(self, raws: list[bytes], others: CodeLengths | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The scores of texts where ``others`` has the places without a whole context, and the
+        places it lacks: numbers of texts in order, and grams."""
+        totals, owners, grams = [np.empty(0)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         batch: list[bytes] = []
-        size = 0
-        for raw in raws:
+        size, before = 0, 0
+        for i, raw in enumerate(raws):
             batch.append(raw)
             size += len(raw)
-            if size > WALKED:
-                totals.append(self._walk(batch))
+            if size > WALKED or i + 1 == len(raws):
+                each, owner, gram = self._walk(batch, others)
+                totals.append(each)
+                owners.append(owner + before)
+                grams.append(gram)
+                before += len(batch)
                 batch, size = [], 0
-        if batch:
-            totals.append(self._walk(batch))
-        return np.concatenate(totals) if totals else np.empty(0)
+        return np.concatenate(totals), np.concatenate(owners), np.concatenate(grams)
 
-    def _walk(self, raws: list[bytes]) -> np.ndarray:
+    def _walk(self, raws: list[bytes], others: CodeLengths | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         stream = stream_of(raws)
         rows = -(-len(stream) // PIECE)
         padded = np.full(ORDER + rows * PIECE, START, np.uint8)
@@ -222,26 +274,113 @@ class Trie:
         # Pieces start ORDER bytes early: after these the state does not depend on what came before.
         steps = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, ORDER + PIECE)[::PIECE].T).astype(np.int64)
         costs, following = self.costs.ravel(), self.following.ravel()
-        state, spent = np.zeros(rows, np.int64), np.empty((PIECE, rows), np.float32)
+        state, spent, whole = np.zeros(rows, np.int64), np.empty((PIECE, rows), np.float32), np.empty((PIECE, rows), bool)
         for t, symbols in enumerate(steps):
             at = state * 256 + symbols
             if t >= ORDER:
                 np.take(costs, at, out=spent[t - ORDER], mode="clip")
+                if others is not None:
+                    np.take(self.whole, state, out=whole[t - ORDER], mode="clip")
             state = following[at].astype(np.int64)
         each = spent.T.ravel()[: len(stream)].astype(np.float64)
         lengths = np.array([len(raw) + ORDER + 1 for raw in raws])
-        return np.add.reduceat(each, np.cumsum(lengths) - lengths)
+        starts = np.cumsum(lengths) - lengths
+        owner, grams = np.empty(0, np.int64), np.empty(0, np.int64)
+        if others is not None:
+            short = np.flatnonzero(~whole.T.ravel()[: len(stream)] & (stream != START))
+            grams = grams_of(stream)[short - ORDER]
+            known, each[short] = others.of(grams)
+            short, grams = short[~known], grams[~known]
+            owner = np.searchsorted(starts, short, side="right") - 1
+        return np.add.reduceat(each, starts), owner, grams
+
+
+@dataclass
+class Model:
+    """The automaton of frequent contexts, and the code lengths of bytes after rarer ones: those
+    sent to the tasks, and a frame of the others (``gram``, ``cost``)."""
+
+    trie: Trie
+    head: CodeLengths
+    tail: DataFrame
 
 
-def build_trie(counts: DataFrame) -> Trie:
-    """The trie of the contexts that stand before more than one in ``CONTEXTS`` places."""
-    grams = counts.filter("kind >= 0")
-    places = counts.filter("kind = 0").agg(F.sum("n")).head()[0] or 0
-    context = F.col("gram").bitwiseAND(F.expr("shiftleft(1L, 8 * kind) - 1"))
-    marked = grams.withColumn("context", context)
-    kept = marked.groupBy("kind", "context").agg(F.sum("n").alias("all")).filter(F.col("all") * CONTEXTS > places)
-    rows = marked.join(kept, ["kind", "context"], "left_semi").select("kind", "gram", "n").toPandas()
-    return Trie.build(*[rows[name].to_numpy(np.int64) for name in ("kind", "gram", "n")])
+def context_of(kind: Column | int) -> Column:
+    """The context of ``gram``, which has ``kind`` bytes."""
+    mask = F.lit((1 << (8 * kind)) - 1) if isinstance(kind, int) else F.expr("shiftleft(1L, 8 * kind) - 1")
+    return F.col("gram").bitwiseAND(mask)
+
+
+def unseen_costs(unseen: DataFrame, seen: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``gram``, ``times`` and ``cost`` of bytes never seen after their whole context."""
+    above = contexts.select(
+        (F.col("kind") + 1).alias("kind"), F.col("context").alias("above"), F.col("total").alias("more"), F.col("distinct").alias("others")
+    )
+    # What is left of the shorter context once the bytes seen after the longer one are excluded.
+    left = F.col("more") - F.col("covered")
+    whole = left + F.when(F.col("others") < SYMBOLS, F.col("others") - F.col("distinct")).otherwise(0)
+    own = F.col("total") + F.when(F.col("distinct") < SYMBOLS, F.col("distinct")).otherwise(0)
+    escapes = (
+        contexts.withColumn("above", F.shiftright("context", 8))
+        .join(above, ["kind", "above"], "left")
+        .select(
+            "kind",
+            "context",
+            F.log10(own).alias("own"),
+            (F.log10("distinct") - F.log10(own)).alias("leave"),
+            F.log10(whole).alias("whole"),
+            F.when(left > 0, F.log10(F.col("others") - F.col("distinct")) - F.log10(whole)).otherwise(0.0).alias("step"),
+        )
+    )
+    escapes = stored(escapes, "escapes")
+    first = contexts.filter("kind = 0").select("distinct").head()
+    rows = unseen
+    for k in range(ORDER, -1, -1):
+        # Contexts of two bytes and grams of two bytes are at most 65,536 each.
+        here = escapes.filter(F.col("kind") == k).select(F.col("context").alias(f"c{k}"), *[F.col(x).alias(f"{x}{k}") for x in ("own", "leave", "whole", "step")])
+        key = F.shiftright("gram", 8 * (ORDER - k))
+        rows = rows.withColumn(f"c{k}", key.bitwiseAND(F.lit((1 << (8 * k)) - 1))).join(F.broadcast(here) if k <= 2 else here, f"c{k}", "left")
+        if k < ORDER:
+            grams = seen.filter(F.col("kind") == k).select(F.col("gram").alias(f"g{k}"), F.log10("n").alias(f"n{k}"))
+            rows = rows.withColumn(f"g{k}", key).join(F.broadcast(grams) if k <= 1 else grams, f"g{k}", "left")
+    # Of a byte looked up at an order from a longer stored context, and of one whose longest stored context has that order.
+    below = F.lit(-float(np.log10(max(SYMBOLS - (first[0] if first else 0), 1))))
+    cost = below
+    for k in range(ORDER + 1):
+        found = F.col(f"n{k}") if k < ORDER else F.lit(None).cast("double")
+        cost = F.when(F.col(f"own{k}").isNull(), cost).otherwise(F.coalesce(found - F.col(f"own{k}"), F.col(f"leave{k}") + below))
+        if k < ORDER:
+            below = F.coalesce(found - F.col(f"whole{k + 1}"), F.col(f"step{k + 1}") + below)
+    return rows.select("gram", "times", cost.alias("cost"))
+
+
+def build_model(counts: DataFrame) -> Model:
+    """All contexts of the training texts. Those that stand before more than one in ``CONTEXTS``
+    places become states; the rest is worked out for the bytes that any text has after them."""
+    seen = counts.filter("kind >= 0 and n > 0").select("kind", "gram", "n", context_of(F.col("kind")).alias("context"))
+    shorter = seen.select((F.col("kind") + 1).alias("kind"), F.col("gram").alias("above"), F.col("n").alias("more"))
+    linked = seen.withColumn("above", F.shiftright("gram", 8)).join(shorter, ["kind", "above"], "left")
+    contexts = stored(
+        linked.groupBy("kind", "context").agg(F.sum("n").alias("total"), F.count("*").alias("distinct"), F.sum("more").alias("covered")),
+        "contexts",
+    )
+    places = contexts.filter("kind = 0").agg(F.sum("total")).head()[0] or 0
+    frequent = F.col("total") * CONTEXTS > places
+    rows = seen.join(contexts.filter(frequent), ["kind", "context"], "left_semi").select("kind", "gram", "n").toPandas()
+    trie = Trie.build(*[rows[name].to_numpy(np.int64) for name in ("kind", "gram", "n")])
+
+    whole = counts.filter(F.col("kind") == ORDER).select("gram", "n", (F.col("n") + F.col("held")).alias("times"))
+    everywhere = whole.agg(F.sum("times")).head()[0] or 0
+    longest = contexts.filter(F.col("kind") == ORDER).select("context", "total", "distinct")
+    rare = whole.withColumn("context", context_of(ORDER)).join(longest, "context", "left").filter(F.col("total").isNull() | ~frequent)
+    size = F.col("total") + F.when(F.col("distinct") < SYMBOLS, F.col("distinct")).otherwise(0)
+    known = rare.filter("n > 0").select("gram", "times", (F.log10("n") - F.log10(size)).alias("cost"))
+    costs = stored(known.union(unseen_costs(rare.filter("n = 0").select("gram", "times"), seen, contexts)), "lengths")
+    often = F.col("times") * HEAD_GRAMS > everywhere
+    head = costs.filter(often).select("gram", "cost").toArrow()
+    grams = head.column("gram").to_numpy()
+    order = np.argsort(grams)
+    return Model(trie, CodeLengths(grams[order], head.column("cost").to_numpy()[order].astype(np.float32)), costs.filter(~often).select("gram", "cost"))
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -254,17 +393,18 @@ def score(docs: DataFrame) -> DataFrame:
     """
     spark = ship_package(docs.sparkSession)
     given = docs.select(docs["doc_id"].alias("doc_id"), held_out(docs["doc_id"]).alias("held_out"), whole_text(docs).alias("text"))
-    counts = corpus_counts(given.filter(~F.col("held_out")))
+    counts = corpus_counts(given)
     words = counts.filter("kind = -1").select("word", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
     scale = total + 0.5 * (distinct + 1)
     head = words.filter(F.col("n") * HEAD_WORDS > total).toArrow()
     logs = np.log10((head.column("n").to_numpy() + 0.5) / scale)
-    shared = spark.sparkContext.broadcast((dict(zip(head.column("word").to_pylist(), logs.tolist())), build_trie(counts)))
-    names = ["uid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "words", "times"]
+    model = build_model(counts)
+    shared = spark.sparkContext.broadcast((dict(zip(head.column("word").to_pylist(), logs.tolist())), model.trie, model.head))
+    names = ["uid", "doc_id", "held_out", "n_tokens", "known", "base", "score", "words", "times", "grams", "gram_times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_logs, trie = shared.value
+        known_logs, trie, lengths = shared.value
         uid = TaskContext.get().partitionId() << 33
         for piece in pieces(batches):
             raws = [text.encode() for text in texts_of(piece)]
@@ -285,6 +425,12 @@ def score(docs: DataFrame) -> DataFrame:
                 base.append(sums)
                 rare.append(unknown)
                 times.append([found[word] for word in unknown])
+            scores, owners, grams = trie.split_scores(raws, lengths)
+            # Each gram once per text, with how often it has it.
+            order = np.lexsort((grams, owners))
+            owners, grams = owners[order], grams[order]
+            first = np.flatnonzero(np.concatenate(([True], (owners[1:] != owners[:-1]) | (grams[1:] != grams[:-1])))) if len(grams) else owners
+            offsets = pa.array(np.searchsorted(owners[first], np.arange(len(raws) + 1)).astype(np.int32))
             arrays = [
                 pa.array(np.arange(uid, uid + len(raws))),
                 piece.column("doc_id"),
@@ -292,9 +438,11 @@ def score(docs: DataFrame) -> DataFrame:
                 pa.array(tokens, pa.int64()),
                 pa.array(known, pa.int64()),
                 pa.array(base, pa.float64()),
-                pa.array(trie.scores(raws)),
+                pa.array(scores),
                 pa.array(rare, pa.list_(pa.binary())),
                 pa.array(times, pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(offsets, pa.array(grams[first])),
+                pa.ListArray.from_arrays(offsets, pa.array(np.diff(np.append(first, len(grams))))),
             ]
             uid += len(raws)
             yield pa.RecordBatch.from_arrays(arrays, names)
@@ -302,23 +450,30 @@ def score(docs: DataFrame) -> DataFrame:
     kind = given.schema["doc_id"].dataType.simpleString()
     layout = (
         f"uid long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, "
-        "words array<binary>, times array<long>"
+        "words array<binary>, times array<long>, grams array<long>, gram_times array<long>"
     )
     scored = stored(given.mapInArrow(run, layout), "scores")
     rare = scored.select("uid", F.explode(F.arrays_zip("words", "times")).alias("r")).select("uid", "r.words", "r.times")
     tail = words.filter(F.col("n") * HEAD_WORDS <= total)
     joined = rare.join(tail, rare["words"] == tail["word"], "left")
     value = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(scale))
-    sums = joined.groupBy("uid").agg(
-        F.sum(F.col("times") * value).alias("more"),
-        F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("found"),
+    by_word = joined.select(
+        "uid",
+        (F.col("times") * value).alias("more"),
+        F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("found"),
+        F.lit(0.0).alias("longer"),
+    )
+    places = scored.select("uid", F.explode(F.arrays_zip("grams", "gram_times")).alias("r")).select("uid", F.col("r.grams").alias("gram"), "r.gram_times")
+    by_gram = places.join(model.tail, "gram").select(
+        "uid", F.lit(0.0).alias("more"), F.lit(0).cast("bigint").alias("found"), (F.col("gram_times") * F.col("cost")).alias("longer")
     )
-    return scored.drop("words", "times").join(sums, "uid", "left").select(
+    sums = by_word.union(by_gram).groupBy("uid").agg(*[F.sum(name).alias(name) for name in ("more", "found", "longer")])
+    return scored.drop("words", "times", "grams", "gram_times").join(sums, "uid", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("found", F.lit(0))).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("longer", F.lit(0.0))).alias("score"),
     )

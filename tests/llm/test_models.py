@@ -73,6 +73,26 @@ def test_scores_are_those_of_the_byte_by_byte_model(monkeypatch):
     assert np.allclose(trie.scores(tests), [slow_score(followers, text, enough) for text in tests], rtol=1e-4)
 
 
+def test_every_context_counts_however_rare(make, monkeypatch):
+    # Few states and few grams in the tasks: most places are joined.
+    monkeypatch.setattr(ppm, "CONTEXTS", 40)
+    monkeypatch.setattr(ppm, "HEAD_GRAMS", 200)
+    monkeypatch.setattr(ppm, "PIECE", 64)
+    rows = [*[(i, f"{prose(i % 7, 30 + i)} {'zqj'[i % 3]}{chr(200 + i)}~") for i in range(40)], *ODD]
+    followers: dict = {}
+    for doc_id, text, *_ in rows:
+        if not brute.held_out(doc_id, 5, 1):
+            stream = bytes([ppm.START]) * ppm.ORDER + (text or "").encode().lower() + bytes([ppm.END])
+            for i in range(ppm.ORDER, len(stream)):
+                for k in range(ppm.ORDER + 1):
+                    seen = followers.setdefault(stream[i - k : i], {})
+                    seen[stream[i]] = seen.get(stream[i], 0) + 1
+    want = sorted((str(row[0]), slow_score(followers, (row[1] or "").encode(), set(followers))) for row in rows)
+    got = sorted((str(r["doc_id"]), r["score"]) for r in ppm.score(make(rows)).collect())
+    assert [g[0] for g in got] == [w[0] for w in want] and any(brute.held_out(row[0], 5, 1) for row in rows)
+    assert np.allclose([g[1] for g in got], [w[1] for w in want], rtol=1e-5)
+
+
 def test_an_untrained_model_is_even(make, empty, clashing):
     row = ppm.score(make([(1, "ab")])).collect()[0]
     assert not row["held_out"] or row["score"] == pytest.approx(-3 * np.log10(255), rel=1e-5)
