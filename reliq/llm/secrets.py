@@ -119,13 +119,17 @@ def ratio_table(docs: DataFrame, spans: DataFrame) -> DataFrame:
     Without secrets to learn from, the model of random strings is the even one.
     """
     secrets = spans.filter(F.col("kind") < MARKOV).select("value").distinct()
-    rows = docs.count()
     text = whole_text(docs)
-    draw = F.pmod(F.xxhash64(text), F.lit(1 << 30)).cast("double") * max(rows, 1) < float(SAMPLE_TEXTS << 30)
+    h1, h2 = key128(text)
+    given = docs.select(text.alias("text"), h1.alias("h1"), h2.alias("h2"))
+    # Only keys are dealt for the count, and of the texts only those drawn.
+    different = given.select(*TEXT).distinct().count()
+    text = F.col("text")
+    draw = F.pmod(F.xxhash64(text), F.lit(1 << 30)).cast("double") * max(different, 1) < float(SAMPLE_TEXTS << 30)
     bare = text
     for pattern in PATTERNS[:MARKOV]:
         bare = F.regexp_replace(bare, pattern, " ")
-    words = docs.filter(draw).select(F.explode(F.regexp_extract_all(bare, F.lit(WORD), F.lit(1))).alias("value"))
+    words = given.filter(draw).dropDuplicates(TEXT).select(F.explode(F.regexp_extract_all(bare, F.lit(WORD), F.lit(1))).alias("value"))
     random, plain = _logs(character_pairs(secrets), "r"), _logs(character_pairs(words), "w")
     return random.join(plain, ["a", "b"]).select("a", "b", (F.col("r") - F.col("w")).alias("ratio"))
 

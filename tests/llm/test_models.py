@@ -188,3 +188,13 @@ def test_random_strings_are_added_and_words_are_not(make, empty, clashing):
 def test_the_tail_behind_the_last_match_is_read_once(make):
     text = "token = 0123456789abcdef " + "plain words of prose " * 40_000
     assert len(secrets.scan(make([(1, text)])).collect()[0]["spans"]) == 2
+
+
+def test_copies_count_once_in_the_model_of_identifiers(make):
+    rows = [(i, f"{prose(i, 40)} value{i}") for i in range(30)]
+    copies = [(1000 + i, "wwxxyyzz qqkkjjvv " * 20) for i in range(100)]
+
+    def ratios(docs):
+        return sorted(tuple(r) for r in secrets.ratio_table(docs, secrets.found_spans(docs)).collect())
+
+    assert ratios(make([*rows, *copies])) == ratios(make([*rows, copies[0]]))
