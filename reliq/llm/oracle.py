@@ -85,6 +85,108 @@ select d.doc_id, len(d.w) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(n_
 from dw d left join hit h using (doc_id) left join items using (doc_id)
 """
 
+#: CRC-32 of the decimal text of a number, bit by bit.
+CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint,
+  list_transform(range(1, length({0}::varchar) + 1), lambda i: ascii(substr({0}::varchar, i::int, 1))::bigint)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+                           lambda s, z: xor(s >> 1, 3988292384 * (s & 1)))))"""
+
+OP11 = r"""
+with turns as (
+  select conv_id as c, row_number() over (partition by conv_id order by turn nulls first) as i,
+         struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) as t
+  from conversations where conv_id is not null
+), convs as (
+  select c, c - c % 5 as base, CRC_OF_C % 9 as h, list(t order by i) as own from turns group by c
+), rebuilt as (
+  select a.c, list_concat(coalesce(b.own[1:a.h], []), a.own[a.h + 1:]) as s
+  from convs a left join convs b on b.c = a.base
+), prefixes as (
+  select c, d, len(s) as m, md5(s[1:d]::json::varchar) as k, s[d].text as last
+  from (select c, s, unnest(range(0, len(s) + 1)) as d from rebuilt)
+), nodes as (
+  select k, d, min(c) as conv_id, count(*) as n_convs, (count(*) - 1) * coalesce(octet_length(encode(any_value(last))), 0) as own,
+         sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (m = d), '')) as ends
+  from prefixes group by k, d
+), linked as (
+  select n.*, p.k as up, q.conv_id as parent
+  from nodes n left join prefixes p on p.c = n.conv_id and p.d = n.d - 1 left join nodes q on q.k = p.k and q.d = p.d
+), children as (
+  select up as k, d - 1 as d, count(*) as n from linked where up is not null group by all
+), sums as (
+  select p.k, p.d, sum((x.n is null)::bigint) as n_leaves, sum(n.own) as saved
+  from nodes n join prefixes p on p.c = n.conv_id and p.d <= n.d left join children x on x.k = n.k and x.d = n.d
+  group by p.k, p.d
+)
+select l.conv_id, l.d::bigint as depth, l.parent as parent_conv_id, l.n_convs, coalesce(x.n, 0) as n_children,
+       s.n_leaves::bigint as n_leaves, s.saved::bigint as saved_tokens, l.ends as ends_sha256
+from linked l join sums s on s.k = l.k and s.d = l.d left join children x on x.k = l.k and x.d = l.d
+""".replace("CRC_OF_C", CRC.format("c"))
+
+OP12 = r"""
+with plain as (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents
+)
+select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size,
+       row_number() over (partition by t order by doc_id) = 1 as kept, sha256(t) as text_sha256
+from plain window same as (partition by t)
+"""
+
+_FIELD = "coalesce(octet_length(encode(({0})::varchar))::varchar || ':' || ({0})::varchar, '-')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(name) for name in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_NEXT = """select tree, lev + 1 as lev, i // 8 as i, (n + 7) // 8 as n, sha256(string_agg(h, '' order by i)) as h
+  from {0} where n > 1 group by tree, lev, i // 8, n"""
+_RUNS = "select tree, lev, i // 8 as run, list(h order by i) as hs from {0} where n > 1 group by tree, lev, i // 8"
+_STEP = """select doc_id, {1} f.lev + 1 as lev, f.i // 8 as i,
+         sha256(array_to_string(r.hs[1:f.i % 8], '') || f.h || array_to_string(r.hs[f.i % 8 + 2:], '')) as h,
+         f.proof || array_to_string(r.hs[1:f.i % 8], '') || array_to_string(r.hs[f.i % 8 + 2:], '') as proof
+  from {0} f join {2} r on r.tree = f.tree and r.lev = f.lev and r.run = f.i // 8"""
+
+OP13 = f"""
+with recursive read as (
+  select doc_id, coalesce('=' || lang, '') as tree, {_leaf('text')} as leaf,
+         case when {CRC.format('doc_id')} % 3 = 0 then {_leaf(_LOWER)} else {_leaf('text')} end as altered
+  from documents
+), leaves as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by tree) as n
+  from read
+), nodes as (
+  select tree, 0::bigint as lev, i, n, leaf as h from leaves union all {_NEXT.format('nodes')}
+), runs as ({_RUNS.format('nodes')}),
+subroots as (select tree, h from nodes where n = 1),
+tops as (
+  select '' as tree, 0::bigint as lev, row_number() over (order by tree) - 1 as i, count(*) over () as n, h from subroots
+  union all {_NEXT.format('tops')}
+), top_runs as ({_RUNS.format('tops')}),
+inner_folds as (
+  select doc_id, tree, 0::bigint as lev, i, altered as h, '' as proof from leaves
+  union all {_STEP.format('inner_folds', 'f.tree,', 'runs')}
+), at_subroot as (
+  select doc_id, tree, arg_max(h, lev) as h, arg_max(proof, lev) as proof from inner_folds group by doc_id, tree
+), folds as (
+  select doc_id, '' as tree, 0::bigint as lev, p.i, a.h, a.proof
+  from at_subroot a join (select tree, row_number() over (order by tree) - 1 as i from subroots) p using (tree)
+  union all {_STEP.format('folds', "'' as tree,", 'top_runs')}
+), done as (
+  select doc_id, arg_max(h, lev) as folded_root, arg_max(proof, lev) as proof from folds group by doc_id
+)
+select l.doc_id, l.leaf, s.h as subroot, r.h as root, sha256(d.proof) as proof_sha256, d.folded_root, d.folded_root = r.h as verified
+from leaves l join subroots s on s.tree = l.tree join done d on d.doc_id = l.doc_id, (select h from tops where n = 1) r
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2, "op3_benchmark_decontamination": OP3, "op10_quality_rules": OP10}
+    return {
+        "op2_line_dedup": OP2,
+        "op3_benchmark_decontamination": OP3,
+        "op10_quality_rules": OP10,
+        "op11_prefix_trie": OP11,
+        "op12_exact_dedup": OP12,
+        "op13_merkle_manifest": OP13,
+    }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reliq.llm import bpe, contamination, edits, jaccard, language, lines, passages, ppm, quality, secrets
+from reliq.llm import bpe, contamination, edits, exact, jaccard, language, lines, merkle, passages, ppm, quality, secrets, trie
 from reliq.llm.text import documents, whole_text
 from reliq.session import configure
 
@@ -136,3 +136,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_reencoded",
         F.sha2("edited", 256).alias("edited_sha256"),
     )
+
+
+@register
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@register
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.outcome(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@register
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
