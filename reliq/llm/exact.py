@@ -29,6 +29,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Many small stores: space is not taken before it is used.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 PLACE = ["file", "place"]
 
