@@ -134,6 +134,8 @@ def build_trie(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
     found = prefixes.groupBy("depth", *HASHES).agg(
         F.min("conv").alias("rep"), F.count("*").alias("n_convs"), F.max("n_bytes").alias("n_bytes")
     )
+    # Written first, so that the join deals both sides anew and can split the prefix of a third of all.
+    found = stored(found, "prefix-counts")
     placed = prefixes.drop("n_bytes").join(found, ["depth", *HASHES]).join(convs, "conv")
     placed = stored(placed.select("conv", "depth", "rep", "n_convs", "n_bytes", "length"), "members")
     own = placed.filter("conv = rep")
