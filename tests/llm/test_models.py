@@ -1,6 +1,7 @@
 """Language-model scores, language identification and secret scans."""
 
 import random
+import re
 import string
 
 import brute
@@ -185,6 +186,52 @@ def test_random_strings_are_added_and_words_are_not(make, empty, clashing):
     assert secrets.scan(clashing).select("row.*").columns == clashing.columns
 
 
+VOCABULARY = """account address archive balance budget calendar category checkout cluster column connection container
+controller currency database default department directory document download element employee endpoint environment
+exchange factory filter folder gateway handler history identity instance inventory invoice keyboard language ledger
+listener location manager merchant message metric migration monitor network notification operator option order
+parameter parser partition payment permission pipeline player policy printer product profile property provider
+purchase quantity record region repository response schedule screen search security sequence service session
+shipment snapshot statement storage strategy subscription summary template terminal threshold timestamp transfer
+update validator variable version visitor warehouse window workspace""".split()
+
+
+def identifier(rng):
+    """At least 16 characters of joined words in one of the usual forms."""
+    while True:
+        words = [rng.choice(VOCABULARY) for _ in range(rng.randrange(2, 5))]
+        camel = words[0] + "".join(word.title() for word in words[1:])
+        forms = ["_".join(words), "-".join(words), "/".join(words), camel, "_".join(words).upper()]
+        made = rng.choice(forms) + (str(rng.randrange(100)) if rng.random() < 0.2 else "")
+        if len(made) >= 16:
+            return made
+
+
+def random_key(rng):
+    lower, upper, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    letters = rng.choice([lower + upper + digits + "+/", lower + upper + digits, lower + digits, upper + digits, lower + upper])
+    # What the patterns know is no case for the models.
+    while True:
+        made = "".join(rng.choice(letters) for _ in range(rng.randrange(20, 44)))
+        if not any(re.search(p, made) for p in ("AKIA[A-Z0-9]{14}", "[0-9a-f]{16}")):
+            return made
+
+
+def test_labelled_keys_are_told_from_identifiers(spark, make):
+    """Models trained on a given table judge 200 keys and 200 identifiers that it does not label."""
+    rng = random.Random(17)
+    given = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    keys, names = [random_key(rng) for _ in range(200)], [identifier(rng) for _ in range(200)]
+    rows = [(100_000 + i, f"here is {key} for you") for i, key in enumerate(keys)]
+    rows += [(200_000 + i, f"call {name} for it") for i, name in enumerate(names)]
+    found = {r["row"]["doc_id"]: r["spans"] for r in secrets.scan(make([*given, *rows])).collect()}
+    right = [[(s["start"], s["end"]) for s in found[100_000 + i]] == [(8, 8 + len(key))] for i, key in enumerate(keys)]
+    wrong = [found[200_000 + i] != [] for i in range(200)]
+    assert sum(right) >= 0.95 * 200 and sum(wrong) <= 0.05 * 200
+    # And of the table itself, in which all secrets have known forms, nothing is added.
+    assert not [s for doc_id, _ in given for s in found[doc_id] if s["kind"] == secrets.MARKOV]
+
+
 def test_the_tail_behind_the_last_match_is_read_once(make):
     text = "token = 0123456789abcdef " + "plain words of prose " * 40_000
     assert len(secrets.scan(make([(1, text)])).collect()[0]["spans"]) == 2
