@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reliq.operators.gates import GateFailure
@@ -13,8 +13,8 @@ from reliq.sources.layers import table_columns
 
 
 def schema_snapshot(df: DataFrame, run_id: str, table: str, at: datetime | None = None) -> tuple:
-    """A snapshot row with the column names of a frame, in order."""
-    return (run_id, table, table_columns(df), utc(at))
+    """A snapshot row with the column names of a frame, in order, and their types."""
+    return (run_id, table, table_columns(df), utc(at), [field.dataType.simpleString() for field in df.schema.fields])
 
 
 def snapshot_at_newest_row(df: DataFrame, run_id: str, table: str) -> DataFrame:
@@ -68,14 +68,31 @@ def detect_drift(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def type_changes(before: DataFrame, after: DataFrame) -> list[tuple[str, str, str]]:
-    """Columns of both frames whose type differs, as (name, old type, new type)."""
-    old = dict(before.dtypes)
-    return [(name, old[name], kind) for name, kind in after.dtypes if name in old and old[name] != kind]
+def type_drift(snapshots: DataFrame) -> DataFrame:
+    """Columns that both of the last two runs have, with another type now: one row for each.
+
+    Types are compared by column name, so a moved column is none; a snapshot without types, as
+    were taken before types were kept, says nothing.
+    """
+    typed = snapshots.filter("column_types is not null").withColumn(
+        "column_names", F.arrays_zip(F.col("column_names").alias("name"), F.col("column_types").alias("kind"))
+    )
+    pairs = recent_snapshots(typed).select("table_name", "dag_run_id", "age", F.inline("column_names"))
+
+    def of(age: int, column: str) -> Column:
+        return F.max(F.when(F.col("age") == age, F.col(column)))
+
+    both = pairs.groupBy("table_name", F.col("name").alias("column_name")).agg(
+        of(1, "dag_run_id").alias("dag_run_id"), of(2, "kind").alias("old_type"), of(1, "kind").alias("new_type")
+    )
+    return both.filter("old_type <> new_type").select("table_name", "dag_run_id", "column_name", "old_type", "new_type")
 
 
-def require_no_drift(drift: DataFrame) -> None:
+def require_no_drift(drift: DataFrame, types: DataFrame | None = None) -> None:
+    """Raise with all columns that were added, removed or, where given, have changed their type."""
     found = drift.filter("drift").orderBy("table_name").collect()
-    if found:
-        parts = [f"{r['table_name']}: added={r['added']} removed={r['removed']}" for r in found]
+    parts = [f"{r['table_name']}: added={r['added']} removed={r['removed']}" for r in found]
+    changed = types.orderBy("table_name", "column_name").collect() if types is not None else []
+    parts += [f"{r['table_name']}: {r['column_name']} was {r['old_type']}, is {r['new_type']}" for r in changed]
+    if parts:
         raise GateFailure("Columns are not those of the last run: " + "; ".join(parts))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reliq.functions.dates import padded_day_name, padded_month_name, weekday_from_sunday
 from reliq.operators.skew import NONE, Hot, salted_join
 from reliq.operators.staging import stage_accounts, stage_transactions, stg_transactions
+from reliq.schemas import FACT_MONTH
 
 # The calendar the date dimension covers by default.
 FIRST_DAY = "2024-01-01"
@@ -146,3 +147,8 @@ def dated_facts(transactions: DataFrame) -> DataFrame:
         }
     )
     return dated.select(*FACT_COLUMNS)
+
+
+def with_month(facts: DataFrame) -> DataFrame:
+    """Facts with the month that they are stored by; facts without a date share one."""
+    return facts.withColumn(FACT_MONTH, F.trunc("transaction_date", "month"))

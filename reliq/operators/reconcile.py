@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reliq.functions.casts import exact_amount
@@ -24,24 +26,43 @@ def _metric_rows(totals: DataFrame, value_name: str) -> DataFrame:
     return totals.select(F.inline(F.array(*entries)))
 
 
-def source_totals(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """Rows, positive value and successes of the landed transactions, in one pass."""
+def source_metrics(strict: bool = True) -> dict[str, Column]:
+    """Rows, positive value and successes of landed transactions."""
     amount = exact_amount(F.col("amount"), strict)
-    totals = raw.agg(
-        F.count("*").alias("transaction_count"),
-        F.coalesce(F.sum(F.when(amount > 0, amount.cast("decimal(28,8)"))), F.lit(0)).alias("transaction_value"),
-        F.count_if(F.col("status") == "success").alias("successful_count"),
-    )
-    return _metric_rows(totals, "source_value")
+    return {
+        "transaction_count": F.count("*"),
+        "transaction_value": F.coalesce(F.sum(F.when(amount > 0, amount.cast("decimal(28,8)"))), F.lit(0)),
+        "successful_count": F.count_if(F.col("status") == "success"),
+    }
+
+
+def target_metrics() -> dict[str, Column]:
+    """Rows, value and successes of facts."""
+    return {
+        "transaction_count": F.count("*"),
+        "transaction_value": F.coalesce(F.sum("amount"), F.lit(0)),
+        "successful_count": F.count_if(F.col("status") == "success"),
+    }
+
+
+def _totals(df: DataFrame, metrics: dict[str, Column], value_name: str) -> DataFrame:
+    return _metric_rows(df.agg(*[total.alias(name) for name, total in metrics.items()]), value_name)
+
+
+def source_totals(raw: DataFrame, strict: bool = True) -> DataFrame:
+    """The source metrics of the landed transactions, in one pass."""
+    return _totals(raw, source_metrics(strict), "source_value")
 
 
 def target_totals(fact: DataFrame) -> DataFrame:
-    totals = fact.agg(
-        F.count("*").alias("transaction_count"),
-        F.coalesce(F.sum("amount"), F.lit(0)).alias("transaction_value"),
-        F.count_if(F.col("status") == "success").alias("successful_count"),
-    )
-    return _metric_rows(totals, "target_value")
+    return _totals(fact, target_metrics(), "target_value")
+
+
+def reconcile_values(spark: SparkSession, source: dict, target: dict) -> DataFrame:
+    """The metrics of totals that were taken while both tables were written."""
+    pairs = [(name, Decimal(source[name] or 0), Decimal(target[name] or 0)) for name in source]
+    rows = spark.createDataFrame(pairs, "metric_name string, source_value decimal(38,8), target_value decimal(38,8)")
+    return with_variance(rows.withColumns({name: F.col(name).cast(VALUE) for name in ("source_value", "target_value")}))
 
 
 def with_variance(pairs: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from reliq.functions.casts import exact_amount
 from reliq.operators.quarantine import LOADED
-from reliq.operators.topk import first_rows, newest_days
-from reliq.schemas import MONEY
+from reliq.operators.topk import cutoff_day, first_rows, newest_days
+from reliq.schemas import FACT_MONTH, MONEY
 
 # The size of the published report and its columns.
 FACT_SNAPSHOT_ROWS = 20_000
@@ -125,6 +125,19 @@ def latest_facts(fact: DataFrame, n: int = FACT_SNAPSHOT_ROWS) -> DataFrame:
     return first_rows(recent, [F.desc("transaction_date"), F.asc("transaction_id")], n)
 
 
+def latest_dated_facts(fact: DataFrame, days: DataFrame, n: int = FACT_SNAPSHOT_ROWS) -> DataFrame:
+    """``latest_facts`` of a table stored by month, whose rows per day are known.
+
+    ``days`` are the daily metrics of these facts. The cutoff day is found there, so the facts are
+    read once, from the months that hold it or later days.
+    """
+    cutoff = cutoff_day(days, n)
+    if cutoff is not None:
+        day = F.lit(cutoff)
+        fact = fact.filter((F.col(FACT_MONTH) >= F.trunc(day, "month")) & (F.col("transaction_date") >= day))
+    return first_rows(fact.select(*SNAPSHOT_COLUMNS), [F.desc("transaction_date"), F.asc("transaction_id")], n)
+
+
 def latest_metrics(metrics: DataFrame, n: int | None = None) -> DataFrame:
     """Daily metrics, newest first."""
     newest = [F.desc("metric_date")]

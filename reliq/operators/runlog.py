@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import astuple, dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,34 +13,26 @@ from reliq.operators.topk import first_rows
 from reliq.schemas import RUN_EVENTS
 
 
-def started_event(spark: SparkSession, run_id: str, dag_id: str, at: datetime) -> DataFrame:
-    row = (run_id, dag_id, "started", at, "running", 0, 0, 0, None)
-    return spark.createDataFrame([row], RUN_EVENTS)
+@dataclass(frozen=True)
+class Counts:
+    """What a run has read, kept and rejected so far."""
 
+    extracted: int = 0
+    loaded: int = 0
+    quarantined: int = 0
 
-def finished_event(
+
+def event(
     spark: SparkSession,
-    run_id: str,
-    dag_id: str,
+    run: tuple[str, str],
     at: datetime,
-    status: str,
-    records_extracted: int = 0,
-    records_loaded: int = 0,
-    records_quarantined: int = 0,
-    error_message: str | None = None,
+    status: str = "running",
+    counts: Counts = Counts(),
+    error: str | None = None,
 ) -> DataFrame:
-    row = (
-        run_id,
-        dag_id,
-        "finished",
-        at,
-        status,
-        records_extracted,
-        records_loaded,
-        records_quarantined,
-        error_message,
-    )
-    return spark.createDataFrame([row], RUN_EVENTS)
+    """One row of the log of a ``run`` (its id and that of its pipeline): it starts, or it ends with a status."""
+    kind = "started" if status == "running" else "finished"
+    return spark.createDataFrame([(*run, kind, at, status, *astuple(counts), error)], RUN_EVENTS)
 
 
 def run_state(events: DataFrame) -> DataFrame:

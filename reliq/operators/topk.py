@@ -13,6 +13,14 @@ def first_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def cutoff_day(days: DataFrame, n: int):
+    """The day from which on the daily metrics count at least ``n`` rows; None where all days are needed."""
+    # One row per calendar day.
+    reached = F.sum("total_transactions").over(Window.orderBy(F.desc_nulls_last("metric_date")))
+    enough = days.withColumn("_reached", reached).filter((F.col("_reached") >= n) & F.col("metric_date").isNotNull())
+    return enough.agg(F.max("metric_date")).head()[0]
+
+
 def newest_days(df: DataFrame, day: str, n: int) -> DataFrame:
     """The rows of the newest days that together hold at least ``n`` rows, whatever ``n`` is.
 

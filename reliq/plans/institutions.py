@@ -12,7 +12,7 @@ from reliq.sinks.snapshots import publish_institutions
 from reliq.sinks.tables import reload_table
 from reliq.sources.files import utc
 from reliq.sources.layers import layer_path, read_layer
-from reliq.sources.pages import fetch_institutions
+from reliq.sources.pages import fetch_institutions, page_documents, page_sizes, require_complete
 
 DAG_ID = "institutions_daily"
 
@@ -33,36 +33,23 @@ def run_institutions(
     """Run the whole pipeline and return its counts; rejected records are stored as well."""
     layers = Layers(spark, root)
     started = utc(at)
-    layers.audit(runlog.started_event(spark, run_id, DAG_ID, started), "run_events")
+    run = (run_id, DAG_ID)
+    layers.audit(runlog.event(spark, run, started), "run_events", started.date())
     sizes: dict[str, int] = {}
 
     def finish(status: str, error: str | None = None) -> None:
-        ended = utc()
-        event = runlog.finished_event(
-            spark,
-            run_id,
-            DAG_ID,
-            max(ended, started),
-            status,
-            sizes.get("valid_rows", 0) + sizes.get("rejected_rows", 0),
-            sizes.get("valid_rows", 0),
-            sizes.get("rejected_rows", 0),
-            error,
-        )
-        layers.audit(event, "run_events")
+        valid, rejected = (sizes.get(name, 0) for name in ("valid_rows", "rejected_rows"))
+        ended = runlog.event(spark, run, max(utc(), started), status, runlog.Counts(valid + rejected, valid, rejected), error)
+        layers.audit(ended, "run_events", started.date())
 
     try:
+        require_complete(page_sizes(page_documents(spark, pages, multi_line)))
         reload_table(fetch_institutions(spark, pages, multi_line), root, "raw", "institutions")
         records = institutions.with_reason(layers.raw("institutions"))
         reload_table(records, root, "staging", "institutions")
         sizes.update(institutions.outcome_counts(judged(spark, root)).head().asDict())
         counts = one_row(spark, sizes)
         check(layers, gates.institution_gates(counts), run_id, started)
-    except Exception as error:
-        finish("failed", str(error))
-        raise
-    finish("success")
-    try:
         publish_institutions(
             institutions.valid_records(judged(spark, root)),
             counts,
@@ -70,8 +57,8 @@ def run_institutions(
             started.isoformat(),
             institutions.summarise(judged(spark, root).drop("_reason"), started),
         )
+        finish("success")
     except Exception as error:
-        # The last outcome of a run is the one that counts.
         finish("failed", str(error))
         raise
     return sizes

@@ -73,6 +73,8 @@ FACT_TRANSACTIONS = _struct(
     status=TEXT,
     merchant=TEXT,
 )
+#: The month of a fact's date, by which facts are stored.
+FACT_MONTH = "transaction_month"
 # Landed transactions once per outcome, with the account context of the facts.
 CLASSIFIED = _with(
     RAW_TRANSACTIONS,
@@ -133,8 +135,12 @@ SCHEMA_SNAPSHOTS = _struct(
     table_name=TEXT,
     column_names=T.ArrayType(TEXT),
     captured_at=TIMESTAMP,
+    column_types=T.ArrayType(TEXT),
 )
 
+# Landed lines that do not fit their table, as text.
+DAMAGED = _struct(table_name=TEXT, record=TEXT, first_field=TEXT, reject_reason=TEXT, rejected_at=TIMESTAMP)
+
 # The institution fields, in their published order.
 INSTITUTION = _struct(
     CERT=COUNT,
@@ -156,7 +162,7 @@ INSTITUTION = _struct(
 INSTITUTION_PAGE = T.StructType(
     [
         T.StructField("data", T.ArrayType(T.StructType([T.StructField("data", INSTITUTION)]))),
-        T.StructField("meta", T.StructType([T.StructField("total", COUNT)])),
+        T.StructField("meta", T.StructType([T.StructField("total", COUNT), T.StructField("offset", COUNT)])),
     ]
 )
 
@@ -175,7 +181,7 @@ LAYERS = {
         "accounts": _with(STG_ACCOUNTS, ingested_at=TIMESTAMP),
         "institutions": JUDGED_INSTITUTION,
     },
-    "classified": {"transactions": CLASSIFIED},
+    "classified": {"transactions": CLASSIFIED, **{f"damaged_{name}": DAMAGED for name in RAW}},
     "analytics": {
         "dim_customer": DIM_CUSTOMER,
         "dim_account": DIM_ACCOUNT,

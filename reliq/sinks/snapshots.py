@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reliq.operators.reports import SNAPSHOT_COLUMNS, latest_facts, latest_metrics, reject_breakdown
+from reliq.operators.reports import SNAPSHOT_COLUMNS, latest_metrics, reject_breakdown
 from reliq.operators.runlog import recent_runs
 from reliq.functions.together import together
 from reliq.schemas import INSTITUTION, INSTITUTION_META
+from reliq.sinks.tables import observed
 
 # The published columns of a run.
 RUN_COLUMNS = [
@@ -38,44 +39,45 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def publish_transactions(
-    fact: DataFrame, metrics: DataFrame, quarantine: DataFrame, runs: DataFrame, folder: str, facts: int | None = None
-) -> dict[str, str]:
-    """Write the four reports and return their paths.
+def _publish(reports: dict[str, DataFrame], folder: str) -> dict[str, int]:
+    """Write reports side by side and return the rows of each."""
+    watched = {name: observed(report, {"rows": F.count(F.lit(1))}) for name, report in reports.items()}
+    together(*[partial(write_csv, df, f"{folder}/{name}") for name, (df, _) in watched.items()])
+    return {name: seen()["rows"] or 0 for name, (_, seen) in watched.items()}
 
-    All facts in as many parts as they have, or the newest ``facts``; one row per day, one per
-    reason and the last 30 runs.
+
+def publish_transactions(fact: DataFrame, metrics: DataFrame, quarantine: DataFrame, folder: str) -> dict[str, int]:
+    """Write the reports of a run's tables and return the rows of each.
+
+    The facts given, in as many parts as they have; one row per day and one per reason.
     """
-    bounded = {
-        "daily_metrics.csv": latest_metrics(metrics),
-        "quarantine.csv": reject_breakdown(quarantine),
-        "pipeline_runs.csv": recent_runs(runs).select(*RUN_COLUMNS),
+    reports = {
+        "fact_transactions.csv": fact.select(*SNAPSHOT_COLUMNS),
+        "daily_metrics.csv": latest_metrics(metrics).coalesce(1),
+        "quarantine.csv": reject_breakdown(quarantine).coalesce(1),
     }
-    reports = {name: report.coalesce(1) for name, report in bounded.items()}
-    reports["fact_transactions.csv"] = fact.select(*SNAPSHOT_COLUMNS) if facts is None else latest_facts(fact, facts)
-    paths = {name: f"{folder}/{name}" for name in reports}
-    together(*[partial(write_csv, report, paths[name]) for name, report in reports.items()])
-    return paths
+    return _publish(reports, folder)
 
 
-def snapshot_counts(spark: SparkSession, paths: dict[str, str]) -> dict[str, int]:
-    """Rows of each published file."""
-    return {name: spark.read.csv(path, header=True, escape='"').count() for name, path in paths.items()}
+def publish_runs(runs: DataFrame, folder: str) -> dict[str, int]:
+    """Write the report of the last 30 runs and return its rows."""
+    return _publish({"pipeline_runs.csv": recent_runs(runs).select(*RUN_COLUMNS).coalesce(1)}, folder)
 
 
 def publish_institutions(
     valid: DataFrame, counts: DataFrame, folder: str, generated_at: str, summary: DataFrame | None = None
-) -> dict[str, str]:
-    """Write the institutions, in as many parts as they have, a one-row metadata file and a summary."""
-    paths = {"institutions.csv": f"{folder}/institutions.csv", "meta.json": f"{folder}/meta.json"}
-    write_csv(valid.select(*INSTITUTION.names), paths["institutions.csv"])
+) -> dict[str, int]:
+    """Write the institutions, in as many parts as they have, a one-row metadata file and a summary.
+
+    The rows of the institutions' file are returned.
+    """
+    published = _publish({"institutions.csv": valid.select(*INSTITUTION.names)}, folder)
     meta = counts.select(
         F.lit(generated_at).alias("generated_at"),
         F.col("valid_rows").alias("institution_count"),
         F.col("rejected_rows").alias("rejected_count"),
     ).select(*INSTITUTION_META.names)
-    meta.coalesce(1).write.mode("overwrite").json(paths["meta.json"])
+    meta.coalesce(1).write.mode("overwrite").json(f"{folder}/meta.json")
     if summary is not None:
-        paths["summary.json"] = f"{folder}/summary.json"
-        summary.coalesce(1).write.mode("overwrite").json(paths["summary.json"])
-    return paths
+        summary.coalesce(1).write.mode("overwrite").json(f"{folder}/summary.json")
+    return published

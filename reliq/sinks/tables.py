@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from reliq.schemas import LAYERS
 from reliq.sinks.versions import write_version
 from reliq.sources.layers import layer_path
 
@@ -15,12 +16,23 @@ def reload_table(df: DataFrame, root: str, layer: str, table: str, partition_by:
     return write_version(df, layer_path(root, layer, table), partition_by)
 
 
-def append_audit(df: DataFrame, root: str, layer: str, table: str) -> str:
-    """Append a few audit rows in the declared layout."""
-    path = layer_path(root, layer, table)
-    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in LAYERS[layer][table].fields]
-    df.select(*columns).coalesce(1).write.mode("append").parquet(path)
-    return path
+def observed(df: DataFrame, metrics: dict[str, Column]) -> tuple[DataFrame, Callable[[], dict]]:
+    """The frame with totals taken while it is written, and what returns them afterwards.
+
+    The frame is to be written once. Totals of a frame without rows may be missing, and are None.
+    """
+    seen = Observation()
+    watched = df.observe(seen, *[total.alias(name) for name, total in metrics.items()])
+    return watched, lambda: {name: seen.get.get(name) for name in metrics}
+
+
+def sized(df: DataFrame, column: str) -> DataFrame:
+    """The frame dealt by a column of few values, in partitions bounded by bytes.
+
+    Written by that column, it makes files of about the advisory partition size, however many
+    tasks or values there were; a value with most of the rows is split.
+    """
+    return df.hint("rebalance", F.col(column))
 
 
 def save_mart(df: DataFrame, name: str) -> None:
@@ -31,10 +43,3 @@ def save_mart(df: DataFrame, name: str) -> None:
 def publish_view(df: DataFrame, name: str) -> None:
     """Materialise a model as a view of this session."""
     df.createOrReplaceTempView(name)
-
-
-def insert_new(df: DataFrame, path: str) -> int:
-    """Append rows that were found missing, and return how many."""
-    seen = Observation("inserted")
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
-    return seen.get["rows"]

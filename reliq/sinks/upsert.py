@@ -1,43 +1,67 @@
-"""Upsert of daily metrics on plain Parquet."""
+"""Upsert of daily metrics on plain Parquet: an upsert writes the days it brings, and no others.
+
+The table is a row of sets of days, each a version that is seen once it is complete; the newest
+row of a day counts. So an upsert of one day writes one row, files of other days stay as they are, and
+a run that ends in between leaves the table as it was. Sets are merged when there are many. A folder per
+day would do the same with a file for each: 2,500 days took 5 seconds to write and 3.6 to read.
+"""
 
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reliq.schemas import DAILY_METRICS
-from reliq.sinks.versions import current_path, write_version
+from reliq.sinks.tables import observed
+from reliq.sinks.versions import complete_versions, drop_versions, version_path, write_version
 from reliq.sources.files import arrival
 
+#: Sets of days beyond which they are merged into one.
+MOST_SETS = 8
+
+
+def newest_days(sets: DataFrame) -> DataFrame:
+    """The row of each day that stands in the last set that has the day."""
+    row = F.max_by(F.struct(*DAILY_METRICS.names), F.col("set")).alias("row")
+    return sets.groupBy("metric_date").agg(row).select("row.*")
+
 
-def merge_days(old: DataFrame, new: DataFrame) -> DataFrame:
-    """New days replace old ones of the same date; all other old days stay."""
-    return old.join(new.select("metric_date"), "metric_date", "left_anti").unionByName(new)
+def _set(spark: SparkSession, path: str, number: int) -> DataFrame:
+    return spark.read.schema(DAILY_METRICS).parquet(version_path(path, number))
 
 
 def stored_days(spark: SparkSession, path: str) -> DataFrame:
-    """The stored metrics; empty before the first run."""
-    current = current_path(spark, path)
-    if current is None:
+    """The stored metrics, one row per day; empty before the first run."""
+    numbers = complete_versions(spark, path)
+    if not numbers:
         return spark.createDataFrame([], DAILY_METRICS)
-    return spark.read.schema(DAILY_METRICS).parquet(current)
+    if len(numbers) == 1:
+        return _set(spark, path, numbers[0])
+    sets = [_set(spark, path, number).withColumn("set", F.lit(number)) for number in numbers]
+    return newest_days(reduce(DataFrame.unionByName, sets))
+
+
+def last_upsert(spark: SparkSession, path: str) -> DataFrame:
+    """The days that the last upsert has written; empty before the first."""
+    numbers = complete_versions(spark, path)
+    return _set(spark, path, numbers[-1]) if numbers else spark.createDataFrame([], DAILY_METRICS)
+
 
+def merge_sets(spark: SparkSession, path: str) -> None:
+    """Put one set in the place of all; its rows are those that counted, so readers see no change."""
+    write_version(stored_days(spark, path).coalesce(1), path, kept=None)
+    drop_versions(spark, path, 1)
 
-def upsert_daily_metrics(
-    spark: SparkSession, metrics: DataFrame, path: str, at: datetime | None = None
-) -> int:
-    """Write the metrics of a run and return the number of days written.
 
-    The new days are written first, then, with the days that stay, as the next version of the
-    table. Until that version is complete the table is the one before, so a run that ends in
-    between loses nothing. The table holds one row per calendar day.
-    """
+def upsert_daily_metrics(spark: SparkSession, metrics: DataFrame, path: str, at: datetime | None = None) -> int:
+    """Write the metrics of a run, one row per calendar day, and return the number of days."""
+    if len(complete_versions(spark, path)) >= MOST_SETS:
+        merge_sets(spark, path)
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in DAILY_METRICS.fields]
     new = metrics.withColumn("updated_at", arrival(at)).select(*columns)
-    seen = Observation("metric_days")
-    counted = new.observe(seen, F.count(F.lit(1)).alias("days"))
-    incoming = spark.read.schema(DAILY_METRICS).parquet(write_version(counted, f"{path}.incoming"))
-    write_version(merge_days(stored_days(spark, path), incoming), path)
-    return seen.get["days"]
+    counted, seen = observed(new, {"days": F.count(F.lit(1))})
+    write_version(counted, path, kept=None)
+    return seen()["days"] or 0

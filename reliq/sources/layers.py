@@ -13,7 +13,13 @@ def layer_path(root: str, layer: str, table: str) -> str:
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    """A stored table in its declared layout: its current version, or the folder that is appended to."""
+    """The current version of a stored table in its declared layout."""
+    layout = LAYERS[layer][table]
+    return stored_version(spark, root, layer, table).select(*layout.names)
+
+
+def stored_version(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
+    """The current version of a stored table, with the columns that it is stored by."""
     path = layer_path(root, layer, table)
     return spark.read.schema(LAYERS[layer][table]).parquet(current_path(spark, path) or path)
 

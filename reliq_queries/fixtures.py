@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property, partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,30 +99,64 @@ def transaction_lines(lineitem: DataFrame, clean: bool = False) -> DataFrame:
 
 def institutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    key = F.col("c_custkey")
     given = {
-        "CERT": F.col("c_custkey"),
+        "CERT": key,
         "NAME": F.col("c_name"),
+        "CITY": F.concat(F.lit("City "), F.col("c_nationkey").cast("string")),
         "STALP": F.col("n_name"),
+        "STNUM": F.col("c_nationkey"),
         "ASSET": F.col("c_acctbal"),
+        "DEP": F.col("c_acctbal") * 0.5,
+        "NETINC": F.col("c_acctbal") * 0.25,
+        "ROA": key % 100 / 8,
+        "ROE": key % 64 / 4,
         "ACTIVE": F.lit(1),
         "BKCLASS": F.col("c_mktsegment"),
+        "SPECGRP": key % 9,
+        "REPDTE": F.concat(F.lit("2024-0"), (1 + key % 4).cast("string"), F.lit("-30")),
     }
     rows = table(spark, sf_dir, "customer").join(nation, "c_nationkey")
-    return rows.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in INSTITUTION])
+    return rows.select(*[given[f.name].cast(f.dataType).alias(f.name) for f in INSTITUTION])
 
 
 def institution_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page documents of at most 1,000 records: ids are unique, a page is a range of them.
 
-    Every tenth institution also has an inactive record, under its negative id.
+    Every tenth institution also has an inactive record, under its negative id. A page states its
+    offset and how many records there are in all.
     """
     record = F.struct(F.struct(*INSTITUTION.names).alias("data"))
     active = institutions(spark, sf_dir)
     closed = active.filter("CERT % 10 = 0").withColumns({"CERT": -F.col("CERT"), "ACTIVE": F.lit(0).cast(INSTITUTION["ACTIVE"].dataType)})
     pages = active.unionByName(closed).groupBy(F.floor(F.col("CERT") / 1000).alias("page"))
-    return pages.agg(F.collect_list(record["data"]).alias("records"), F.count("*").alias("total")).select(
+    filled = pages.agg(F.collect_list(record["data"]).alias("records"), F.count("*").alias("n"))
+    # One row per page.
+    before = F.sum("n").over(Window.orderBy("page").rowsBetween(Window.unboundedPreceding, -1))
+    every = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    return filled.select(
         F.transform("records", lambda r: F.struct(r.alias("data"))).alias("data"),
-        F.struct("total").alias("meta"),
+        F.struct(every.alias("total"), F.coalesce(before, F.lit(0)).alias("offset")).alias("meta"),
+    )
+
+
+def torn_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sizes of pages of ten customers each: every seventh page is lost, every third lacks those in debt."""
+    page = F.floor(F.col("c_custkey") / 10)
+    kept = (page % 7 != 3) & ((page % 3 != 0) | (F.col("c_acctbal") > 0))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    total = customers.agg((F.max("c_custkey") + 1).cast("bigint").alias("total"))
+    pages = customers.filter(kept).groupBy((page * 10).cast("bigint").alias("offset")).agg(F.count("*").alias("rows"))
+    return pages.join(F.broadcast(total))
+
+
+def damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions as lines of a CSV: those of one brand lack their last fields, those of another have one more."""
+    rows = raw_transactions(spark, sf_dir).select(*RAW_TRANSACTIONS.names)
+    line, merchant = F.concat_ws(",", *RAW_TRANSACTIONS.names), F.col("merchant")
+    cut = F.concat_ws(",", *RAW_TRANSACTIONS.names[:4])
+    return rows.select(
+        F.when(merchant.like("%1"), cut).when(merchant.like("%2"), F.concat(line, F.lit(",more"))).otherwise(line).alias("value")
     )
 
 
@@ -178,9 +212,10 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schema_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each customer as a table and each order as a run that captures its columns.
+    """Each customer as a table and each order as a run that captures its columns and their types.
 
-    Every fifth run is retried a minute later, with one more column.
+    Every fifth run is retried a minute later, with one more column. Types follow the order: totals
+    are text in every fourth, ids in every sixth.
     """
     key = F.col("o_orderkey")
     names = F.array_compact(
@@ -194,11 +229,18 @@ def schema_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     tries = F.when(key % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     captured = table(spark, sf_dir, "orders").select("*", F.explode(tries).alias("attempt"))
     start = F.col("o_orderdate").cast("timestamp")
+    every = F.when(F.col("attempt") == 1, F.array_append(names, F.lit("retried"))).otherwise(names)
+
+    def kind(name):
+        as_text = ((name == "total") & (key % 4 == 0)) | ((name == "order_id") & (key % 6 == 0))
+        return F.when(as_text, "string").when(name == "total", "decimal(18,2)").otherwise("bigint")
+
     return captured.select(
         key.cast("string").alias("dag_run_id"),
         F.concat(F.lit("table_"), F.col("o_custkey").cast("string")).alias("table_name"),
-        F.when(F.col("attempt") == 1, F.array_append(names, F.lit("retried"))).otherwise(names).alias("column_names"),
+        every.alias("column_names"),
         F.timestamp_seconds(F.unix_seconds(start) + F.col("attempt") * 60).alias("captured_at"),
+        F.transform(every, kind).alias("column_types"),
     )
 
 

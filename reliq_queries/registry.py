@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+import warnings
 from collections.abc import Callable
-from datetime import datetime, timezone
-from functools import partial
+from datetime import datetime, timedelta, timezone
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +29,15 @@ from reliq.operators import (
 )
 from reliq.plans.institutions import run_institutions
 from reliq.plans.transactions import Inputs, Layers, run_transactions
-from reliq.schemas import RAW, RAW_CUSTOMERS
+from reliq.schemas import INSTITUTION_META, RAW, RAW_CUSTOMERS, RAW_TRANSACTIONS
 from reliq.session import configure, fresh_dir
+from reliq.sinks.keyed import KeyedTable
 from reliq.sinks.snapshots import publish_transactions, write_csv
 from reliq.sinks.tables import reload_table
 from reliq.sinks.upsert import stored_days, upsert_daily_metrics
-from reliq.sources.files import land_csv, load_csv
-from reliq.sources.pages import PAGE_SIZE, fetch_institutions, source_page
+from reliq.sinks.versions import files_of, names_in
+from reliq.sources.files import land_csv, land_leniently, load_csv, load_json
+from reliq.sources.pages import PAGE_SIZE, fetch_institutions, page_gaps, source_page
 from reliq_queries import fixtures
 from reliq_queries.fixtures import Warehouse
 
@@ -156,6 +160,21 @@ def insert_ignore_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.insert_ignore(target, incoming, "account_id", order)
 
 
+@register
+def insert_new_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table after two loads: the accounts in EUR, then all of them, of which it takes the new ones."""
+    incoming = Warehouse(spark, sf_dir).accounts()
+    order = staging.copy_order("customer_id", "account_type", "currency", "opened_date")[1:]
+    name = f"accounts_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = KeyedTable(spark, name, f"{fresh_dir(spark, 'keyed')}/accounts", "account_id", buckets)
+    target.insert_new(incoming.filter("currency = 'EUR'"), order)
+    target.insert_new(incoming, order)
+    stored = spark.read.schema(incoming.schema).parquet(target.path)
+    spark.sql(f"drop table {name}")
+    return stored
+
+
 @register
 def quarantine_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quarantine of a lenient load, where some amounts and dates are damaged."""
@@ -238,15 +257,12 @@ def _classified(w: Warehouse) -> DataFrame:
 
 
 def _counted(w: Warehouse) -> DataFrame:
-    """The size of every layer: one classification, and the landed rows."""
+    """The sizes that the gates look at: one classification, and the landed rows."""
     totals = reports.classified_totals(_classified(w))
-    sizes = totals.select(
-        F.col("transactions").alias("staging_rows"), F.col("transactions").alias("fact_rows"), F.col("quarantined").alias("quarantined_rows")
-    )
+    sizes = totals.select(F.col("transactions").alias("fact_rows"), F.col("quarantined").alias("quarantined_rows"))
     return reports.side_by_side(w.raw("transactions").agg(F.count("*").alias("raw_rows")), sizes)
 
 
-over_warehouse("layer_row_counts", _counted)
 over_warehouse("quality_checks", lambda w: gates.transaction_gates(_counted(w)))
 over_warehouse(
     "fact_kpis",
@@ -289,6 +305,12 @@ def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({name: F.array_join(name, ",") for name in ("added", "removed")})
 
 
+@register
+def schema_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns whose type is not that of the run before, over all tables."""
+    return drift.type_drift(fixtures.schema_history(spark, sf_dir))
+
+
 @register
 def run_log_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.run_state(fixtures.run_events(spark, sf_dir))
@@ -299,6 +321,12 @@ def recent_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runlog.recent_runs(runlog.run_state(fixtures.run_events(spark, sf_dir)))
 
 
+@register
+def institution_page_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What pages of which some are lost or short leave out of their source."""
+    return page_gaps(fixtures.torn_pages(spark, sf_dir))
+
+
 def landed_pages(spark: SparkSession, sf_dir: str) -> str:
     """Page documents in the shared folder, one per line."""
     path = f"{fresh_dir(spark, 'pages')}/pages"
@@ -334,29 +362,62 @@ def csv_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land_csv(spark, path, "transactions", FIXED_TIME).drop("ingested_at")
 
 
+def _text_file(lines: DataFrame, path: str, header: list[str]) -> str:
+    """Lines as they are, below a header in each file: written as the one column of a table."""
+    lines.select(F.col("value").alias(",".join(header))).write.csv(path, header=True, sep="\x01", quote="\x00", emptyValue="")
+    return path
+
+
+@register
+def damaged_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a lenient landing makes of lines that do not fit: the rest, and their text with a reason."""
+    lines = fixtures.damaged_lines(spark, sf_dir)
+    path = _text_file(lines, f"{fresh_dir(spark, 'incoming')}/transactions.csv", RAW_TRANSACTIONS.names)
+    good, damaged = land_leniently(spark, path, "transactions", FIXED_TIME)
+    landed = good.select(F.lit("landed").alias("outcome"), F.concat_ws(",", *RAW_TRANSACTIONS.names).alias("record"), F.col("transaction_id").alias("first_field"))
+    return landed.unionByName(damaged.select(F.col("reject_reason").alias("outcome"), "record", "first_field"))
+
+
+def _copied(spark: SparkSession, folder: str, to: str, share: float) -> str:
+    """The first bytes of the one file of a folder, as a file."""
+    files, place = files_of(spark, names_in(spark, f"{folder}/part-*")[0])
+    source, target = files.open(place), files.create(files_of(spark, to)[1])
+    target.write(source.readNBytes(int(files.getFileStatus(place).getLen() * share)))
+    target.close()
+    source.close()
+    return to
+
+
 @register
 def tolerant_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A published CSV, together with one that does not exist."""
+    """A published CSV, together with broken ones, of which nothing is read: one that does not exist, one
+    whose lines lack fields, an archive that is cut, one that is none, and an empty file."""
     root = fresh_dir(spark, "reports")
-    write_csv(Warehouse(spark, sf_dir).raw("customers").drop("ingested_at"), f"{root}/customers.csv")
-    found = load_csv(spark, f"{root}/customers.csv", RAW_CUSTOMERS)
-    return found.unionByName(load_csv(spark, f"{root}/absent.csv", RAW_CUSTOMERS))
+    customers = Warehouse(spark, sf_dir).raw("customers").drop("ingested_at")
+    write_csv(customers, f"{root}/customers.csv")
+    stored = spark.read.schema(RAW_CUSTOMERS).csv(f"{root}/customers.csv", header=True, escape='"')
+    _text_file(stored.select(F.concat_ws(",", "customer_id", "full_name").alias("value")), f"{root}/short.csv", RAW_CUSTOMERS.names)
+    stored.coalesce(1).write.csv(f"{root}/packed", header=True, compression="gzip")
+    stored.coalesce(1).write.csv(f"{root}/plain", header=True)
+    _copied(spark, f"{root}/packed", f"{root}/cut.csv.gz", 0.7)
+    _copied(spark, f"{root}/plain", f"{root}/none.csv.gz", 1)
+    _copied(spark, f"{root}/plain", f"{root}/empty.csv", 0)
+    found = [load_csv(spark, f"{root}/customers.csv", RAW_CUSTOMERS)]
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        found += [load_csv(spark, f"{root}/{name}", RAW_CUSTOMERS) for name in ("absent.csv", "short.csv", "cut.csv.gz", "none.csv.gz", "empty.csv")]
+    return reduce(DataFrame.unionByName, found)
 
 
 @register
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The published facts, read back from their CSV."""
+    """The newest published facts, read back from their CSV."""
     layers = saved_marts(spark, sf_dir)
     w, fact = Warehouse(spark, sf_dir), layers.mart("fact_transactions")
-    paths = publish_transactions(
-        fact,
-        metrics.daily_metrics(fact).withColumn("updated_at", F.lit(FIXED_TIME)),
-        w.quarantine(),
-        runlog.run_state(fixtures.run_events(spark, sf_dir)),
-        f"{layers.root}/snapshots",
-        reports.FACT_SNAPSHOT_ROWS,
-    )
-    return spark.read.csv(paths["fact_transactions.csv"], header=True, escape='"')
+    folder = f"{layers.root}/snapshots"
+    days = metrics.daily_metrics(fact).withColumn("updated_at", F.lit(FIXED_TIME))
+    publish_transactions(reports.latest_facts(fact), days, w.quarantine(), folder)
+    return spark.read.csv(f"{folder}/fact_transactions.csv", header=True, escape='"')
 
 
 def _last_run(layers: Layers) -> DataFrame:
@@ -379,34 +440,107 @@ def institutions_full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _last_run(Layers(spark, root))
 
 
-_RUNS: dict[tuple[str, str], str] = {}
+_RUNS: dict[tuple[str, str, str], tuple[str, dict]] = {}
 
 
-def stored_run(spark: SparkSession, sf_dir: str) -> Layers:
-    """The layers that one whole run over the defective inputs has stored; made once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _once(spark: SparkSession, sf_dir: str, kind: str, run: Callable[[str], dict]) -> tuple[Layers, dict]:
+    """The layers that one whole run has stored and what it returned; made once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _RUNS:
         root = fresh_dir(spark, "run")
-        run_transactions(spark, landed_inputs(spark, sf_dir), root, "first", FIXED_TIME, enforce=False)
-        _RUNS[key] = root
-    return Layers(spark, _RUNS[key])
+        _RUNS[key] = (root, run(root))
+    root, returned = _RUNS[key]
+    return Layers(spark, root), returned
+
 
+def stored_run(spark: SparkSession, sf_dir: str) -> tuple[Layers, dict]:
+    """A transaction run over the defective inputs."""
+    def run(root: str) -> dict:
+        return run_transactions(spark, landed_inputs(spark, sf_dir), root, "first", FIXED_TIME, enforce=False)
 
-def over_run(name: str, build: Callable[[Layers], DataFrame]) -> None:
+    return _once(spark, sf_dir, "transactions", run)
+
+
+def stored_institutions(spark: SparkSession, sf_dir: str) -> tuple[Layers, dict]:
+    def run(root: str) -> dict:
+        return run_institutions(spark, landed_pages(spark, sf_dir), root, "first", FIXED_TIME, multi_line=False)
+
+    return _once(spark, sf_dir, "institutions", run)
+
+
+def over_run(name: str, build: Callable[[Layers], DataFrame], stored=stored_run) -> None:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(stored_run(spark, sf_dir))
+        return build(stored(spark, sf_dir)[0])
 
     query.__name__ = name
     register(query)
 
 
+def published(run: Layers, name: str) -> DataFrame:
+    return run.spark.read.csv(f"{run.root}/snapshots/{name}", header=True, escape='"')
+
+
+def _joined(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({name: F.array_join(name, ",") for name in names})
+
+
 over_run("run_fact", lambda run: run.mart("fact_transactions"))
 over_run("run_dim_account", lambda run: run.mart("dim_account"))
+over_run("run_staged_accounts", lambda run: run.staged("accounts").drop("ingested_at"))
 over_run("run_quarantine", lambda run: run.quarantined().drop("rejected_at"))
 over_run("run_daily_metrics", lambda run: run.daily_metrics().drop("updated_at"))
+over_run("run_latest_facts", lambda run: run.latest_facts(reports.FACT_SNAPSHOT_ROWS))
+over_run("run_kpis", lambda run: reports.fact_kpis(run.mart("fact_transactions"), reports.reject_breakdown(run.quarantined())))
+over_run(
+    "layer_row_counts",
+    lambda run: reports.layer_row_counts(
+        run.raw("transactions"),
+        run.staged_transactions(),
+        run.mart("fact_transactions"),
+        reports.reject_breakdown(run.quarantined()),
+    ),
+)
 over_run("run_quality_checks", lambda run: run.ops("quality_checks").drop("dag_run_id", "message", "checked_at"))
 over_run("run_reconciliation", lambda run: run.ops("reconciliation").drop("dag_run_id", "checked_at"))
+over_run("run_schema_snapshots", lambda run: _joined(run.ops("schema_snapshots"), "column_names", "column_types").drop("captured_at"))
+over_run("run_published_rejects", lambda run: published(run, "transactions/quarantine.csv"))
+over_run("run_published_metrics", lambda run: published(run, "transactions/daily_metrics.csv").drop("updated_at"))
 over_run(
-    "run_published_rejects",
-    lambda run: run.spark.read.csv(f"{run.root}/snapshots/transactions/quarantine.csv", header=True),
+    "run_published_runs",
+    lambda run: published(run, "transactions/pipeline_runs.csv").drop("started_at", "finished_at", "duration_seconds"),
 )
+over_run("published_institutions", lambda run: published(run, "institutions/institutions.csv"), stored_institutions)
+
+
+@register
+def run_counts_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run reports of the files it has published."""
+    return spark.createDataFrame(list(stored_run(spark, sf_dir)[1]["published"].items()), "file string, row_count bigint")
+
+
+@register
+def published_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata file of an institution run, together with one that does not exist."""
+    root = stored_institutions(spark, sf_dir)[0].root
+    found = [load_json(spark, f"{root}/snapshots/institutions/{name}.json") for name in ("meta", "absent")]
+    return spark.createDataFrame([meta for meta in found if meta], INSTITUTION_META)
+
+
+@register
+def refused_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of three runs that are stopped: by a gate, by totals that are too far apart and by a new header."""
+    root, w = fresh_dir(spark, "run"), Warehouse(spark, sf_dir, clean=True)
+    drifted, copied = landed_inputs(spark, sf_dir, clean=True), landed_inputs(spark, sf_dir, clean=True)
+    write_csv(w.raw("accounts").drop("ingested_at").withColumnRenamed("currency", "unit"), drifted.accounts)
+    # Every twentieth transaction once more, a hundred times as large: copies that are dropped.
+    rows = w.raw("transactions").drop("ingested_at")
+    large = rows.filter(F.crc32(F.col("transaction_id").cast("binary")) % 20 == 0)
+    large = large.withColumn("amount", (F.col("amount").cast("decimal(18,2)") * 100).cast("decimal(18,2)").cast("string"))
+    write_csv(rows.unionByName(large), copied.transactions)
+    runs = {"rejects": landed_inputs(spark, sf_dir), "totals": copied, "header": drifted}
+    for i, (name, inputs) in enumerate(runs.items()):
+        try:
+            run_transactions(spark, inputs, root, name, FIXED_TIME + timedelta(days=i))
+        except gates.GateFailure:
+            pass
+    return Layers(spark, root).runs().select("dag_run_id", "status", "records_extracted", "error_message")

@@ -134,7 +134,7 @@ def test_reconcile_totals(spark):
 
 def history(spark, *captures):
     start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
-    made = [(run, "t", names.split(), start + dt.timedelta(minutes=i)) for i, (run, names) in enumerate(captures)]
+    made = [(run, "t", names.split(), start + dt.timedelta(minutes=i), None) for i, (run, names) in enumerate(captures)]
     return spark.createDataFrame(made, SCHEMA_SNAPSHOTS)
 
 
@@ -164,7 +164,54 @@ def test_drift_is_raised_with_its_columns(spark):
     assert rows(drift.second_newest(history(spark, ("r1", "a b"), ("r2", "a c"))), "dag_run_id") == [("r1",)]
 
 
+def test_the_tests_of_the_marts_read_each_table_once(spark, tmp_path):
+    names = {"customers": "customer_id string", "accounts": "account_id string", "fact": "transaction_id string, account_id string, amount decimal(18,2), status string"}
+    made = {
+        "customers": [("c1",), ("c1",), (None,)],
+        "accounts": [("a1",), (None,), (None,), ("a2",), ("a2",)],
+        "fact": [("t1", "a1", Decimal(1), "success"), ("t1", "x", None, "odd"), (None, None, None, None), ("t2", "x", Decimal(1), "odd"), ("t3", "a2", Decimal(1), "odder")],
+    }
+    for name, values in made.items():
+        frame(spark, values, names[name]).write.parquet(str(tmp_path / name))
+    got = constraints.mart_results(*[spark.read.parquet(str(tmp_path / name)) for name in names])
+    assert {r["test_name"]: r["failures"] for r in got.collect()} == {
+        "unique_dim_customer_customer_id": 1,
+        "not_null_dim_customer_customer_id": 1,
+        "unique_dim_account_account_id": 1,
+        "not_null_dim_account_account_id": 2,
+        "unique_fact_transactions_transaction_id": 1,
+        "not_null_fact_transactions_transaction_id": 1,
+        "not_null_fact_transactions_amount": 2,
+        "accepted_values_fact_transactions_status": 2,
+        "relationships_fact_transactions_account_id": 2,
+    }
+    text = got._sc._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+    text = text[: text.index("Initial Plan")] if "Initial Plan" in text else text
+    assert text.count("FileScan parquet") == 3 and text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+    assert all(r["failures"] == 0 for r in constraints.mart_results(*[spark.createDataFrame([], ddl) for ddl in names.values()]).collect())
+
+
 def test_schema_snapshot_and_types(spark):
     df = frame(spark, [(1, "x")], "b long, a string")
     assert drift.schema_snapshot(df, "r1", "t")[:3] == ("r1", "t", ["b", "a"])
-    assert drift.type_changes(df, df.withColumn("b", F.col("b").cast("string"))) == [("b", "bigint", "string")]
+    assert drift.schema_snapshot(df, "r1", "t")[4] == ["bigint", "string"]
+
+
+def typed(spark, *captures):
+    """Snapshots of a table ``t``: (run, {column: type}) in order of time; no types where they are None."""
+    made = [
+        (run, "t", list(columns), dt.datetime(2024, 1, 1 + i, tzinfo=dt.timezone.utc), None if None in columns.values() else list(columns.values()))
+        for i, (run, columns) in enumerate(captures)
+    ]
+    return spark.createDataFrame(made, SCHEMA_SNAPSHOTS)
+
+
+def test_a_changed_type_is_drift(spark):
+    kept = typed(spark, ("r1", {"a": "int", "b": "string"}), ("r2", {"b": "string", "a": "bigint", "c": "date"}))
+    assert rows(drift.type_drift(kept)) == [("t", "r2", "a", "int", "bigint")]
+    with pytest.raises(gates.GateFailure, match=r"t: added=\['c'\] removed=\[\]; t: a was int, is bigint"):
+        drift.require_no_drift(drift.detect_drift(kept), drift.type_drift(kept))
+    moved = typed(spark, ("r1", {"a": "int", "b": "string"}), ("r2", {"b": "string", "a": "int"}), ("r2", {"b": "string", "a": "int"}))
+    assert rows(drift.type_drift(moved)) == []
+    untyped = typed(spark, ("r1", {"a": None}), ("r2", {"a": "int"}))
+    assert rows(drift.type_drift(untyped)) == []

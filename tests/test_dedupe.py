@@ -20,16 +20,27 @@ def test_insert_ignore_keeps_the_target(spark):
     assert rows(insert_ignore(target, incoming, "k", [F.col("n")])) == [("b", 2)]
 
 
-def test_insert_new_appends_and_counts(spark, tmp_path):
-    from reliq.sinks.tables import insert_new
-
-    path = str(tmp_path / "target")
-    spark.createDataFrame([("a", 1)], "k string, n int").write.parquet(path)
-    incoming = spark.createDataFrame([("a", 9), ("b", 3)], "k string, n int")
-    for expected in (1, 0):
-        target = spark.read.schema(incoming.schema).parquet(path)
-        assert insert_new(insert_ignore(target, incoming, "k", [F.col("n")]), path) == expected
-    assert rows(spark.read.parquet(path)) == [("a", 1), ("b", 3)]
+def test_only_new_keys_enter_a_stored_table(spark, tmp_path):
+    from reliq.sinks.keyed import KeyedTable
+
+    target = KeyedTable(spark, "keyed_test", str(tmp_path / "keyed"), "k", 4)
+    first = spark.createDataFrame([("a", 1), ("a", 0), ("b", 1), (None, 4)], "k string, n int")
+    assert target.insert_new(first, [F.col("n")]) == 3
+    second = spark.createDataFrame([("a", 9), ("b", 3), ("c", 2), ("c", 1)], "k string, n int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = target.missing(second, [F.col("n")])
+        text = new._sc._jvm.PythonSQLUtils.explainString(new._jdf.queryExecution(), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # The stored side is read in its buckets: the one exchange is that of the incoming rows.
+    assert "SortMergeJoin" in text and "Bucketed: true" in text
+    assert text.count("Exchange") == 1 and "WindowGroupLimit" in text[text.index("Exchange") :]
+    assert target.insert_new(second, [F.col("n")]) == 1
+    assert target.insert_new(second, [F.col("n")]) == 0
+    assert rows(target.read()) == sorted([("a", 0), ("b", 1), ("c", 1), (None, 4)], key=repr)
+    spark.sql("drop table keyed_test")
 
 
 def copies(seed: int, n: int = 600):

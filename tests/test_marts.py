@@ -10,7 +10,9 @@ from reliq.operators import institutions, marts, metrics, reports, runlog, stagi
 from reliq.operators.quantiles import exact_median
 from reliq.operators.topk import first_rows, newest_days
 from reliq.schemas import INSTITUTION
-from reliq.sinks.upsert import stored_days, upsert_daily_metrics
+from reliq.schemas import FACT_MONTH
+from reliq.sinks.upsert import MOST_SETS, last_upsert, stored_days, upsert_daily_metrics
+from reliq.sinks.versions import complete_versions
 from reliq.sinks.versions import current_path, write_version
 
 FIXED = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -102,14 +104,59 @@ def test_upsert_keeps_old_days_and_can_be_repeated(spark, tmp_path):
     assert stored_days(spark, path).count() == 3
 
 
+def test_an_upsert_of_one_day_writes_one_day(spark, tmp_path):
+    path = tmp_path / "daily"
+
+    def files():
+        return {str(f): (f.stat().st_mtime_ns, f.read_bytes()) for f in path.rglob("part-*.parquet")}
+
+    daily = metrics.daily_metrics(small_fact(spark))
+    upsert_daily_metrics(spark, daily, str(path), FIXED)
+    before = files()
+    one = daily.filter("metric_date = '2024-05-02'").withColumn("active_accounts", F.lit(9))
+    assert upsert_daily_metrics(spark, one, str(path), FIXED) == 1
+    after = files()
+    assert {name: after[name] for name in before} == before
+    new = sorted(set(after) - set(before))
+    assert rows(spark.read.parquet(*new), "metric_date", "active_accounts") == [(dt.date(2024, 5, 2), 9)]
+    assert rows(last_upsert(spark, str(path)), "metric_date") == [(dt.date(2024, 5, 2),)]
+
+
+def test_many_upserts_are_merged_without_a_change(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    daily = metrics.daily_metrics(small_fact(spark))
+    for i in range(MOST_SETS + 2):
+        day = F.date_add(F.lit("2025-01-01").cast("date"), i // 2)
+        upsert_daily_metrics(spark, daily.limit(1).withColumns({"metric_date": day, "active_accounts": F.lit(i)}), path, FIXED)
+    assert len(complete_versions(spark, path)) <= MOST_SETS
+    assert rows(stored_days(spark, path), "active_accounts") == [(i,) for i in range(1, MOST_SETS + 2, 2)]
+
+
+def test_the_newest_facts_are_read_from_their_months(spark, tmp_path):
+    made = [(f"t{i:03}", dt.date(2024, 1 + i % 6, 1 + i % 28) if i % 50 else None, Decimal(i)) for i in range(300)]
+    names = [n for n in reports.SNAPSHOT_COLUMNS if n not in ("transaction_id", "transaction_date", "amount")]
+    fact = spark.createDataFrame(made, "transaction_id string, transaction_date date, amount decimal(18,2)")
+    fact = marts.with_month(fact.withColumns({n: F.lit("x") for n in names}))
+    fact.write.partitionBy(FACT_MONTH).parquet(str(tmp_path / "fact"))
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    days = stored.groupBy(F.col("transaction_date").alias("metric_date")).agg(F.count("*").alias("total_transactions"))
+    for n in (1, 20, 294, 299, 1000):
+        got = reports.latest_dated_facts(stored, days, n)
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in reports.latest_facts(stored, n).collect()]
+    text = got._sc._jvm.PythonSQLUtils.explainString(reports.latest_dated_facts(stored, days, 20)._jdf.queryExecution(), "simple")
+    assert f"PartitionFilters: [isnotnull({FACT_MONTH}" in text and "2024-06-01" in text
+    assert "PushedFilters: [IsNotNull(transaction_date), GreaterThanOrEqual(transaction_date" in text
+    assert text.count("FileScan") == 1
+
+
 def test_an_interrupted_upsert_loses_nothing(spark, tmp_path):
     path = tmp_path / "daily"
     daily = metrics.daily_metrics(small_fact(spark))
     upsert_daily_metrics(spark, daily, str(path), FIXED)
     # A version that was begun, but not finished, is not the table.
-    for half in (path / "version-000000000002", tmp_path / "daily.incoming" / "version-000000000002"):
-        half.mkdir()
-        (half / "part-0.parquet").write_text("torn")
+    half = path / "version-000000000002"
+    half.mkdir()
+    (half / "part-0.parquet").write_text("torn")
     assert stored_days(spark, str(path)).count() == 2
     later = daily.limit(1).withColumn("metric_date", F.lit("2025-01-01").cast("date"))
     assert upsert_daily_metrics(spark, later, str(path), FIXED) == 1
@@ -237,9 +284,10 @@ def test_institution_reports(spark):
 
 def test_run_state_takes_the_latest_finish(spark):
     start = FIXED
-    events = runlog.started_event(spark, "r1", "d", start).unionByName(runlog.started_event(spark, "r2", "d", start))
+    events = runlog.event(spark, ("r1", "d"), start).unionByName(runlog.event(spark, ("r2", "d"), start))
     for seconds, status, error in ((5, "failed", "boom"), (9, "success", None)):
-        finish = runlog.finished_event(spark, "r1", "d", start + dt.timedelta(seconds=seconds), status, 10, 8, 2, error)
+        ended = start + dt.timedelta(seconds=seconds)
+        finish = runlog.event(spark, ("r1", "d"), ended, status, runlog.Counts(10, 8, 2), error)
         events = events.unionByName(finish)
     state = runlog.run_state(events)
     assert rows(state, "dag_run_id", "status", "records_loaded", "duration_seconds", "error_message") == [

@@ -2,15 +2,18 @@
 
 import datetime as dt
 import json
+from collections import Counter
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from reliq.operators import gates
 from reliq.plans.institutions import run_institutions
 from reliq.plans.transactions import Inputs, Layers, check_drift, run_transactions
-from reliq.schemas import INSTITUTION
-from reliq.sinks.tables import reload_table
+from reliq.schemas import FACT_TRANSACTIONS, INSTITUTION
+from reliq.sinks.tables import reload_table, sized
+from reliq.sources import layers as layers_module
 from reliq.sources.layers import stored_columns
 
 MORNING = dt.datetime(2024, 6, 1, 2, tzinfo=dt.timezone.utc)
@@ -40,7 +43,14 @@ def test_a_run_fills_every_layer_and_can_be_repeated(spark, tmp_path):
     layers = Layers(spark, root)
     for attempt in range(2):
         sizes = run_transactions(spark, inputs, root, f"run{attempt}", MORNING + dt.timedelta(days=attempt))
+        published = sizes.pop("published")
         assert sizes == {"raw_rows": 42, "fact_rows": 40, "quarantined_rows": 2, "metric_days": 3}
+        assert published == {
+            "fact_transactions.csv": 40,
+            "daily_metrics.csv": 3,
+            "quarantine.csv": 2,
+            "pipeline_runs.csv": attempt + 1,
+        }
         assert rows(layers.staged("customers"), "customer_id") == [("c1",)]
         assert layers.staged_transactions().columns[-1] == "ingested_at"
         assert rows(layers.quarantined(), "transaction_id", "reject_reason") == [
@@ -104,6 +114,69 @@ def test_a_new_stored_column_is_drift(spark, tmp_path):
         check_drift(Layers(spark, root), {"accounts": stored_columns(spark, root, "raw", "accounts")}, "r2", MORNING + dt.timedelta(days=1))
 
 
+def test_a_new_stored_type_is_drift(spark, tmp_path):
+    inputs, root = write_inputs(tmp_path / "in", GOOD), str(tmp_path / "out")
+    run_transactions(spark, inputs, root, "r1", MORNING)
+    changed = stored_columns(spark, root, "raw", "transactions").withColumn("amount", F.col("amount").cast("double"))
+    with pytest.raises(gates.GateFailure, match="transactions: amount was string, is double"):
+        check_drift(Layers(spark, root), {"transactions": changed}, "r2", MORNING + dt.timedelta(days=9))
+
+
+def test_a_lenient_run_quarantines_damaged_lines(spark, tmp_path):
+    inputs, root = write_inputs(tmp_path / "in", [*GOOD, "cut,a1", line("long") + ",more", line("x", amount="-1")]), str(tmp_path / "out")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
+        run_transactions(spark, inputs, root, "strict", MORNING)
+    sizes = run_transactions(spark, inputs, root, "lenient", MORNING, strict=False)
+    assert (sizes["raw_rows"], sizes["fact_rows"], sizes["quarantined_rows"]) == (43, 40, 3)
+    layers = Layers(spark, root)
+    assert rows(layers.damaged(), "record") == [("cut,a1",), (line("long") + ",more",)]
+    assert rows(spark.read.csv(f"{root}/snapshots/transactions/quarantine.csv", header=True)) == [("damaged_record", "2"), ("negative_amount", "1")]
+
+
+def test_a_run_reads_its_tables_few_times(spark, tmp_path):
+    """Landed rows are read for hot keys and to classify them; facts for tests, metrics and reports."""
+    inputs, root = write_inputs(tmp_path / "in", GOOD), str(tmp_path / "out")
+    read = []
+    real = layers_module.stored_version
+
+    def counted(spark, root, layer, table):
+        read.append((layer, table))
+        return real(spark, root, layer, table)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(layers_module, "stored_version", counted)
+        run_transactions(spark, inputs, root, "r1", MORNING)
+    assert read.count(("raw", "transactions")) == 2
+    assert read.count(("analytics", "fact_transactions")) == 3
+
+
+def test_outcomes_are_written_in_files_bounded_by_bytes(spark):
+    from test_shapes import plan
+
+    many = spark.range(1000).selectExpr("id", "if(id % 9 = 0, 'bad', 'loaded') as outcome").repartition(50)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(sized(many, "outcome"))
+
+
+def test_outcomes_make_few_files(spark, tmp_path):
+    inputs, root = write_inputs(tmp_path / "in", [*GOOD, line(0), line("x", amount="-1")]), str(tmp_path / "out")
+    run_transactions(spark, inputs, root, "r1", MORNING)
+    for folder in ("classified/transactions", "analytics/fact_transactions"):
+        per_value = Counter(f.parent.name for f in (tmp_path / "out" / folder).rglob("part-*.parquet"))
+        assert per_value and set(per_value.values()) == {1}
+
+
+def test_facts_are_stored_by_month_and_read_by_it(spark, tmp_path):
+    inputs, root = write_inputs(tmp_path / "in", GOOD), str(tmp_path / "out")
+    run_transactions(spark, inputs, root, "r1", MORNING, facts=5)
+    layers = Layers(spark, root)
+    assert (tmp_path / "out/analytics/fact_transactions/version-000000000001/transaction_month=2024-05-01").is_dir()
+    assert layers.mart("fact_transactions").columns == FACT_TRANSACTIONS.names
+    assert layers.latest_facts(5).count() == 5
+    assert spark.read.csv(f"{root}/snapshots/transactions/fact_transactions.csv", header=True).count() == 5
+    text = layers.latest_facts(5)._sc._jvm.PythonSQLUtils.explainString(layers.latest_facts(5)._jdf.queryExecution(), "simple")
+    assert "PartitionFilters: [isnotnull(transaction_month" in text
+
+
 def test_a_malformed_amount_aborts_a_strict_run_only(spark, tmp_path):
     inputs, root = write_inputs(tmp_path / "in", [*GOOD, line("bad", amount="ten")]), str(tmp_path / "out")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
