@@ -52,6 +52,8 @@ def main() -> None:
         "bench",
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory="16g",
+        # Written partitions fit eight cores and 60 MB of transactions; a cluster takes 128 MB and more.
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="8m",
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")

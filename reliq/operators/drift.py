@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reliq.functions.together import together
 from reliq.operators.gates import GateFailure
 from reliq.sources.files import utc
 from reliq.sources.layers import table_columns
@@ -90,9 +91,11 @@ def type_drift(snapshots: DataFrame) -> DataFrame:
 
 def require_no_drift(drift: DataFrame, types: DataFrame | None = None) -> None:
     """Raise with all columns that were added, removed or, where given, have changed their type."""
-    found = drift.filter("drift").orderBy("table_name").collect()
+    jobs = [drift.filter("drift").orderBy("table_name").collect]
+    if types is not None:
+        jobs.append(types.orderBy("table_name", "column_name").collect)
+    found, changed = [*together(*jobs), []][:2]
     parts = [f"{r['table_name']}: added={r['added']} removed={r['removed']}" for r in found]
-    changed = types.orderBy("table_name", "column_name").collect() if types is not None else []
     parts += [f"{r['table_name']}: {r['column_name']} was {r['old_type']}, is {r['new_type']}" for r in changed]
     if parts:
         raise GateFailure("Columns are not those of the last run: " + "; ".join(parts))

@@ -6,8 +6,10 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reliq.functions.casts import exact_amount
+from reliq.functions.literals import literal_rows
 from reliq.operators.gates import GateFailure
 
 # Variance in percent below which a metric is ok, or a warning.
@@ -15,6 +17,10 @@ OK_BELOW = 5
 WARNING_BELOW = 10
 
 VALUE = "decimal(20,4)"
+PAIRS = T.StructType(
+    [T.StructField("metric_name", T.StringType())]
+    + [T.StructField(name, T.DecimalType(20, 4)) for name in ("source_value", "target_value")]
+)
 
 
 def _metric_rows(totals: DataFrame, value_name: str) -> DataFrame:
@@ -61,8 +67,7 @@ def target_totals(fact: DataFrame) -> DataFrame:
 def reconcile_values(spark: SparkSession, source: dict, target: dict) -> DataFrame:
     """The metrics of totals that were taken while both tables were written."""
     pairs = [(name, Decimal(source[name] or 0), Decimal(target[name] or 0)) for name in source]
-    rows = spark.createDataFrame(pairs, "metric_name string, source_value decimal(38,8), target_value decimal(38,8)")
-    return with_variance(rows.withColumns({name: F.col(name).cast(VALUE) for name in ("source_value", "target_value")}))
+    return with_variance(literal_rows(spark, pairs, PAIRS))
 
 
 def with_variance(pairs: DataFrame) -> DataFrame:

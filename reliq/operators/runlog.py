@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reliq.functions.dates import seconds_between
+from reliq.functions.literals import literal_rows
 from reliq.operators.topk import first_rows
 from reliq.schemas import RUN_EVENTS
 
@@ -32,7 +33,7 @@ def event(
 ) -> DataFrame:
     """One row of the log of a ``run`` (its id and that of its pipeline): it starts, or it ends with a status."""
     kind = "started" if status == "running" else "finished"
-    return spark.createDataFrame([(*run, kind, at, status, *astuple(counts), error)], RUN_EVENTS)
+    return literal_rows(spark, [(*run, kind, at, status, *astuple(counts), error)], RUN_EVENTS)
 
 
 def run_state(events: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from reliq import schemas
 from reliq.operators import constraints, drift, gates, marts, metrics, quarantine, reconcile, reports, runlog, staging
 from reliq.operators.skew import NONE, HotKeys, hot_keys
+from reliq.functions.literals import literal_rows
 from reliq.functions.together import together
 from reliq.sinks.logs import append_log, compact_day, read_log, read_newest
 from reliq.sinks.snapshots import publish_runs, publish_transactions
@@ -222,7 +223,7 @@ def reconcile_layers(layers: Layers, source: dict, target: dict, run_id: str, at
 def check_drift(layers: Layers, tables: dict[str, DataFrame], run_id: str, at: datetime) -> None:
     """Snapshot the columns of some tables and compare names and types with the run before."""
     taken = [drift.schema_snapshot(df, run_id, name, at) for name, df in tables.items()]
-    layers.audit(layers.spark.createDataFrame(taken, schemas.SCHEMA_SNAPSHOTS), "schema_snapshots", at.date())
+    layers.audit(literal_rows(layers.spark, taken, schemas.SCHEMA_SNAPSHOTS), "schema_snapshots", at.date())
     snapshots = layers.snapshots_of(list(tables))
     drift.require_no_drift(drift.detect_drift(snapshots), drift.type_drift(snapshots))
 
