@@ -9,7 +9,8 @@ of a set alike: those of heavy buckets (many sets) last. Two sets that overlap i
 
 The boundary between them is where a subset enumeration costs as much as scanning the lists. Sets
 near the boundary do both. A list or subset links each member to its smallest member only (its
-cell), never all pairs; within a cell the whole sets are compared, block by block.
+cell), never all pairs. Within a cell the whole sets are compared: all members of a large cell with its
+smallest set first, then only those that are not linked to it with all others, block by block.
 
 Prefixes are longer than one shared shingle needs: linked large sets share k list keys at least.
 Each set may then leave cells that hold fewer than half of k of its keys in all: two linked sets
@@ -26,11 +27,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from reliq.llm.arrow import pieces, texts_of
 from reliq.llm.components import components
 from reliq.llm.sharing import ship_package
-from reliq.llm.text import small_side, stored, whole_text
+from reliq.llm.text import key128, small_side, stored, whole_text
 
 WORDS = 5
 #: Sets are linked when 100 * shared >= PERCENT * all.
@@ -87,9 +89,18 @@ def shingle_set(text: str) -> np.ndarray:
     return found[np.concatenate(([True], found[1:] != found[:-1]))]
 
 
-def class_of(shingles: np.ndarray) -> int:
-    """The id of all sets with these shingles: 63 bits of a hash of the whole set."""
-    return xxhash.xxh3_64_intdigest(shingles) >> 1
+def class_of(shingles: np.ndarray, shared: frozenset[int] = frozenset()) -> int:
+    """The id of all sets with these shingles: 63 bits of a hash of the whole set.
+
+    ``shared`` holds the ids under which different sets have met; those take 63 other bits.
+    """
+    low, high = both_classes(shingles)
+    return high if low in shared else low
+
+
+def both_classes(shingles: np.ndarray) -> tuple[int, int]:
+    whole = xxhash.xxh3_128_intdigest(shingles)
+    return whole & ((1 << 63) - 1), whole >> 65
 
 
 def bucket_of(shingles: np.ndarray) -> np.ndarray:
@@ -101,23 +112,25 @@ def overlap_needed(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-def sized_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per row ``doc_id``, ``n`` (shingles) and ``class``; and the heavy buckets, ``bucket`` and ``hits``.
+def sized_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame, frozenset[int]]:
+    """Per row ``doc_id``, its text's hash (``h1``, ``h2``), ``n`` (shingles) and ``class``; the heavy buckets,
+    ``bucket`` and ``hits``; and the ids under which different sets have met.
 
     A set without shingles has no class. A bucket is heavy if it stands out in some task, and
     has the counts of those tasks: they only steer the order of shingles, any such table gives the
-    same links. Both come from one pass over the texts, which is stored.
+    same links. All come from one pass over the texts, which is stored. Of ids of 63 bits, some five
+    are shared at ten billion sets; they are found by the other bits of the hash.
     """
     ship_package(docs.sparkSession)
-    names = ["doc_id", "n", "class", "bucket", "hits"]
+    names = ["doc_id", "h1", "h2", "n", "class", "other", "bucket", "hits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(BUCKETS, np.int64), set()
         for piece in pieces(batches):
             sets = [shingle_set(text) for text in texts_of(piece)]
-            classes = [class_of(s) if len(s) else None for s in sets]
+            both = [both_classes(s) if len(s) else (None, None) for s in sets]
             fresh = []
-            for key, shingles in zip(classes, sets):
+            for (key, _), shingles in zip(both, sets):
                 if key is not None and key not in seen:
                     fresh.append(shingles)
                     if len(seen) < 300_000:
@@ -125,17 +138,28 @@ def sized_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             if fresh:
                 np.add.at(counts, bucket_of(np.concatenate(fresh)), 1)
             none, sizes = pa.nulls(len(sets), pa.int64()), pa.array([len(s) for s in sets], pa.int64())
-            arrays = [piece.column("doc_id"), sizes, pa.array(classes, pa.int64()), none, none]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            given = [piece.column(name) for name in names[:3]]
+            classes = [pa.array([pair[k] for pair in both], pa.int64()) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([*given, sizes, *classes, none, none], names)
         mean = counts.mean()
         heavy = np.flatnonzero(counts > mean + 6 * mean**0.5 + 8)
         none = pa.nulls(len(heavy), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(heavy), pa.array(counts[heavy])], names)
-
-    given = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), whole_text(docs).alias("text"))
-    rows = stored(given.mapInArrow(run, "doc_id long, n long, class long, bucket long, hits long"), "sets")
+        yield pa.RecordBatch.from_arrays([none.cast(doc_id), *[none] * 5, pa.array(heavy), pa.array(counts[heavy])], names)
+
+    text = whole_text(docs)
+    h1, h2 = key128(text)
+    kind = docs.schema["doc_id"].dataType
+    doc_id = to_arrow_type(kind)
+    given = docs.select(docs["doc_id"], h1.alias("h1"), h2.alias("h2"), text.alias("text"))
+    layout = f"doc_id {kind.simpleString()}, " + ", ".join(f"{name} long" for name in names[1:])
+    rows = stored(given.mapInArrow(run, layout), "sets")
     heavy = rows.filter("bucket is not null").groupBy("bucket").agg(F.sum("hits").alias("hits"))
-    return rows.filter("bucket is null").drop("bucket", "hits"), stored(heavy, "heavy")
+    sets = rows.filter("bucket is null").drop("bucket", "hits")
+    met = sets.filter("class is not null").groupBy("class").agg(F.min("other").alias("a"), F.max("other").alias("b"))
+    shared = frozenset(row["class"] for row in met.filter("a <> b").select("class").collect())
+    if shared:
+        sets = sets.withColumn("class", F.when(F.col("class").isin(list(shared)), F.col("other")).otherwise(F.col("class")))
+    return sets.drop("other"), stored(heavy, "heavy"), shared
 
 
 def prefix(shingles: np.ndarray, weights: np.ndarray, shared: int) -> np.ndarray:
@@ -181,10 +205,12 @@ def signatures(shingles: np.ndarray, weights: np.ndarray, small: int) -> np.ndar
     return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
-def cells(docs: DataFrame, sized: DataFrame, heavy: DataFrame, list_length: float) -> DataFrame:
-    """``cell`` and ``member``: the classes of each list or subset, under its smallest class.
+def cells(docs: DataFrame, sized: DataFrame, heavy: DataFrame, list_length: float, ids: frozenset[int] = frozenset()) -> DataFrame:
+    """``cell`` and ``member``: the classes of each list or subset, under its smallest class; ``members`` of
+    the cell, and ``center``, the smallest of them.
 
-    Every pair of linked classes is in a cell; ``sized`` holds the ``class`` and ``n`` of all sets.
+    Every pair of linked classes is in a cell; ``sized`` holds the ``class`` and ``n`` of all sets, ``ids``
+    are the class ids that different sets share.
     """
     spark = ship_package(docs.sparkSession)
     # At most BUCKETS rows of 16 bytes.
@@ -200,7 +226,7 @@ def cells(docs: DataFrame, sized: DataFrame, heavy: DataFrame, list_length: floa
             keys, owners = [], []
             for text in texts_of(piece):
                 shingles = shingle_set(text)
-                if not len(shingles) or (key := class_of(shingles)) in seen:
+                if not len(shingles) or (key := class_of(shingles, ids)) in seen:
                     continue
                 if len(seen) < 300_000:
                     seen.add(key)
@@ -242,11 +268,12 @@ def cells(docs: DataFrame, sized: DataFrame, heavy: DataFrame, list_length: floa
     left = F.sum("keys").over(Window.partitionBy("member").orderBy("keys", "cell"))
     chosen = met.join(sizes, "member").withColumn("left", left).filter(F.col("left") > keys_spared(F.col("n"), small))
     kept = chosen.select("cell", "member")
-    several = kept.groupBy("cell").agg(F.count("*").alias("members")).filter("members > 1")
-    return kept.join(several, "cell")
+    several = kept.groupBy("cell").agg(F.count("*").alias("members"), F.min("member").alias("center")).filter("members > 1")
+    # Written first, so that the join deals both sides anew and can split a large cell.
+    return stored(kept, "kept").join(stored(several, "several"), "cell")
 
 
-def packed_sets(docs: DataFrame) -> DataFrame:
+def packed_sets(docs: DataFrame, ids: frozenset[int] = frozenset()) -> DataFrame:
     """``class`` and the low 48 bits of its shingles, at least once per class and task."""
     ship_package(docs.sparkSession)
 
@@ -256,7 +283,7 @@ def packed_sets(docs: DataFrame) -> DataFrame:
             keys, sets = [], []
             for text in texts_of(piece):
                 shingles = shingle_set(text)
-                if not len(shingles) or (key := class_of(shingles)) in seen:
+                if not len(shingles) or (key := class_of(shingles, ids)) in seen:
                     continue
                 if len(seen) < 300_000:
                     seen.add(key)
@@ -295,11 +322,11 @@ class Forest:
         return int(rest[0]) if len(rest) else None
 
 
-def block_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links that join the sets of a block as all their links would.
+def block_links(sets: list[np.ndarray], asked: list[int] | None = None) -> list[tuple[int, int]]:
+    """Links that join the sets of a block as all their links would, or all links of the sets ``asked``.
 
-    Every set outside the largest component is compared with all others, through the inverted
-    lists of the block; within a component nothing is left to find.
+    Every set asked is compared with all others, through the inverted lists of the block; where none
+    are named, every set outside the largest component is: within a component nothing is left to find.
     """
     sizes = np.array([len(s) for s in sets])
     tokens, ids = np.unique(np.concatenate(sets), return_inverse=True)
@@ -308,7 +335,8 @@ def block_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     lists, ends = owners[order], np.concatenate(([0], np.cumsum(np.bincount(ids, minlength=len(tokens)))))
     offsets = np.concatenate(([0], np.cumsum(sizes)))
     forest, done, links = Forest(len(sets)), np.zeros(len(sets), bool), []
-    current: int | None = 0
+    left = iter(asked or ())
+    current = next(left, None) if asked is not None else 0
     while current is not None:
         done[current] = True
         own = ids[offsets[current] : offsets[current + 1]]
@@ -318,42 +346,104 @@ def block_links(sets: list[np.ndarray]) -> list[tuple[int, int]]:
         every = sizes + sizes[current] - shared
         alike = np.flatnonzero(100 * shared >= PERCENT * every)
         links += [(current, b) for b in forest.union(current, alike[alike != current])]
-        current = forest.next_open(done)
+        current = next(left, None) if asked is not None else forest.next_open(done)
     return links
 
 
-def links(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Links between the members of cells, enough to join all that are linked: ``a``, ``b``."""
+def with_center(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """``cell``, ``member``, ``center`` and whether both are ``alike``, for the members of large cells."""
+    middle = rows.select("cell", F.col("center").alias("class")).distinct().join(sets, "class")
+    pairs = rows.select("cell", "center", F.col("member").alias("class")).join(sets, "class")
+    both = pairs.join(middle.select("cell", F.col("set").alias("middle")), "cell")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, middle = None, np.empty(0, np.uint64)
+        for batch in batches:
+            alike = []
+            for own, other in zip(batch.column("set").to_pylist(), batch.column("middle").to_pylist()):
+                if other != last:
+                    last, middle = other, unpacked(other)
+                one = unpacked(own)
+                shared = len(np.intersect1d(one, middle, assume_unique=True))
+                alike.append(100 * shared >= PERCENT * (len(one) + len(middle) - shared))
+            kept = [batch.column(name) for name in ("cell", "class", "center")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(alike, pa.bool_())], ["cell", "member", "center", "alike"])
+
+    read = both.select("cell", "class", "center", "set", "middle")
+    return stored(read.mapInArrow(compare, "cell long, member long, center long, alike boolean"), "centers")
+
+
+def links(docs: DataFrame, found: DataFrame, ids: frozenset[int] = frozenset()) -> DataFrame:
+    """Links between the members of cells, enough to join all that are linked: ``a``, ``b``.
+
+    The members of a cell of at most ``BLOCK`` are compared in one task. Those of a larger one are
+    compared with its center, one row each; members that are not linked to it are compared with all
+    others: each block of members meets each block of these strays. Members that are linked to
+    the center are in one component, and between them nothing is left to find.
+    """
     ship_package(docs.sparkSession)
-    split = found.select("cell", "member", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    chunk = F.pmod(F.xxhash64("member", "cell"), F.col("blocks")).cast("int")
-    placed = split.select("cell", "member", chunk.alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    dealt = placed.select("cell", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), F.col("member").alias("class"))
     wanted = small_side(stored(found.select(F.col("member").alias("class")).distinct(), "candidates"), BROADCAST_ROWS)
-    sets = packed_sets(docs).join(wanted, "class", "left_semi").dropDuplicates(["class"])
+    sets = packed_sets(docs, ids).join(wanted, "class", "left_semi").dropDuplicates(["class"])
+    large = found.filter(F.col("members") > BLOCK)
+    nothing = F.lit(0)
+    dealt = found.filter(F.col("members") <= BLOCK).select("cell", nothing.alias("i"), nothing.alias("j"), F.col("member").alias("class"), F.lit(None).cast("boolean").alias("stray"))
+    joined = None
+    if not large.isEmpty():
+        sets = stored(sets, "candidate-sets")
+        judged = with_center(large, sets)
+        joined = judged.filter("alike and member <> center").select(F.col("center").alias("a"), F.col("member").alias("b"))
+        counts = judged.groupBy("cell").agg(F.count("*").alias("members"), F.count_if(~F.col("alike")).alias("strays"))
+        blocks = [F.ceil(F.col(name) / BLOCK).cast("int") for name in ("members", "strays")]
+        split = judged.join(stored(counts.filter("strays > 0"), "strays"), "cell")
+        split = split.withColumns({"rows": blocks[0], "columns": blocks[1], "hash": F.xxhash64("member", "cell")})
+        own, asked = F.pmod("hash", F.col("rows")).cast("int"), F.pmod("hash", F.col("columns")).cast("int")
+
+        def every(name: str) -> Column:
+            return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+
+        base = split.select("cell", own.alias("i"), every("columns").alias("j"), F.col("member").alias("class"), F.lit(False).alias("stray"))
+        strays = split.filter(~F.col("alike")).select("cell", every("rows").alias("i"), asked.alias("j"), F.col("member").alias("class"), F.lit(True).alias("stray"))
+        dealt = dealt.unionByName(base).unionByName(strays)
     rows = dealt.join(sets, "class").repartition("cell", "i", "j").sortWithinPartitions("cell", "i", "j")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, members, packed = None, [], []
+        block, members, packed, strays = None, [], [], []
 
         def closed() -> pa.RecordBatch:
-            ends = block_links([unpacked(p) for p in packed]) if len(members) > 1 else []
-            arrays = [pa.array([members[i] for i, _ in ends], pa.int64()), pa.array([members[j] for _, j in ends], pa.int64())]
+            asked = [i for i, stray in enumerate(strays) if stray] if strays[0] is not None else None
+            ends = block_links([unpacked(p) for p in packed], asked) if len(members) > 1 else []
+            ends = [(members[i], members[j]) for i, j in ends if members[i] != members[j]]
+            arrays = [pa.array([pair[k] for pair in ends], pa.int64()) for k in range(2)]
             return pa.RecordBatch.from_arrays(arrays, ["a", "b"])
 
         for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("cell", "i", "j", "class", "set")]
-            for cell, i, j, member, content in zip(*columns):
+            columns = [batch.column(name).to_pylist() for name in ("cell", "i", "j", "class", "set", "stray")]
+            for cell, i, j, member, content, stray in zip(*columns):
                 if (cell, i, j) != block:
                     if members:
                         yield closed()
-                    block, members, packed = (cell, i, j), [], []
+                    block, members, packed, strays = (cell, i, j), [], [], []
                 members.append(member)
                 packed.append(content)
+                strays.append(stray)
         if members:
             yield closed()
 
-    return rows.select("cell", "i", "j", "class", "set").mapInArrow(compare, "a long, b long")
+    made = rows.select("cell", "i", "j", "class", "set", "stray").mapInArrow(compare, "a long, b long")
+    return made if joined is None else made.unionByName(joined)
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, ``h1``, ``h2``, ``n``, ``class`` and ``component`` (of its class; null without shingles)."""
+    sized, heavy, ids = sized_sets(docs)
+    shingles = sized.agg(F.sum("n")).head()[0] or 0
+    seen, squares = heavy.agg(F.sum("hits"), F.sum(F.col("hits").cast("double") * F.col("hits"))).head()
+    # How many sets a list holds on average, if lists were as long as the heavy buckets say.
+    list_length = 1 + min(15.0, (squares / shingles) if shingles and seen else 0.0)
+    found = stored(cells(docs, sized, heavy, list_length, ids), "members")
+    groups = stored(components(stored(links(docs, found, ids), "class-links")), "class-components")
+    joined = sized.join(groups.withColumnRenamed("node", "class"), "class", "left")
+    return joined.withColumn("component", F.coalesce("component", "class"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -363,36 +453,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Null text counts as empty: no shingles, linked with nothing. Rows with equal sets are linked.
     A null doc_id takes part, but names a component only where no member has an id.
     """
-    sized, heavy = sized_sets(docs)
-    shingles = sized.agg(F.sum("n")).head()[0] or 0
-    seen, squares = heavy.agg(F.sum("hits"), F.sum(F.col("hits").cast("double") * F.col("hits"))).head()
-    # How many sets a list holds on average, if lists were as long as the heavy buckets say.
-    list_length = 1 + min(15.0, (squares / shingles) if shingles and seen else 0.0)
-    found = stored(cells(docs, sized, heavy, list_length), "members")
-    groups = components(stored(links(docs, found), "class-links"))
-    classes = sized.filter("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"))
-    joined = classes.join(groups, classes["class"] == groups["node"], "left")
-    named = joined.select("class", "least", F.coalesce("component", "class").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = stored(named.join(smallest, "component").select("class", "component_id"), "components")
+    rows = stored(grouped(docs), "grouped")
+    known = rows.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     alone = F.when(F.col("class").isNull(), F.col("doc_id"))
-    return sized.join(known, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce(alone, F.col("component_id")).alias("component_id")
-    )
+    named = rows.join(stored(known, "named"), "component", "left")
+    return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(alone, F.col("component_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component, each id once.
+    """One row of each component: that of the smallest doc_id, and of its rows that of the smallest text hash.
 
-    Rows without shingles are alone. Rows without a doc_id stay.
+    Rows are told apart by doc_id and text, so of rows that share an id only near duplicates go. Of
+    rows with equal id and text one stays, by a hash of the other columns. A null doc_id is above
+    all others. Rows without shingles are alone and all stay.
     """
-    judged = stored(near_duplicates(docs), "near")
-    lost = judged.filter("doc_id is not null and doc_id <> component_id").select(F.col("doc_id").alias("lost_doc_id"))
-    kept = docs.join(small_side(stored(lost.distinct(), "lost"), BROADCAST_ROWS), docs["doc_id"] == F.col("lost_doc_id"), "left_anti")
-    repeated = judged.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    rows = stored(grouped(docs).filter("component is not null").select("doc_id", "h1", "h2", "component"), "judged")
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "h1", "h2")
+    first = rows.groupBy("component").agg(F.min(key).alias("first"))
+    marked = rows.join(stored(first, "firsts"), "component").withColumn("stays", F.col("first") == key)
+    judged = marked.groupBy("doc_id", "h1", "h2").agg(F.max("stays").alias("stays"), F.count("*").alias("times"))
+    judged = stored(judged.filter("not stays or times > 1").toDF("id_", "h1_", "h2_", "stays", "times"), "not-alone")
+    h1, h2 = key128(whole_text(docs))
+    read = docs.select(F.struct(*[docs[name] for name in docs.columns]).alias("row"), h1.alias("h1"), h2.alias("h2"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("id_")) & (F.col("h1") == F.col("h1_")) & (F.col("h2") == F.col("h2_"))
+    lost = small_side(stored(judged.filter("not stays").drop("stays", "times"), "lost"), BROADCAST_ROWS)
+    kept = read.join(lost, same, "left_anti")
+    repeated = stored(judged.filter("stays").drop("stays", "times"), "repeated")
     if repeated.isEmpty():
-        return kept
-    twice = F.broadcast(repeated.select(F.col("doc_id").alias("lost_doc_id"))) if repeated.count() <= BROADCAST_ROWS else repeated.select(F.col("doc_id").alias("lost_doc_id"))
-    same = kept["doc_id"] == F.col("lost_doc_id")
-    once = kept.join(twice, same, "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, same, "left_anti").unionByName(once)
+        return kept.select("row.*")
+    repeated = small_side(repeated, BROADCAST_ROWS)
+    place = F.row_number().over(Window.partitionBy("row.doc_id", "h1", "h2").orderBy(F.xxhash64("row")))
+    once = kept.join(repeated, same, "left_semi").withColumn("place", place).filter("place = 1").drop("place")
+    return kept.join(repeated, same, "left_anti").unionByName(once).select("row.*")

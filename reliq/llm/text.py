@@ -48,9 +48,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a frame, written as text, up to which it may be broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
 def small_side(df: DataFrame, most_rows: int) -> DataFrame:
-    """A stored frame, marked for broadcast if it has at most ``most_rows`` rows.
+    """A stored frame, marked for broadcast if it has at most ``most_rows`` rows and ``BROADCAST_BYTES`` bytes.
 
     Beyond that the join is left to Spark, which shuffles both sides and splits hot keys.
     """
-    return F.broadcast(df) if df.count() <= most_rows else df
+    row = F.octet_length(F.to_json(F.struct(*[df[name] for name in df.columns])))
+    size = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(row), F.lit(0)).alias("bytes")).head()
+    return F.broadcast(df) if size["rows"] <= most_rows and size["bytes"] <= BROADCAST_BYTES else df

@@ -4,9 +4,10 @@ import random
 
 import brute
 import numpy as np
+from pyspark.sql import functions as F
 from samples import ODD, prose
 
-from reliq.llm import jaccard
+from reliq.llm import jaccard, text
 from reliq.llm.components import components
 
 
@@ -83,6 +84,64 @@ def test_large_cells_are_split_into_blocks(make, monkeypatch):
     assert got == brute.components(rows)
 
 
+def test_strays_of_a_large_cell_meet_all_its_members(make, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    rng = random.Random(8)
+    rows = []
+    for i in range(40):
+        words = prose(1, 44).split()
+        for _ in range(rng.choice([0, 1, 2, 3])):
+            words[rng.randrange(len(words))] = f"w{i}"
+        rows.append((i, " ".join(words)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(make(rows)).collect()}
+    want = brute.components(rows)
+    assert got == want and 1 < len({c for _, c in want.values()}) < 30
+
+
+def test_near_copies_of_one_text_are_a_row_each(make):
+    """20,000 sets that all are like the smallest: no member is repeated for a block."""
+    words = prose(1, 200).split()
+    rows = [(i, " ".join([*words[: i % 200], f"w{i}", *words[i % 200 + 1 :]])) for i in range(20_000)]
+    docs = make(rows)
+    sized, heavy, ids = jaccard.sized_sets(docs)
+    found = text.stored(jaccard.cells(docs, sized, heavy, 16.0, ids), "members")
+    largest = found.agg({"members": "max"}).head()[0]
+    assert largest > 10 * jaccard.BLOCK and ids == frozenset()
+    got = text.stored(jaccard.links(docs, found), "class-links")
+    assert got.count() <= found.count()
+    assert components(got).select("component").distinct().count() == 1
+
+
+def test_sets_that_share_a_class_id_take_other_bits(make, monkeypatch):
+    one, two = (np.array([k], np.uint64) for k in (1, 2))
+    low, high = jaccard.both_classes(one)
+    assert low != high and max(low, high) < 1 << 63
+    assert jaccard.class_of(one) == low and jaccard.class_of(one, frozenset([low])) == high
+    assert jaccard.class_of(two, frozenset([low])) == jaccard.class_of(two)
+    # All classes by their other bits give the same links.
+    docs = make([(i, f"{prose(1, 40)} w{i // 2}") for i in range(8)])
+    sized, heavy, _ = jaccard.sized_sets(docs)
+    ids = frozenset(r["class"] for r in sized.collect())
+    moved = {c: jaccard.class_of(jaccard.shingle_set(f"{prose(1, 40)} w{k}"), ids) for k in range(4) for c in [jaccard.class_of(jaccard.shingle_set(f"{prose(1, 40)} w{k}"))]}
+    sized = sized.withColumn("class", F.create_map(*[F.lit(n) for pair in moved.items() for n in pair])[F.col("class")])
+    found = text.stored(jaccard.cells(docs, sized, heavy, 1.0, ids), "members")
+    ends = {end for r in jaccard.links(docs, found, ids).collect() for end in r}
+    assert ends == set(moved.values())
+
+
+def test_text_ids(spark, make):
+    rows = [(5, prose(1, 50)), (3, prose(1, 50)), (9, prose(2, 50))]
+    docs = make(rows).selectExpr("concat('id', doc_id) as doc_id", "text")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+    assert got == {"id5": "id3", "id3": "id3", "id9": "id9"}
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(make):
+    rows = [(5, prose(1, 50)), (5, prose(2, 50)), (3, prose(1, 50)), (None, prose(2, 50)), (None, prose(3, 50)), (None, prose(3, 50)), (6, None), (6, None)]
+    kept = sorted(((str(r["doc_id"]), r["text"] or "") for r in jaccard.one_of_each(make(rows)).collect()))
+    assert kept == sorted([("3", prose(1, 50)), ("5", prose(2, 50)), ("None", prose(3, 50)), ("6", ""), ("6", "")])
+
+
 def test_components_of_a_long_path(spark):
     path = spark.range(60).selectExpr("id + 1 as a", "id as b").union(spark.createDataFrame([(100, 101), (101, 100)], "a long, b long"))
     got = {r["node"]: r["component"] for r in components(path).collect()}
