@@ -260,8 +260,8 @@ def cells(docs: DataFrame, sized: DataFrame, heavy: DataFrame, list_length: floa
     postings = given.mapInArrow(post, "key long, class long")
     ordered = postings.repartition("key").sortWithinPartitions("key", "class")
     stars = ordered.mapInArrow(scan, "cell long, member long, keys long")
-    counted = stars.groupBy("cell", "member").agg(F.sum("keys").alias("keys"))
-    # A class alone in its own cell meets nobody there.
+    # Written, because it is read twice: a class alone in its own cell meets nobody there.
+    counted = stored(stars.groupBy("cell", "member").agg(F.sum("keys").alias("keys")), "counted")
     shared = counted.filter("cell <> member").select("cell").distinct()
     met = stored(counted.join(shared, "cell", "left_semi"), "cells")
     sizes = sized.filter("class is not null").groupBy(F.col("class").alias("member")).agg(F.first("n").alias("n"))
@@ -373,7 +373,7 @@ def with_center(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(read.mapInArrow(compare, "cell long, member long, center long, alike boolean"), "centers")
 
 
-def links(docs: DataFrame, found: DataFrame, ids: frozenset[int] = frozenset()) -> DataFrame:
+def links(docs: DataFrame, sized: DataFrame, found: DataFrame, ids: frozenset[int] = frozenset()) -> DataFrame:
     """Links between the members of cells, enough to join all that are linked: ``a``, ``b``.
 
     The members of a cell of at most ``BLOCK`` are compared in one task. Those of a larger one are
@@ -382,8 +382,13 @@ def links(docs: DataFrame, found: DataFrame, ids: frozenset[int] = frozenset())
     the center are in one component, and between them nothing is left to find.
     """
     ship_package(docs.sparkSession)
-    wanted = small_side(stored(found.select(F.col("member").alias("class")).distinct(), "candidates"), BROADCAST_ROWS)
-    sets = packed_sets(docs, ids).join(wanted, "class", "left_semi").dropDuplicates(["class"])
+    # One text of each class that has a cell is taken apart once more.
+    wanted = sized.join(found.select(F.col("member").alias("class")).distinct(), "class", "left_semi")
+    first = wanted.groupBy("class").agg(F.min(F.struct("h1", "h2")).alias("t")).select("t.h1", "t.h2")
+    first = small_side(stored(first.distinct(), "candidates"), BROADCAST_ROWS)
+    h1, h2 = key128(whole_text(docs))
+    texts = docs.select(whole_text(docs).alias("text"), h1.alias("h1"), h2.alias("h2")).join(first, ["h1", "h2"], "left_semi")
+    sets = packed_sets(texts, ids).dropDuplicates(["class"])
     large = found.filter(F.col("members") > BLOCK)
     nothing = F.lit(0)
     dealt = found.filter(F.col("members") <= BLOCK).select("cell", nothing.alias("i"), nothing.alias("j"), F.col("member").alias("class"), F.lit(None).cast("boolean").alias("stray"))
@@ -441,7 +446,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     # How many sets a list holds on average, if lists were as long as the heavy buckets say.
     list_length = 1 + min(15.0, (squares / shingles) if shingles and seen else 0.0)
     found = stored(cells(docs, sized, heavy, list_length, ids), "members")
-    groups = stored(components(stored(links(docs, found, ids), "class-links")), "class-components")
+    groups = stored(components(stored(links(docs, sized, found, ids), "class-links")), "class-components")
     joined = sized.join(groups.withColumnRenamed("node", "class"), "class", "left")
     return joined.withColumn("component", F.coalesce("component", "class"))
 

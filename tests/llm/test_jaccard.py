@@ -107,7 +107,7 @@ def test_near_copies_of_one_text_are_a_row_each(make):
     found = text.stored(jaccard.cells(docs, sized, heavy, 16.0, ids), "members")
     largest = found.agg({"members": "max"}).head()[0]
     assert largest > 10 * jaccard.BLOCK and ids == frozenset()
-    got = text.stored(jaccard.links(docs, found), "class-links")
+    got = text.stored(jaccard.links(docs, sized, found), "class-links")
     assert got.count() <= found.count()
     assert components(got).select("component").distinct().count() == 1
 
@@ -125,7 +125,7 @@ def test_sets_that_share_a_class_id_take_other_bits(make, monkeypatch):
     moved = {c: jaccard.class_of(jaccard.shingle_set(f"{prose(1, 40)} w{k}"), ids) for k in range(4) for c in [jaccard.class_of(jaccard.shingle_set(f"{prose(1, 40)} w{k}"))]}
     sized = sized.withColumn("class", F.create_map(*[F.lit(n) for pair in moved.items() for n in pair])[F.col("class")])
     found = text.stored(jaccard.cells(docs, sized, heavy, 1.0, ids), "members")
-    ends = {end for r in jaccard.links(docs, found, ids).collect() for end in r}
+    ends = {end for r in jaccard.links(docs, sized, found, ids).collect() for end in r}
     assert ends == set(moved.values())
 
 
