@@ -1,10 +1,11 @@
 """Line dedup over levelled sorted runs of line hashes.
 
 Documents come in batches. The digest of a batch (one row per line key, with the number of
-documents and the largest document id) is merged against the runs stored so far: keys that no
-run holds are the batch's own new keys, the others are repeats. Both go into a new run of level
-0; once a level holds ``FANOUT`` runs they are compacted into one run of the next level. Runs are
-bucketed and sorted by the key, so the merges need no shuffle of the stored side.
+documents and the largest document id) is merge-anti-joined with the runs stored so far: keys that
+no run holds enter a new run of level 0, so that every key lies in one run; keys that a run holds
+are stored as updates of that run. Once a level holds ``FANOUT`` runs they are compacted: their
+updates are added to their rows, and the rows, which have no key in common, become one run of the
+next level. Runs are bucketed and sorted by the key, so the joins need no shuffle of the stored side.
 """
 
 from __future__ import annotations
@@ -40,56 +41,71 @@ class Runs:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.root = fresh_dir(spark, "line-runs")
         self.name = f"line_runs_{uuid.uuid4().hex}"
-        self.levels: dict[int, list[str]] = defaultdict(list)
+        self.levels: dict[int, list[int]] = defaultdict(list)
+        #: Per run the tables that hold updates of its rows.
+        self.updates: dict[int, list[int]] = defaultdict(list)
         self.written = 0
 
-    def write(self, df: DataFrame) -> str:
-        table, self.written = f"{self.name}_{self.written}", self.written + 1
-        dealt = df.repartition(self.buckets, *KEY)
-        dealt.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.root}/{table}").saveAsTable(table)
-        return table
+    def table(self, number: int) -> str:
+        return f"{self.name}_{number}"
 
-    def tables(self) -> list[str]:
-        return [table for level in sorted(self.levels) for table in self.levels[level]]
+    def write(self, df: DataFrame) -> int:
+        number, self.written = self.written, self.written + 1
+        dealt = df.repartition(self.buckets, *KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY)
+        dealt.option("path", f"{self.root}/{number}").saveAsTable(self.table(number))
+        return number
+
+    def runs(self) -> list[int]:
+        return [run for level in sorted(self.levels) for run in self.levels[level]]
+
+    def held(self, run: int) -> DataFrame:
+        return self.spark.table(self.table(run)).select(*KEY)
 
     def add(self, digest: DataFrame) -> None:
-        """Merge-anti-join a batch against every run, then store it as a run of its own.
-
-        A row of a run is ``fresh`` if no earlier run has its key.
-        """
-        fresh = digest
-        for table in self.tables():
-            known = self.spark.table(table).filter("fresh").select(*KEY)
-            fresh = fresh.join(known, KEY, "left_anti")
-        if self.tables():
-            marked = digest.join(fresh.select(*KEY, F.lit(True).alias("fresh")), KEY, "left")
-            digest = marked.withColumn("fresh", F.coalesce("fresh", F.lit(False)))
-        else:
-            digest = digest.withColumn("fresh", F.lit(True))
-        self.levels[0].append(self.write(digest))
+        """Merge-anti-join a batch with every run: what is left is a run, the rest updates."""
+        new, repeats = digest, []
+        for run in self.runs():
+            repeats.append(digest.join(self.held(run), KEY, "left_semi").withColumn("run", F.lit(run)))
+            new = new.join(self.held(run), KEY, "left_anti")
+        if repeats:
+            updates = self.write(reduce(DataFrame.unionByName, repeats))
+            for run in self.runs():
+                self.updates[run].append(updates)
+        self.levels[0].append(self.write(new))
         self.compact()
 
     def compact(self) -> None:
         level = 0
         while len(self.levels[level]) >= FANOUT:
-            merged = self._merged(self.levels[level])
-            self.levels[level + 1].append(self.write(merged))
+            merged = self.write(self.rows(self.levels[level]))
+            self.levels[level + 1].append(merged)
             self.levels[level] = []
             level += 1
 
     def totals(self) -> DataFrame:
         """Every key once, with its documents and the largest document id."""
-        return self._merged(self.tables())
+        return self.rows(self.runs())
 
-    def _merged(self, tables: list[str]) -> DataFrame:
+    def rows(self, runs: list[int]) -> DataFrame:
+        """The rows of some runs with their updates; runs share no key."""
+        return reduce(DataFrame.unionByName, [self.updated(run) for run in runs])
+
+    def updated(self, run: int) -> DataFrame:
+        first = self.spark.table(self.table(run)).select(*KEY, "docs", "top")
+        if not self.updates[run]:
+            return first
         # Read as plain files: a union of bucketed scans counts as dealt by the key, but is not always read so.
-        schema = self.spark.table(tables[0]).schema
-        runs = [self.spark.read.schema(schema).parquet(f"{self.root}/{table}") for table in tables]
-        return (
-            reduce(DataFrame.unionByName, runs)
-            .groupBy(*KEY)
-            .agg(F.sum("docs").alias("docs"), F.max("top").alias("top"), F.bool_or("fresh").alias("fresh"))
-        )
+        schema = self.spark.table(self.table(self.updates[run][0])).schema
+        files = [f"{self.root}/{number}" for number in self.updates[run]]
+        later = self.spark.read.schema(schema).parquet(*files).filter(F.col("run") == run)
+        later = later.groupBy(*KEY).agg(F.sum("docs").alias("more"), F.max("top").alias("later"))
+        docs = F.col("docs") + F.coalesce("more", F.lit(0))
+        return first.join(later, KEY, "left").select(*KEY, docs.alias("docs"), F.greatest("top", "later").alias("top"))
+
+    def drop(self) -> None:
+        """Take the tables out of the catalog."""
+        for number in range(self.written):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table(number)}")
 
 
 def line_digest(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -109,12 +125,11 @@ def line_digest(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     return hashed.groupBy("batch", *KEY).agg(F.count("*").alias("docs"), F.max("top").alias("top"))
 
 
-def repeated_keys(docs: DataFrame, batches: int = BATCHES, runs: Runs | None = None) -> DataFrame:
+def repeated_keys(docs: DataFrame, runs: Runs, batches: int = BATCHES) -> DataFrame:
     """Line keys of at least ``MIN_DOCUMENTS`` documents and the largest id that holds each.
 
     ``runs`` may already hold earlier batches of the same corpus.
     """
-    runs = runs or Runs(docs.sparkSession)
     digest = line_digest(docs, batches)
     path = fresh_dir(docs.sparkSession, "line-digest")
     digest.write.partitionBy("batch").parquet(path)
@@ -132,7 +147,11 @@ def drop_repeated_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     code points in at least ``MIN_DOCUMENTS`` rows loses all its lines but those in the row of
     the largest doc_id (in each row, if several share that id; a null id is below all others).
     """
-    hot = small_side(stored(repeated_keys(docs, batches), "line-keys"), BROADCAST_KEYS)
+    runs = Runs(docs.sparkSession)
+    try:
+        hot = small_side(stored(repeated_keys(docs, runs, batches), "line-keys"), BROADCAST_KEYS)
+    finally:
+        runs.drop()
     text = whole_text(docs)
     whole = docs.select(
         F.struct(*[docs[name] for name in docs.columns]).alias("row"),

@@ -72,17 +72,38 @@ def test_line_dedup_equals_brute_force(make, batches):
     assert have == sorted((str(row[0]), *want) for row, want in zip(rows, brute.line_dedup(rows)))
 
 
-def test_runs_are_compacted_by_level(make):
+def test_every_key_lies_in_one_run_and_later_batches_update_it(make):
     docs = make(LINES)
-    runs = lines.Runs(docs.sparkSession, 2)
-    keys = lines.repeated_keys(docs, 5, runs)
-    assert {level: len(tables) for level, tables in runs.levels.items() if tables} == {0: 1, 2: 1}
+    spark = docs.sparkSession
+    runs = lines.Runs(spark, 2)
+    keys = lines.repeated_keys(docs, runs, 5)
+    assert {level: len(numbers) for level, numbers in runs.levels.items() if numbers} == {0: 1, 2: 1}
     assert keys.count() == 2
-    stored = runs.totals()
-    assert stored.count() == stored.select("h1", "h2").distinct().count()
-    # Each key is new in exactly one run.
-    fresh = [docs.sparkSession.table(table).filter("fresh") for table in runs.tables()]
-    assert sum(df.count() for df in fresh) == stored.count()
+    totals = {(r["h1"], r["h2"]): (r["docs"], r["top"]) for r in runs.totals().collect()}
+    digest = lines.line_digest(docs, 1).collect()
+    assert totals == {(r["h1"], r["h2"]): (r["docs"], r["top"]) for r in digest}
+    assert sum(runs.held(run).count() for run in runs.runs()) == len(digest)
+    runs.drop()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_runs_")]
+
+
+def test_batches_without_their_anti_join_give_other_rows(make, monkeypatch):
+    """The outcome comes from the runs: keys that enter a second run are counted there from the start."""
+    rows = [(i, f"the same long line in every row\n{prose(i, 30)}") for i in range(1, 13)]
+    want = [r["n_dropped"] for r in lines.drop_repeated_lines(make(rows)).orderBy("row.doc_id").collect()]
+    assert want == [1] * 11 + [0]
+    monkeypatch.setattr(lines.Runs, "held", lambda self, run: self.spark.table(self.table(run)).select(*lines.KEY).limit(0))
+    runs = lines.Runs(make(rows).sparkSession)
+    lines.repeated_keys(make(rows), runs)
+    totals = runs.totals()
+    assert totals.count() > totals.select(*lines.KEY).distinct().count()
+    runs.drop()
+
+
+def test_a_dropped_run_leaves_no_tables(make):
+    docs = make(LINES)
+    lines.drop_repeated_lines(docs).collect()
+    assert not [t for t in docs.sparkSession.catalog.listTables() if t.name.startswith("line_runs_")]
 
 
 def test_keys_beyond_the_broadcast_bound_give_the_same(make, monkeypatch):
