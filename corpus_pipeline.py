@@ -12,13 +12,20 @@ from reliq.session import configure, fresh_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that break no rule of the newest policy."""
+    """Documents that break no rule of the newest policy, from a ledger written once.
+
+    Null and empty texts have too few words and go. Rows that repeat are judged one by one, alike.
+    """
     configure(spark)
     return quality.apply_policy(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated lines; ``n_chars`` follows the text."""
+    """Documents without their repeated lines; ``n_chars`` follows the text.
+
+    A null text becomes the empty text, one empty line. Every row stays; of rows that share an id,
+    a null one included, each counts as a document that holds its lines.
+    """
     configure(spark)
     kept = lines.drop_repeated_lines(docs).select("row", F.col("kept").alias("text"))
     changed = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
@@ -26,20 +33,29 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id."""
+    """One document of each group of near duplicates, that of the smallest id.
+
+    Documents without words are linked with nothing and stay, and so do null and empty texts.
+    """
     configure(spark)
     return jaccard.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
+    """Documents without a window of a benchmark item.
+
+    Null and empty texts have no words and stay; without items, or without words in them, all do.
+    """
     configure(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return contamination.contamination(docs, items).filter("n_hit = 0").select("row.*")
 
 
 def bpe_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its token ids and the text that they decode to."""
+    """Every document with its token ids and the digest of the text that they decode to.
+
+    A null text has the tokens of the empty text, none. Rows that repeat are coded alike.
+    """
     configure(spark)
     coded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), vocabulary_path())
     return coded.select(

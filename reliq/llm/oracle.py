@@ -51,8 +51,11 @@ with words as (
   from measured
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-       (bits & 3) <> 0 as base_failed, bits = 0 as kept, bits
-from ruled
+       (bits & 3) <> 0 as base_failed, bits = 0 as kept, bits, (bits & 3) = 0 as kept_by_policy_1, sole_rule,
+       case when sole_rule is not null then count(*) over (partition by sole_rule) end as n_alone
+from (select *, case bits when 1 then 'few_words' when 2 then 'repeated_words' when 4 then 'many_symbols'
+                          when 8 then 'duplicate_lines' when 16 then 'word_length' when 32 then 'upper_case' end as sole_rule
+      from ruled)
 """
 
 OP3 = r"""

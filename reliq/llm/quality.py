@@ -1,8 +1,8 @@
 """Quality rules as a ledger: every rule is evaluated once, policies only read its bits.
 
-A ledger row holds the measurements of a document and one failure bit per rule. A policy is
-a set of rules with a version; applying it, or asking what a rule alone rejects, is integer
-arithmetic on the stored bits and never touches the texts again.
+A ledger row holds the measurements of a document and one failure bit per rule. The ledger is
+written; a policy is a set of rules with a version, and applying it, or asking what a rule alone
+rejects, is integer arithmetic on the stored bits and never touches the texts again.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reliq.llm.text import UPPER, WHITE, split_words, whole_text, without
+from reliq.llm.text import UPPER, WHITE, split_words, stored, whole_text, without
 
 SYMBOLS = "#*$%&|<>"
 
@@ -104,17 +104,33 @@ def ledger(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     return counted.withColumn("bits", bits.cast("bigint"))
 
 
+def written_ledger(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """The ledger of ``docs`` as a table in the shared folder, for any number of policies."""
+    return stored(ledger(docs, carry), "ledger")
+
+
+def _bits(rules: list[str]) -> Column:
+    """The failure bits of some rules in a ledger row."""
+    return F.col("bits").bitwiseAND(F.lit(mask_of(rules)).cast("bigint"))
+
+
 def failed(policy: int = NEWEST_POLICY) -> Column:
     """Whether a ledger row breaks a rule of the policy."""
-    return F.col("bits").bitwiseAND(F.lit(mask_of(POLICIES[policy])).cast("bigint")) != 0
+    return _bits(POLICIES[policy]) != 0
+
+
+def sole_rule(policy: int = NEWEST_POLICY) -> Column:
+    """The rule that alone rejects a ledger row under the policy; null if none or several do."""
+    alone = [F.when(_bits(POLICIES[policy]) == mask_of([rule]), F.lit(rule)) for rule in POLICIES[policy]]
+    return F.coalesce(*alone)
 
 
 def apply_policy(docs: DataFrame, policy: int = NEWEST_POLICY) -> DataFrame:
-    """The documents that break no rule of the policy, with their columns."""
-    # A filter on plain columns would be moved below the ledger, with all measurements written out
-    # again in every rule that uses them; below a row's place it cannot go.
-    judged = ledger(docs).withColumn("place", F.monotonically_increasing_id())
-    return judged.filter(~failed(policy) & (F.col("place") >= 0)).select("row.*")
+    """The documents that break no rule of the policy, with their columns, from their written ledger.
+
+    Null and empty texts have no words and go; repeated rows stay or go together.
+    """
+    return written_ledger(docs).filter(~failed(policy)).select("row.*")
 
 
 def ablations(judged: DataFrame, policy: int = NEWEST_POLICY) -> DataFrame:
@@ -122,12 +138,10 @@ def ablations(judged: DataFrame, policy: int = NEWEST_POLICY) -> DataFrame:
 
     One pass over the bits of a ledger; ``judged_rows`` is the size of the ledger.
     """
-    mask = F.lit(mask_of(POLICIES[policy])).cast("bigint")
     sums = [F.count("*").alias("judged_rows")]
     for rule in POLICIES[policy]:
-        bit = F.lit(mask_of([rule])).cast("bigint")
-        sums.append(F.count_if(F.col("bits").bitwiseAND(bit) != 0).alias(f"{rule}_failed"))
-        sums.append(F.count_if(F.col("bits").bitwiseAND(mask) == bit).alias(f"{rule}_alone"))
+        sums.append(F.count_if(_bits([rule]) != 0).alias(f"{rule}_failed"))
+        sums.append(F.count_if(_bits(POLICIES[policy]) == mask_of([rule])).alias(f"{rule}_alone"))
     totals = judged.agg(*sums)
     rows = [
         F.struct(F.lit(rule).alias("rule"), F.col(f"{rule}_failed").alias("failed"), F.col(f"{rule}_alone").alias("alone"))

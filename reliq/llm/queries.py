@@ -39,8 +39,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.written_ledger(documents(spark, sf_dir), ["doc_id"])
     base = quality.mask_of(quality.BASE_RULES)
-    return quality.ledger(documents(spark, sf_dir), ["doc_id"]).select(
+    # Documents that only the rule of a row rejects: of the newest policy, one small row per rule.
+    alone = quality.ablations(judged).select(F.col("rule").alias("sole_rule"), F.col("alone").alias("n_alone"))
+    return judged.withColumn("sole_rule", quality.sole_rule()).join(F.broadcast(alone), "sole_rule", "left").select(
         "row.doc_id",
         "n_words",
         "word_chars",
@@ -50,6 +53,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("bits").bitwiseAND(F.lit(base).cast("bigint")) != 0).alias("base_failed"),
         (~quality.failed()).alias("kept"),
         "bits",
+        (~quality.failed(1)).alias("kept_by_policy_1"),
+        "sole_rule",
+        "n_alone",
     )
 
 

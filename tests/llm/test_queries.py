@@ -95,3 +95,22 @@ def test_stages_keep_the_columns_of_documents(spark, make):
         kept = stage(spark, docs, SF)
         assert kept.columns == docs.columns
         assert {r["doc_id"] for r in kept.collect()} >= set(range(4))
+
+
+def test_stages_take_empty_tables_and_clashing_names(spark, empty, clashing):
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, empty, SF).collect() == []
+        assert stage(spark, clashing, SF).columns == clashing.columns
+    assert corpus_pipeline.bpe_coding(spark, empty, SF).collect() == []
+
+
+def test_the_coding_stage_takes_odd_rows(spark, make):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.vocabulary_path())
+    rows = [*ODD, ODD[0]]
+    got = corpus_pipeline.bpe_coding(spark, make(rows), SF).collect()
+    have = sorted((str(r["doc_id"]), r["n_tokens"], r["decoded_sha256"]) for r in got)
+    texts = [(row[0], row[1] or "") for row in rows]
+    want = [(str(i), len(library.encode(text, add_special_tokens=False).ids), brute.sha(text)) for i, text in texts]
+    assert have == sorted(want)

@@ -43,6 +43,19 @@ def test_policies_and_ablations_read_bits_only(make):
             assert row["alone"] == sum(b & mask == bit for b in bits.values())
 
 
+def test_policies_and_ablations_read_the_written_ledger(make):
+    judged = quality.written_ledger(make(JUNK))
+    plan = quality.ablations(judged)._jdf.queryExecution().executedPlan().toString()
+    # Of the ledger's columns only the bits, and none of the text.
+    assert "ReadSchema: struct<bits:bigint>" in plan and "xxhash64" not in plan and "split(" not in plan
+    bits = {row["row"]["doc_id"]: row["bits"] for row in judged.collect()}
+    sole = {row["id"]: row["sole"] for row in judged.select(judged["row.doc_id"].alias("id"), quality.sole_rule().alias("sole")).collect()}
+    assert sole == {i: quality.RULES[b.bit_length() - 1] if b and b & (b - 1) == 0 else None for i, b in bits.items()}
+    for version, rules in quality.POLICIES.items():
+        kept = {row["doc_id"] for row in quality.apply_policy(make(JUNK), version).collect()}
+        assert kept == {i for i, b in bits.items() if not b & quality.mask_of(rules)}
+
+
 def test_empty_and_clashing_tables(empty, clashing):
     assert quality.apply_policy(empty).collect() == []
     assert quality.apply_policy(clashing).columns == clashing.columns
