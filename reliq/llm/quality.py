@@ -38,28 +38,36 @@ def mask_of(rules: list[str]) -> int:
     return sum(1 << RULES.index(rule) for rule in rules)
 
 
-def _repeated_words(windows: Column) -> Column:
-    """Words covered by windows that occur twice, from the hashes of all three-word windows.
+def _windows(words: str) -> Column:
+    """The hashes of all three-word windows, in order."""
+    starts = F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0)))
+    return F.transform(starts, lambda word, i: F.xxhash64(word, F.get(words, i + 1), F.get(words, i + 2)))
 
-    Windows are ordered by hash, so equal ones are neighbours; the places of those, ordered,
-    cover three words each less their overlap.
+
+def _placed(windows: Column) -> Column:
+    """Windows with their places, ordered by hash; empty if no window occurs twice."""
+    placed = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    repeated = F.size(F.array_distinct(windows)) < F.size(windows)
+    return F.sort_array(F.when(repeated, placed).otherwise(F.slice(placed, 1, 0)))
+
+
+def _repeated_words(placed: str) -> Column:
+    """Words covered by windows that occur twice.
+
+    Equal windows are neighbours in ``placed``, a column; the places of those, ordered, cover
+    three words each less their overlap.
     """
-    placed = F.sort_array(
-        F.arrays_zip(windows.alias("h"), F.sequence(F.lit(0), F.size(windows) - 1).alias("i"))
-    )
-    before = F.concat(F.array(F.lit(None).cast("bigint")), F.transform(placed, lambda x: x["h"]))
-    after = F.slice(F.transform(placed, lambda x: x["h"]), 2, F.size(windows))
-    beside = F.filter(
-        F.arrays_zip(placed.alias("p"), before.alias("b"), after.alias("a")),
-        lambda x: x["p"].isNotNull() & ((x["p"]["h"] == x["b"]) | (x["p"]["h"] == x["a"])),
-    )
-    places = F.sort_array(F.transform(beside, lambda x: x["p"]["i"]))
-    steps = F.arrays_zip(places.alias("i"), F.slice(places, 2, F.size(windows)).alias("next"))
+
+    def twice(x: Column, i: Column) -> Column:
+        return (x["h"] == F.get(placed, i - 1)["h"]) | (x["h"] == F.get(placed, i + 1)["h"])
+
+    places = F.sort_array(F.transform(F.filter(placed, twice), lambda x: x["i"]))
     covered = F.aggregate(
-        steps, F.lit(0).cast("bigint"), lambda n, x: n + F.least(F.lit(3), F.coalesce(x["next"] - x["i"], F.lit(3)))
+        places,
+        F.struct(F.lit(0).alias("end"), F.lit(0).cast("bigint").alias("n")),
+        lambda a, i: F.struct((i + 3).alias("end"), (a["n"] + 3 - F.greatest(a["end"] - i, F.lit(0))).alias("n")),
     )
-    repeated = F.size(F.array_distinct(windows)) < F.size(windows)
-    return F.when(repeated, covered).otherwise(F.lit(0).cast("bigint"))
+    return covered["n"]
 
 
 def ledger(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -78,15 +86,6 @@ def ledger(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         split_words(bare).alias("words"),
         F.filter(F.split(bare, "\n"), lambda line: F.btrim(line, F.lit(WHITE)) != "").alias("lines"),
     )
-    triples = F.arrays_zip(
-        F.col("words").alias("a"),
-        F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))).alias("b"),
-        F.slice("words", 3, F.greatest(F.size("words"), F.lit(1))).alias("c"),
-    )
-    hashes = F.filter(
-        F.transform(triples, lambda x: F.when(x["c"].isNotNull(), F.xxhash64(x["a"], x["b"], x["c"]))),
-        lambda h: h.isNotNull(),
-    )
     length = F.length("text")
     measured = split.select(
         "row",
@@ -96,9 +95,10 @@ def ledger(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         (length - F.length(without(bare, UPPER))).cast("bigint").alias("n_upper"),
         F.size("lines").cast("bigint").alias("n_word_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        hashes.alias("windows"),
+        _windows("words").alias("windows"),
     )
-    counted = measured.withColumn("n_repeat_words", _repeated_words(F.col("windows"))).drop("windows")
+    ordered = measured.withColumn("placed", _placed(F.col("windows"))).drop("windows")
+    counted = ordered.withColumn("n_repeat_words", _repeated_words("placed")).drop("placed")
     failures = _failures()
     bits = sum((F.when(failures[rule], 1 << i).otherwise(0) for i, rule in enumerate(RULES)), F.lit(0))
     return counted.withColumn("bits", bits.cast("bigint"))
