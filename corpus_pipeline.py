@@ -12,7 +12,7 @@ from reliq.session import configure, fresh_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that break no rule of the newest policy, from a ledger written once.
+    """Documents that break no rule of the newest policy.
 
     Null and empty texts have too few words and go. Rows that repeat are judged one by one, alike.
     """

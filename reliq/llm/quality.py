@@ -126,11 +126,15 @@ def sole_rule(policy: int = NEWEST_POLICY) -> Column:
 
 
 def apply_policy(docs: DataFrame, policy: int = NEWEST_POLICY) -> DataFrame:
-    """The documents that break no rule of the policy, with their columns, from their written ledger.
+    """The documents that break no rule of the policy, with their columns.
 
-    Null and empty texts have no words and go; repeated rows stay or go together.
+    Null and empty texts have no words and go; repeated rows stay or go together. The ledger is not
+    written here: its rows would carry every text once more.
     """
-    return written_ledger(docs).filter(~failed(policy)).select("row.*")
+    # A filter on plain columns would be moved below the ledger, with all measurements written out
+    # again in every rule that uses them; below a row's place it cannot go.
+    judged = ledger(docs).withColumn("place", F.monotonically_increasing_id())
+    return judged.filter(~failed(policy) & (F.col("place") >= 0)).select("row.*")
 
 
 def ablations(judged: DataFrame, policy: int = NEWEST_POLICY) -> DataFrame:
