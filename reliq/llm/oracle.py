@@ -82,10 +82,30 @@ places as (
 ), items as (
   select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
   from (select distinct doc_id, item_id::varchar as id from found) group by doc_id
+), spots as (
+  select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from dw
+), often as (select word, count(*) as n from spots group by word),
+sets as (select distinct g, string_split(g, ' ') as terms from tests),
+pivots as (
+  select g, any_value(terms) as terms, len(any_value(terms)) + 5 as room, arg_min(word, (n, word)) as word
+  from (select g, terms, unnest(terms) as word from sets) join often using (word) group by g
+), rooms as (
+  select s.doc_id, v.g, v.terms, v.room, d.w[greatest(s.p - v.room + 1, 1):s.p + v.room - 1] as part
+  from pivots v join spots s using (word) join dw d on d.doc_id = s.doc_id
+), stretches as (
+  select doc_id, g, terms, part[k:k + room - 1] as part
+  from (select *, unnest(range(1, greatest(len(part) - room + 1, 1) + 1)) as k from rooms where list_has_all(part, terms))
+), close as (
+  select distinct doc_id, g from stretches
+  where len(list_filter(terms, lambda t: len(list_filter(part, lambda x: x = t)) < len(list_filter(terms, lambda x: x = t)))) = 0
+), near as (
+  select doc_id, count(*) as n_near, string_agg(id, ',' order by id) as ids
+  from (select distinct doc_id, item_id::varchar as id from close join tests using (g)) group by doc_id
 )
 select d.doc_id, len(d.w) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
-       sha256(coalesce(ids, '')) as items_sha256, coalesce(h.n_hit, 0) > 0 as contaminated
-from dw d left join hit h using (doc_id) left join items using (doc_id)
+       sha256(coalesce(items.ids, '')) as items_sha256, coalesce(h.n_hit, 0) > 0 as contaminated,
+       coalesce(n_near, 0) as n_near, sha256(coalesce(near.ids, '')) as near_sha256
+from dw d left join hit h using (doc_id) left join items using (doc_id) left join near using (doc_id)
 """
 
 #: CRC-32 of the decimal text of a number, bit by bit.

@@ -61,7 +61,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = contamination.contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    judged = contamination.contamination(documents(spark, sf_dir), items, slack=contamination.SLACK)
     return judged.select(
         "row.doc_id",
         "n_words",
@@ -69,6 +70,8 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near").cast("bigint").alias("n_near"),
+        F.sha2(F.array_join("near", ","), 256).alias("near_sha256"),
     )
 
 

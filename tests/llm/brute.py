@@ -77,6 +77,20 @@ def contamination(text: str | None, items: list[tuple]) -> tuple[int, int, list[
     return len(own), len(hit), sorted(found)
 
 
+def near_items(text: str | None, items: list[tuple], slack: int) -> list[str]:
+    """Items with a window whose words all stand in a few consecutive words, as often as in the window."""
+    own = ITEM_WORD.findall(lower(text or ""))
+    found = set()
+    for item, content in items:
+        test = ITEM_WORD.findall(lower(content or ""))
+        size = min(10, len(test))
+        needs = [Counter(test[i : i + size]) for i in range(len(test) - size + 1)] if size else []
+        stretches = [Counter(own[i : i + size + slack]) for i in range(max(len(own) - size - slack + 1, 1))]
+        if item is not None and any(not need - have for need in needs for have in stretches):
+            found.add(str(item))
+    return sorted(found)
+
+
 def shingles(text: str | None) -> set:
     own = words(text)
     return {tuple(own[i : i + 5]) for i in range(len(own) - 4)} if len(own) >= 5 else ({tuple(own)} if own else set())
