@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reliq.llm import bpe, contamination, edits, exact, jaccard, language, lines, merkle, passages, ppm, quality, secrets, trie
-from reliq.llm.text import documents, whole_text
+from reliq.llm.text import documents
 from reliq.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,15 +135,15 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    counted = edits.edited_counts(docs.withColumn("edits", edits.standard_edits(whole_text(docs))), vocabulary_path())
+    trees = edits.write_trees(documents(spark, sf_dir).select("doc_id", "text"), vocabulary_path())
+    counted = edits.edit_trees(trees, edits.standard_edits(F.col("text")), vocabulary_path(), keep_trees=False)
     return counted.select(
         "row.doc_id",
         "n_tokens",
         "n_pretokens",
         "n_tokens_edited",
         "n_reencoded",
-        F.sha2("edited", 256).alias("edited_sha256"),
+        F.sha2("text", 256).alias("edited_sha256"),
     )
 
 

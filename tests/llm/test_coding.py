@@ -127,3 +127,46 @@ def test_edited_counts_of_a_table(make, vocab, empty):
             assert (row["n_tokens"], row["n_pretokens"]) == (count(text), len(vocab.cut(text)))
             assert row["n_tokens_edited"] == count(row["edited"])
     assert edits.edited_counts(empty.withColumn("edits", F.lit(None)), vocabulary_path()).collect() == []
+
+
+def test_special_tokens_are_made_and_broken_by_edits(vocab, library):
+    rules = edits.tree_rules(vocab)
+    rng = random.Random(9)
+    parts = ["<|endoftext|>", "<|endo", "ftext|>", "<", "|>", " ", "   ", "a", "end", "\n"]
+    for _ in range(40):
+        text = "".join(rng.choice(parts) for _ in range(40))
+        tree = edits.SegmentTree(rules[0](text), *rules)
+        for _ in range(20):
+            start = rng.randrange(len(text) + 1)
+            stop, insert = min(len(text), start + rng.choice([0, 1, 7, 40])), "".join(rng.choice(parts) for _ in range(rng.randrange(3)))
+            tree.edit(start, stop, insert)
+            text = text[:start] + insert + text[stop:]
+            assert (tree.text, tree.n_tokens) == (text, len(ids_of(library, text)))
+
+
+def test_long_insertions_get_leaves_of_their_own(vocab):
+    rules = edits.tree_rules(vocab)
+    tree = edits.SegmentTree(rules[0](prose(1, 50)), *rules)
+    tree.edit(20, 20, prose(2, 5000))
+    assert max(map(len, tree.leaves)) <= 2 * edits.LEAF
+    before = tree.encoded
+    tree.edit(10_000, 10_004, "changed")
+    assert tree.encoded - before < 100 and tree.n_tokens == sum(map(rules[1], rules[0](tree.text)))
+
+
+def test_later_edits_start_from_written_trees(make, library, empty, clashing):
+    path = vocabulary_path()
+    rows = [*[(i, text) for i, text in enumerate(TEXTS)], *ODD]
+    trees = edits.write_trees(make(rows), path)
+    texts = sorted((str(row[0]), row[1] or "") for row in rows)
+    second = F.expr("array(named_struct('start', 3L, 'stop', 40L, 'insert', ' <|endoftext|>it''s '), named_struct('start', 90L, 'stop', 91L, 'insert', null))")
+    for made in (edits.standard_edits(F.col("text")), second, F.lit(None)):
+        done = edits._written(edits.edit_trees(trees, made, path))
+        got = sorted((str(r["row"]["doc_id"]), r["n_tokens"], r["n_tokens_edited"], r["text"]) for r in done.collect())
+        assert sorted((r[0], r[1]) for r in got) == sorted((i, len(ids_of(library, text))) for i, text in texts)
+        assert all(r[2] == len(ids_of(library, r[3])) for r in got)
+        trees, texts = done, sorted((r[0], r[3]) for r in got)
+    long = edits.edit_trees(edits.write_trees(make([(1, prose(1, 5000))]), path), edits.standard_edits(F.col("text")), path).first()
+    assert long["n_pretokens"] > 5000 and long["n_reencoded"] < 250
+    assert edits.edit_trees(edits.write_trees(empty, path), second, path).collect() == []
+    assert edits.write_trees(clashing, path).select("row.*").columns == [c for c in clashing.columns if c != "text"]

@@ -114,3 +114,22 @@ def test_the_coding_stage_takes_odd_rows(spark, make):
     texts = [(row[0], row[1] or "") for row in rows]
     want = [(str(i), len(library.encode(text, add_special_tokens=False).ids), brute.sha(text)) for i, text in texts]
     assert have == sorted(want)
+
+
+def test_token_counts_of_the_whole_table_equal_the_library(spark):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.vocabulary_path())
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    got = {r["doc_id"]: r for r in queries.QUERIES["op4_token_counts"](spark, SF).collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        n = len(text)
+        third, middle = n // 3, n // 2
+        text = text[:third] + " [revised] " + text[third:]
+        edited = text[:middle] + text[middle + 20 :]
+        end = min(max(n - 5, 0), len(edited))
+        edited = edited[:end] + "!" + edited[n + 20 :]
+        assert got[i]["n_tokens"] == len(library.encode(texts[i], add_special_tokens=False).ids)
+        assert got[i]["n_tokens_edited"] == len(library.encode(edited, add_special_tokens=False).ids)
+        assert got[i]["edited_sha256"] == brute.sha(edited)
