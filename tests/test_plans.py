@@ -213,3 +213,21 @@ def test_institution_runs(spark, tmp_path):
     with pytest.raises(gates.GateFailure, match="at_least_100_institutions"):
         run_institutions(spark, str(folder), root, "r2", MORNING + dt.timedelta(days=1))
     assert rows(layers.runs(), "dag_run_id", "status") == [("r1", "success"), ("r2", "failed")]
+
+
+def test_a_run_moves_and_writes_little(spark, tmp_path):
+    """Amounts are parsed behind the exchange on the id; tables and the report of facts are packed."""
+    from helpers import accounts_frame, landed, transaction
+    from test_shapes import plan
+
+    from reliq.operators.quarantine import classify_transactions
+
+    text = plan(classify_transactions(landed(spark, "transactions", [transaction()]), accounts_frame(spark, "a1")))
+    below = text[text.index("hashpartitioning(transaction_id"):]
+    assert "_amount" in text and "_amount" not in below
+    inputs, root = write_inputs(tmp_path / "in", GOOD), str(tmp_path / "out")
+    run_transactions(spark, inputs, root, "r1", MORNING)
+    report = tmp_path / "out/snapshots/transactions/fact_transactions.csv"
+    assert {f.name.split(".", 1)[1] for f in report.glob("part-*")} == {"csv.gz"}
+    assert all(".zstd." in f.name for f in (tmp_path / "out").rglob("version-*/**/part-*.parquet"))
+    assert spark.read.csv(str(report), header=True).count() == 40
