@@ -2,7 +2,9 @@
 
 import datetime as dt
 import json
+import time
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from helpers import rows
@@ -12,6 +14,7 @@ from reliq.operators import gates
 from reliq.plans.institutions import run_institutions
 from reliq.plans.transactions import Inputs, Layers, check_drift, run_transactions
 from reliq.schemas import FACT_TRANSACTIONS, INSTITUTION
+from reliq.session import shared_dir
 from reliq.sinks.tables import reload_table, sized
 from reliq.sources import layers as layers_module
 from reliq.sources.layers import stored_columns
@@ -81,6 +84,22 @@ def test_a_run_fills_every_layer_and_can_be_repeated(spark, tmp_path):
     assert published["daily_metrics"].head()["updated_at"] == "2024-06-02 02:00:00.000000+00:00"
 
 
+def shuffled_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def test_a_run_leaves_no_shuffled_files(spark, tmp_path):
+    before = shuffled_files(spark)
+    run_transactions(spark, write_inputs(tmp_path / "in", GOOD), str(tmp_path / "out"), "r1", MORNING)
+    until = time.time() + 20
+    while shuffled_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled_files(spark) - before
+    # Nor what it has stored between two steps.
+    assert not list((Path(shared_dir(spark)) / "reliq").glob("classified-*"))
+
+
 def test_a_failed_gate_is_audited_and_recorded(spark, tmp_path):
     inputs, root = write_inputs(tmp_path / "in", [*GOOD[:5], *[line(i, "a2") for i in range(100, 110)]]), str(tmp_path / "out")
     with pytest.raises(gates.GateFailure, match="reject_rate_below_10pct"):
