@@ -18,6 +18,7 @@ from reliq.session import shared_dir
 from reliq.sinks.tables import reload_table, sized
 from reliq.sources import layers as layers_module
 from reliq.sources.layers import stored_columns
+from reliq_queries import registry
 
 MORNING = dt.datetime(2024, 6, 1, 2, tzinfo=dt.timezone.utc)
 
@@ -100,6 +101,13 @@ def test_a_run_leaves_no_shuffled_files(spark, tmp_path):
     assert not list((Path(shared_dir(spark)) / "reliq").glob("classified-*"))
 
 
+def test_the_inputs_of_a_refused_run_go_with_it(spark):
+    folder = Path(shared_dir(spark)) / "reliq"
+    before = set(folder.glob("incoming-*"))
+    assert registry.QUERIES["refused_runs"](spark, "/root/testdata/sf0.001").count() == 3
+    assert set(folder.glob("incoming-*")) <= before
+
+
 def test_a_failed_gate_is_audited_and_recorded(spark, tmp_path):
     inputs, root = write_inputs(tmp_path / "in", [*GOOD[:5], *[line(i, "a2") for i in range(100, 110)]]), str(tmp_path / "out")
     with pytest.raises(gates.GateFailure, match="reject_rate_below_10pct"):
